@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,19 +16,23 @@ def latest_by_key(
 
     Rows are ranked by ``version`` (nulls last), then by all columns from left to
     right (nulls last), so that the survivor never depends on the partitioning. Null
-    is a key like any other. The rank is the maximum of a struct: map tasks keep one
-    row per key, hence a key with a third of all rows ships one row per task.
+    is a key like any other. Spark turns rank-and-keep-first into a group limit below
+    the exchange: map tasks keep one row per key, hence a key with a third of all
+    rows ships one row per task. (Measured faster than the maximum of a struct, which
+    sorts as well but aggregates without code generation for its buffers.)
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     payload = [c for c in df.columns if c not in keys]
-    rank = [] if version is None else [(F.col(version) if isinstance(version, str) else version)]
     if not payload:
         return df.select(*keys).distinct()
-    winner = F.max(F.struct(*[c.alias(f"_rank{i}") for i, c in enumerate(rank)], *payload))
+    rank = [F.col(c) for c in payload]
+    if version is not None:
+        rank.insert(0, F.col(version) if isinstance(version, str) else version)
+    newest_first = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in rank])
     return (
-        df.groupBy(*keys)
-        .agg(winner.alias("_winner"))
-        .select(*[F.col(c) if c in keys else F.col(f"_winner.{c}") for c in df.columns])
+        df.withColumn("_rank", F.row_number().over(newest_first))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank")
     )
 
 
