@@ -77,19 +77,19 @@ def write_table(
     *,
     path: str | None = None,
     bucket_by: tuple[int, str] | None = None,
-    partition_by: str | None = None,
 ) -> None:
     """Save as a catalog table: FULL overwrites, everything else appends by name.
 
-    ``bucket_by`` (buckets, column) lets a later join on that column skip its shuffle;
-    leave it out where one key holds much of the table, since a bucket is not split.
-    An append must repeat the bucketing of the table.
+    ``bucket_by`` (buckets, column) lets a later join on that column skip its shuffle.
+    Rows are brought to their bucket first, so every bucket is one file and not one
+    per task. Leave it out where one key holds much of the table, since a bucket is
+    never split. An append must repeat the bucketing of the table.
     """
+    if bucket_by is not None:
+        df = df.repartition(*bucket_by)
     writer = df.write.mode("overwrite" if mode == FULL else "append")
     if path is not None:
         writer = writer.option("path", path)
-    if partition_by is not None:
-        writer = writer.partitionBy(partition_by)
     if bucket_by is not None:
         buckets, column = bucket_by
         writer = writer.bucketBy(buckets, column).sortBy(column)

@@ -6,7 +6,9 @@ the only thing that passes from one load to the next.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,18 @@ from starlode.sources.landing import (
 )
 
 
+Name = TypeVar("Name")
+Result = TypeVar("Result")
+
+
+def in_parallel(
+    load: Callable[[Name], Result], names: Iterable[Name], at_once: int = 4
+) -> list[Result]:
+    """Run independent Spark jobs side by side; results keep the order of ``names``."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(load, names))
+
+
 def bronze_rows(envelopes: DataFrame, spec: EntitySpec, columns: list[str] | None = None) -> DataFrame:
     """Envelopes -> all-text rows of the declared (or given) columns."""
     columns = columns or list(spec.types)
@@ -151,13 +165,22 @@ def run_all(
     lake: Lakehouse,
     landing: str,
     entities: Iterable[str] = tuple(SILVER),
+    concurrent_loads: int = 4,
     **bronze_options: object,
 ) -> list[LoadReport]:
-    """``<landing>/<entity>`` -> Bronze -> Silver -> dimensions -> facts."""
+    """``<landing>/<entity>`` -> Bronze -> Silver -> dimensions -> facts.
+
+    The loads of a layer do not depend on each other and share the executors.
+    """
     lake.create_databases(spark)
-    reports = [
-        run_bronze(spark, lake, e, f"{landing.rstrip('/')}/{e}", **bronze_options) for e in entities
-    ]
-    reports += [run_silver(spark, lake, e) for e in entities]
-    reports += [run_gold(spark, lake, name) for name in (*DIMENSIONS, *FACTS)]
+    entities = list(entities)
+
+    def bronze(entity: str) -> LoadReport:
+        path = f"{landing.rstrip('/')}/{entity}"
+        return run_bronze(spark, lake, entity, path, **bronze_options)
+
+    reports = in_parallel(bronze, entities, concurrent_loads)
+    reports += in_parallel(lambda e: run_silver(spark, lake, e), entities, concurrent_loads)
+    reports += in_parallel(lambda d: run_gold(spark, lake, d), DIMENSIONS, concurrent_loads)
+    reports += [run_gold(spark, lake, fact) for fact in FACTS]
     return reports

@@ -187,6 +187,11 @@ FACTS = {
 }
 
 
+def linked_tables(fact: str) -> set[str]:
+    """Gold tables that must exist before ``fact``."""
+    return {link.dimension for link in FACTS[fact].links}
+
+
 def with_type_name(users: DataFrame, user_types: DataFrame) -> DataFrame:
     """Users of a known type, with its name; the others drop out."""
     names = user_types.select("userTypeId", F.col("name").alias("_typeName"))

@@ -30,6 +30,7 @@ def read_envelopes(
 
     By default each line holds one envelope: large files that Spark splits.
     ``file_per_envelope`` reads one (possibly pretty-printed) envelope per file.
+    A nested value becomes its JSON text, with the blanks it landed with.
     ``parent_pattern`` takes the column ``parent`` from the file path, first group.
     """
     envelopes = (
@@ -100,8 +101,12 @@ def distinct_parents(parents: DataFrame, key: str) -> DataFrame:
 
 
 def missing_parents(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
-    """Parents for which no child record landed."""
-    return distinct_parents(parents, key).join(children.select(key), key, "left_anti")
+    """Parents for which no child record landed.
+
+    Both sides are reduced to distinct keys, so a parent with very many children
+    counts as one row in the join.
+    """
+    return distinct_parents(parents, key).join(distinct_parents(children, key), key, "left_anti")
 
 
 def is_last_page() -> Column:

@@ -216,23 +216,19 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.sql(f"SELECT {select} FROM {{df}}", df=df).select(*SILVER[entity].types)
 
 
-def pages(
-    records: DataFrame, columns: Sequence[str], by: Sequence[str] = (), page_rows: int = 100
-) -> DataFrame:
-    """Envelopes of at most ``page_rows`` records, as an interface would deliver them.
+def pages(records: DataFrame, columns: Sequence[str], page_rows: int = 100) -> DataFrame:
+    """Envelopes of at most ``page_rows`` records and an empty last one.
 
     Pages are cut from runs of rows inside a partition, so their size is bounded
-    whatever the keys are. Without ``by`` an empty last page closes the set.
+    whatever the rows hold.
     """
     run = F.floor(F.monotonically_increasing_id() / page_rows)
     packed = (
         records.withColumn("_run", run)
-        .groupBy(*by, "_run")
+        .groupBy("_run")
         .agg(F.collect_list(F.struct(*columns)).alias("data"))
-        .select(*by, "data", F.struct((F.lit(not by)).alias("hasMore")).alias("meta"))
+        .select("data", F.struct(F.lit(True).alias("hasMore")).alias("meta"))
     )
-    if by:
-        return packed
     closing = records.sparkSession.range(1).select(
         F.array().cast(packed.schema["data"].dataType).alias("data"),
         F.struct(F.lit(False).alias("hasMore")).alias("meta"),
@@ -240,5 +236,14 @@ def pages(
     return packed.unionByName(closing)
 
 
+def child_pages(records: DataFrame, columns: Sequence[str], parent: str) -> DataFrame:
+    """Envelopes that carry the key of their parent, one record each."""
+    return records.select(
+        parent,
+        F.array(F.struct(*columns)).alias("data"),
+        F.struct(F.lit(False).alias("hasMore")).alias("meta"),
+    )
+
+
 def text_of(envelope_columns: Sequence[str] = ("data", "meta")) -> Column:
     return F.to_json(F.struct(*envelope_columns))

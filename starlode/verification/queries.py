@@ -47,9 +47,10 @@ from starlode.operators import (
     write_table,
 )
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
-from starlode.plans import SILVER, build_gold
+from starlode.plans import FACTS, SILVER, build_gold
 from starlode.plans.entities import BRONZE_ONLY
-from starlode.plans.jobs import bronze_rows, landed_columns, stamped_bronze
+from starlode.plans.jobs import bronze_rows, in_parallel, landed_columns, stamped_bronze
+from starlode.plans.star_schema import linked_tables
 from starlode.sources import (
     child_records,
     distinct_parents,
@@ -65,7 +66,7 @@ from starlode.sources import (
 )
 from starlode.streaming import stream_bronze
 from starlode.verification import frames
-from starlode.verification.frames import as_wall_clock, pages, table, text_of
+from starlode.verification.frames import as_wall_clock, child_pages, pages, table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,7 +117,7 @@ def single_envelope(spark, sf_dir):
 def child_scan_parent_stamp(spark, sf_dir):
     """Turns fetched per conversation: the id comes from the envelope, not the record."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    payloads = pages(turns, ["turn", "role"], by=["conv_id"]).select(
+    payloads = child_pages(turns, ["turn", "role"], "conv_id").select(
         "conv_id", text_of().alias("page")
     )
     envelopes = parse_envelopes(payloads, "page", ["turn", "role"])
@@ -619,11 +620,11 @@ def bronze_paged(spark, sf_dir):
 
 @query
 def bronze_children(spark, sf_dir):
-    """Results landed as one set of pages per evaluation, stamped with its id."""
+    """Results landed as pages of their evaluations and stamped with its id."""
     spec = SILVER["evaluations_results"]
     source = frames.bronze(spark, sf_dir, spec.name)
     own = [c for c in spec.types if c != spec.parent]
-    path = _land(spark, pages(source, own, by=[spec.parent]), spec.name)
+    path = _land(spark, child_pages(source, own, spec.parent), spec.name)
     return bronze_rows(read_envelopes(spark, path, own, carried=[spec.parent]), spec)
 
 
@@ -660,20 +661,29 @@ def silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Gold table; Silver tables used twice and all linked tables are written first."""
-    stored: dict[str, DataFrame] = {}
+    """A Gold table. What a fact links to is written first, as the jobs do."""
+    if name not in FACTS:
+        return build_gold(name, functools.partial(silver, spark, sf_dir), stored_nowhere)
+    evaluations = materialize(silver(spark, sf_dir, "evaluations"), "evaluations")
 
     def stored_silver(entity: str) -> DataFrame:
-        if entity == "evaluations" and name.startswith("fato"):
-            if entity not in stored:
-                stored[entity] = materialize(silver(spark, sf_dir, entity), entity)
-            return stored[entity]
-        return silver(spark, sf_dir, entity)
+        return evaluations if entity == "evaluations" else silver(spark, sf_dir, entity)
+
+    stored: dict[str, DataFrame] = {}
+
+    def store(table_name: str) -> None:
+        built = build_gold(table_name, stored_silver, stored.__getitem__)
+        stored[table_name] = materialize(built, table_name)
+
+    facts = [fact for fact in FACTS if fact in linked_tables(name)]
+    needed = {dim for fact in (name, *facts) for dim in linked_tables(fact)}
+    in_parallel(store, sorted(needed - set(facts)))
+    in_parallel(store, facts)
+    return build_gold(name, stored_silver, stored.__getitem__)
 
-    def stored_gold(table_name: str) -> DataFrame:
-        return materialize(build_gold(table_name, stored_silver, stored_gold), table_name)
 
-    return build_gold(name, stored_silver, stored_gold)
+def stored_nowhere(name: str) -> DataFrame:
+    raise LookupError(f"a dimension does not read {name}")
 
 
 for _entity in SILVER:
