@@ -166,6 +166,7 @@ def run_all(
     landing: str,
     entities: Iterable[str] = tuple(SILVER),
     concurrent_loads: int = 4,
+    method: str = "crc32",
     **bronze_options: object,
 ) -> list[LoadReport]:
     """``<landing>/<entity>`` -> Bronze -> Silver -> dimensions -> facts.
@@ -181,6 +182,8 @@ def run_all(
 
     reports = in_parallel(bronze, entities, concurrent_loads)
     reports += in_parallel(lambda e: run_silver(spark, lake, e), entities, concurrent_loads)
-    reports += in_parallel(lambda d: run_gold(spark, lake, d), DIMENSIONS, concurrent_loads)
-    reports += [run_gold(spark, lake, fact) for fact in FACTS]
+    reports += in_parallel(
+        lambda dim: run_gold(spark, lake, dim, method), DIMENSIONS, concurrent_loads
+    )
+    reports += [run_gold(spark, lake, fact, method) for fact in FACTS]
     return reports

@@ -15,7 +15,7 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     mappers x reducers blocks; scan splits grow to 1 GiB for the same reason.
     """
     split = min(1024 * MIB, max(128 * MIB, input_bytes // 100_000))
-    partitions = min(60_000, max(2 * cores, input_bytes // (256 * MIB)))
+    partitions = min(40_000, max(2 * cores, input_bytes // (256 * MIB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),

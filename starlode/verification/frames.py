@@ -222,7 +222,7 @@ def pages(records: DataFrame, columns: Sequence[str], page_rows: int = 100) -> D
     Pages are cut from runs of rows inside a partition, so their size is bounded
     whatever the rows hold.
     """
-    run = F.floor(F.monotonically_increasing_id() / page_rows)
+    run = F.expr(f"monotonically_increasing_id() div {page_rows}")
     packed = (
         records.withColumn("_run", run)
         .groupBy("_run")

@@ -257,7 +257,7 @@ ORACLE: dict[str, str] = {
     "missing_children": """
         SELECT DISTINCT doc_id FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
-    "page_completeness_check": """
+    "page_completeness": """
         SELECT conv_id, count(*) AS pages, NOT bool_and(role <> 'system') AS complete
         FROM conversations GROUP BY conv_id""",
     "bronze_stringify": """
@@ -308,7 +308,7 @@ ORACLE: dict[str, str] = {
         SELECT o_orderkey, CASE WHEN remark IS NULL OR remark = '' THEN 'não' ELSE remark END AS as_is,
                trim(upper(CASE WHEN remark IS NULL OR remark = '' THEN 'não' ELSE remark END)) AS upper
         FROM {_REMARK}""",
-    "zero_fill_numbers": f"""
+    "zero_fill": f"""
         SELECT s_suppkey, cast(ifnull(cast({_BALANCE} AS decimal(10,2)), 0) AS decimal(12,2)) AS as_decimal,
                ifnull({_BALANCE}, 0) AS as_double, ifnull(nullif(s_nationkey, 7), 0) AS as_int
         FROM supplier""",
@@ -316,10 +316,10 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CASE event_id % 4 WHEN 2 THEN props ELSE {NI} END AS options FROM events""",
     "state_from_address": f"SELECT unitId, {UF} AS state FROM {_UNITS}",
     "fallback_state": f"SELECT unitId, ifnull(stateId, {UF}) AS state FROM {_UNITS}",
-    "postal_code_from_address": f"SELECT unitId, {CEP} AS zip FROM {_UNITS}",
-    "digits_only_phone": """
+    "postal_code": f"SELECT unitId, {CEP} AS zip FROM {_UNITS}",
+    "digits_only": """
         SELECT c_custkey, regexp_replace(c_name, '[^0-9]', '', 'g') AS digits FROM customer""",
-    "surrogate_keys": f"""
+    "surrogate_key": f"""
         SELECT o_orderkey, {crc("o_orderkey")} AS sk_order, {crc("o_orderpriority")} AS sk_priority,
                {crc("kept")} AS sk_customer
         FROM (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey END AS kept FROM orders)""",
@@ -334,7 +334,7 @@ ORACLE: dict[str, str] = {
     "distinct_column": "SELECT DISTINCT o_custkey FROM orders",
     "distinct_rows": "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders",
     "dedup_any_key": "SELECT DISTINCT user_id FROM events",
-    "latest_row_by_key": newest_sql(
+    "latest_by_key": newest_sql(
         "SELECT user_id, event_id, ts, event_type, value FROM events", "user_id", ["ts", "event_id"]
     ),
     "latest_with_nulls_and_ties": newest_sql(
@@ -367,7 +367,7 @@ ORACLE: dict[str, str] = {
         LEFT JOIN part ON l_partkey = p_partkey
         LEFT JOIN supplier ON supp = s_suppkey
         LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P'""",
-    "fanout_keys": f"""
+    "fanout_guard": f"""
         SELECT line_id, count(*) AS copies FROM {_LINE_IDS} GROUP BY line_id HAVING count(*) > 1""",
     "surrogate_collisions": f"""
         SELECT surrogate, count(*) AS natural_keys
