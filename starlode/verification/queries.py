@@ -47,7 +47,7 @@ from starlode.operators import (
     write_table,
 )
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
-from starlode.plans import FACTS, SILVER, build_gold
+from starlode.plans import DIMENSIONS, FACTS, SILVER, build_gold
 from starlode.plans.entities import BRONZE_ONLY
 from starlode.plans.jobs import bronze_rows, in_parallel, landed_columns, stamped_bronze
 from starlode.plans.star_schema import linked_tables
@@ -669,23 +669,32 @@ def silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Gold table. What a fact links to is written first, as the jobs do."""
+    """A Gold table. What a fact links to is written first, as the jobs do.
+
+    Of a linked table only the two columns that links read are written.
+    """
     if name not in FACTS:
         return build_gold(name, functools.partial(silver, spark, sf_dir), stored_nowhere)
-    evaluations = materialize(silver(spark, sf_dir, "evaluations"), "evaluations")
+    links = {link.dimension: link for fact in FACTS.values() for link in fact.links}
+    stored: dict[str, DataFrame] = {}
 
     def stored_silver(entity: str) -> DataFrame:
-        return evaluations if entity == "evaluations" else silver(spark, sf_dir, entity)
-
-    stored: dict[str, DataFrame] = {}
+        return stored[entity] if entity in stored else silver(spark, sf_dir, entity)
 
     def store(table_name: str) -> None:
-        built = build_gold(table_name, stored_silver, stored.__getitem__)
+        if table_name in SILVER:
+            built = silver(spark, sf_dir, table_name)
+        else:
+            link = links[table_name]
+            built = build_gold(table_name, stored_silver, stored.__getitem__)
+            built = built.select(link.natural, link.surrogate)
         stored[table_name] = materialize(built, table_name)
 
-    facts = [fact for fact in FACTS if fact in linked_tables(name)]
-    needed = {dim for fact in (name, *facts) for dim in linked_tables(fact)}
-    in_parallel(store, sorted(needed - set(facts)))
+    facts = sorted(linked_tables(name) & FACTS.keys())
+    dims = sorted({dim for fact in (name, *facts) for dim in linked_tables(fact)} - FACTS.keys())
+    late = [dim for dim in dims if DIMENSIONS[dim].source == "evaluations"]
+    in_parallel(store, ["evaluations", *[dim for dim in dims if dim not in late]])
+    in_parallel(store, late)
     in_parallel(store, facts)
     return build_gold(name, stored_silver, stored.__getitem__)
 
