@@ -34,8 +34,10 @@ class DecodeSpec:
 class DimensionSpec:
     """A current-state dimension.
 
-    ``names`` maps Silver columns to published ones, the natural key first;
-    ``labels`` adds published columns by expression, each placed after ``after``.
+    ``names``   Silver columns and their published names, the natural key first.
+    ``labels``  further published columns, made by a function.
+    ``order``   published order, if labels stand between the names.
+    ``newest``  False trusts Silver to hold one row per key and saves a shuffle.
     """
 
     name: str
@@ -43,9 +45,10 @@ class DimensionSpec:
     key: str
     surrogate: str
     names: Mapping[str, str]
-    labels: Mapping[str, Column | Callable[[], Column]] = field(default_factory=dict)
+    labels: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     order: Sequence[str] = ()
     version: str | None = None
+    newest: bool = True
 
 
 @dataclass(frozen=True)
@@ -75,12 +78,12 @@ def dimension(
     enrich: Callable[[DataFrame], DataFrame] | None = None,
     where: Column | None = None,
 ) -> DataFrame:
-    """Newest row per key -> surrogate key and published columns.
+    """Newest row per key (or all rows) -> surrogate key and published columns.
 
     ``enrich`` joins other tables to the newest rows, ``where`` leaves rows out; both
     act after the choice of the newest row, so a key may vanish as a whole.
     """
-    rows = latest_by_key(df, spec.key, spec.version)
+    rows = latest_by_key(df, spec.key, spec.version) if spec.newest else df
     if where is not None:
         rows = rows.filter(where)
     if enrich is not None:

@@ -130,10 +130,9 @@ CURRENT_STATE = (
         "updatedAt",
     ),
     DimensionSpec(
-        "dim_categorias", "categories", "categoryId", "sk_categoria", CATEGORY_NAMES,
-        version="updatedAt",
+        "dim_categorias", "categories", "categoryId", "sk_categoria", CATEGORY_NAMES, newest=False
     ),
-    DimensionSpec("dim_itens", "items", "itemId", "sk_item", ITEM_NAMES),
+    DimensionSpec("dim_itens", "items", "itemId", "sk_item", ITEM_NAMES, newest=False),
 )
 
 DIMENSIONS = {spec.name: spec for spec in (*DECODES, *CURRENT_STATE)}

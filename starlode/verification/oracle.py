@@ -144,11 +144,9 @@ def silver_sql(entity: str) -> str:
     return f"SELECT {SILVER_SELECT[entity]} FROM ({deduplicated(entity)})"
 
 
-def newest_silver(entity: str, version: bool = True) -> str:
+def newest_silver(entity: str) -> str:
     spec = SILVER[entity]
-    order = [_quoted(c) for c in spec.types if c != spec.key]
-    if version:
-        order.insert(0, "updatedAt")
+    order = ["updatedAt", *[_quoted(c) for c in spec.types if c != spec.key]]
     return newest_sql(silver_sql(entity), spec.key, order)
 
 
@@ -191,12 +189,12 @@ DIMS = {
                checklistId AS id_checklist, parentId AS id_categoria_pai, type AS tipo_categoria,
                name AS nome_categoria, description AS descricao_categoria, createdAt AS dt_criacao,
                updatedAt AS dt_atualizacao, deletedAt AS dt_delecao
-        FROM ({newest_silver("categories")})""",
+        FROM ({silver_sql("categories")})""",
     "dim_itens": f"""
         SELECT {crc("itemId")} AS sk_item, itemId AS id_original_item, checklistId AS id_checklist,
                categoryId AS id_categoria, name AS nome_item, deletedAt AS dt_delecao,
                "order" AS ordem_item
-        FROM ({newest_silver("items", version=False)})""",
+        FROM ({silver_sql("items")})""",
 }
 
 APPLIED = f"""

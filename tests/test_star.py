@@ -96,6 +96,13 @@ def test_dimension_publishes_the_newest_row(spark):
     assert {tuple(r) for r in dim.collect()} == {(crc(1), 1, "yes", "new"), (crc(2), 2, "yes", "x")}
 
 
+def test_dimension_of_a_unique_silver_needs_no_shuffle(spark):
+    spec = DimensionSpec("dim", "thing", "id", "sk", {"id": "natural"}, newest=False)
+    df = spark.range(0, 6, 1, 3).selectExpr("id % 3 AS id")
+    dim = dimension(df, spec)
+    assert "Exchange" not in plan_text(dim) and dim.count() == 6
+
+
 def test_dimension_filter_and_enrichment_follow_the_ranking(spark):
     df = spark.createDataFrame([(1, "keep", 1), (1, "drop", 2), (2, "keep", 1)], "id long, name string, at int")
     assert [r["natural"] for r in dimension(df, DIM, where=F.col("name") != "drop").collect()] == [2]
