@@ -42,6 +42,9 @@ def arguments() -> argparse.ArgumentParser:
     landing.add_argument(
         "--file-per-envelope", action="store_true", help="one envelope per file, not per line"
     )
+    landing.add_argument(
+        "--parent-pattern", help="regex on the file path whose first group is the parent's id"
+    )
 
     keys = argparse.ArgumentParser(add_help=False)
     keys.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
@@ -69,6 +72,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             "force_full": args.force_full,
             "inclusive": args.inclusive,
             "file_per_envelope": args.file_per_envelope,
+            "parent_pattern": args.parent_pattern,
         }
     if args.layer == "bronze":
         path = f"{args.landing.rstrip('/')}/{args.name}"

@@ -1,11 +1,13 @@
 """Loads of single tables and of the whole lakehouse.
 
-Every load is one Spark job: rows are counted while they are written, and tables are
-the only thing that passes from one load to the next.
+Rows are counted while they are written; rows of a source table are counted from its
+file footers, without reading a column. Tables are the only thing that passes from one
+load to the next.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -38,6 +40,8 @@ from starlode.sources.landing import (
 )
 
 
+log = logging.getLogger("starlode")
+
 Name = TypeVar("Name")
 Result = TypeVar("Result")
 
@@ -96,13 +100,13 @@ def run_bronze(
         carried=[spec.parent] if spec.parent and not parent_pattern else [],
         file_per_envelope=file_per_envelope,
         parent=spec.parent,
-        parent_pattern=parent_pattern,
+        parent_pattern=parent_pattern if spec.parent else None,
     )
     columns = landed_columns(envelopes, spec)
     if plan.incremental and not spec.types:
         columns = without_stamp(spark.read.table(table)).columns
     if not columns or (not plan.incremental and explode_records(envelopes).isEmpty()):
-        return LoadReport(table, None)
+        return _reported(LoadReport(table, None))
     envelopes, pages = counted(
         envelopes, f"pages of {table}", complete=F.bool_or(is_last_page())
     )
@@ -114,17 +118,25 @@ def run_bronze(
         rows, table, plan.mode,
         path=lake.path("bronze", entity), bucket_by=lake.buckets.get(f"bronze.{entity}"),
     )
-    return LoadReport(table, plan.mode, written.get["rows"], bool(pages.get["complete"]))
+    complete = bool(pages.get["complete"])
+    return _reported(LoadReport(table, plan.mode, written.get["rows"], complete=complete))
+
 
+def _reported(report: LoadReport) -> LoadReport:
+    log.info("%s", report)
+    return report
 
-def _save(lake: Lakehouse, layer: str, name: str, df: DataFrame) -> LoadReport:
+
+def _save(
+    lake: Lakehouse, layer: str, name: str, df: DataFrame, source: DataFrame
+) -> LoadReport:
     table = lake.table(layer, name)
     rows, written = counted(stamp_load(df), f"rows of {table}")
     write_table(
         rows, table, FULL,
         path=lake.path(layer, name), bucket_by=lake.buckets.get(f"{layer}.{name}"),
     )
-    return LoadReport(table, FULL, written.get["rows"])
+    return _reported(LoadReport(table, FULL, written.get["rows"], source.count()))
 
 
 def run_silver(
@@ -132,7 +144,7 @@ def run_silver(
 ) -> LoadReport:
     """Bronze table -> Silver table, always in full."""
     bronze = without_stamp(spark.read.table(lake.table("bronze", entity)))
-    return _save(lake, "silver", entity, conform(bronze, SILVER[entity], keep))
+    return _save(lake, "silver", entity, conform(bronze, SILVER[entity], keep), bronze)
 
 
 def run_gold(
@@ -157,7 +169,8 @@ def run_gold(
     if check_unique and name in FACTS:
         for link in FACTS[name].links:
             require_unique(gold(link.dimension), link.natural, link.dimension)
-    return _save(lake, "gold", name, build_gold(name, silver, gold, method))
+    source = (DIMENSIONS | FACTS)[name].source
+    return _save(lake, "gold", name, build_gold(name, silver, gold, method), silver(source))
 
 
 def run_all(

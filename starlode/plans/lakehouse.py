@@ -38,9 +38,16 @@ class Lakehouse:
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a load did. ``mode`` None: nothing was landed, so nothing was written."""
+    """What a load did.
+
+    ``mode``         FULL or INCREMENTAL; None if nothing was landed and so nothing written.
+    ``rows``         rows written.
+    ``source_rows``  rows of the table that was read (Silver and Gold).
+    ``complete``     whether a last page was among the landed ones (Bronze).
+    """
 
     table: str
     mode: str | None
     rows: int = 0
+    source_rows: int | None = None
     complete: bool | None = None

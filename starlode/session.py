@@ -13,10 +13,14 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     Shuffles start with about 256 MiB per partition, at least two per core, and AQE
     merges what turns out small. The number is bounded because a shuffle keeps
     mappers x reducers blocks; scan splits grow to 1 GiB for the same reason.
+    Shuffling a wide fact costs far more than sending a key-and-surrogate table of
+    128 MiB to every executor, so larger inputs may broadcast up to that size.
     """
     split = min(1024 * MIB, max(128 * MIB, input_bytes // 100_000))
     partitions = min(40_000, max(2 * cores, input_bytes // (256 * MIB)))
+    broadcast = min(128 * MIB, max(10 * MIB, input_bytes // 10_000))
     return {
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",

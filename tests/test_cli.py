@@ -6,7 +6,7 @@ import pytest
 
 from starlode.__main__ import main
 from starlode.session import MIB, sizing
-from tests.landed import RECORDS, write_pages
+from tests.landed import RECORDS, land, write_pages
 
 
 def test_single_loads(spark, lake, tmp_path):
@@ -15,11 +15,21 @@ def test_single_loads(spark, lake, tmp_path):
     (report,) = main(["bronze", "items", "--landing", str(tmp_path), "--file-per-envelope", *where], spark)
     assert (report.table, report.rows) == (f"{lake.bronze}.p_items", 3)
     assert main(["silver", "items", "--keep", "all", *where], spark)[0].rows == 3
-    assert main(["silver", "items", *where], spark)[0].rows == 2
+    (report,) = main(["silver", "items", *where], spark)
+    assert (report.rows, report.source_rows) == (2, 3)
     (report,) = main(["gold", "dim_itens", "--key-method", "xxhash64", *where], spark)
     assert (report.mode, report.rows) == ("FULL", 2)
 
 
+def test_everything_from_files(spark, lake, tmp_path):
+    where = ["--bronze", lake.bronze, "--silver", lake.silver, "--gold", lake.gold]
+    reports = main(
+        ["all", "--landing", str(land(tmp_path)), "--file-per-envelope", "--parent-pattern", r"parent_(\d+)", *where],
+        spark,
+    )
+    assert {r.table.split(".")[1]: r.rows for r in reports}["fato_checklists_aplicados_resultados"] == 4
+
+
 def test_unknown_names_are_refused(spark):
     with pytest.raises(SystemExit):
         main(["silver", "countries"], spark)
@@ -31,4 +41,7 @@ def test_sizing_follows_the_volume():
     assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
     assert int(large["spark.sql.shuffle.partitions"]) == 40_000
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * MIB
+    assert (small["spark.sql.autoBroadcastJoinThreshold"], large["spark.sql.autoBroadcastJoinThreshold"]) == (
+        str(10 * MIB), str(128 * MIB),
+    )
     assert large["spark.sql.adaptive.skewJoin.enabled"] == "true"
