@@ -372,6 +372,14 @@ ORACLE: dict[str, str] = {
         FROM (SELECT {crc("line_id")} AS surrogate FROM (SELECT DISTINCT line_id FROM {_LINE_IDS}))
         GROUP BY surrogate HAVING count(*) > 1""",
     "bronze_paged": bronze_sql("evaluations"),
+    **{
+        f"bronze_paged_{entity}": bronze_sql(entity)
+        for entity in ("checklists", "categories", "items", "units", "users", "user_types")
+    },
+    "bronze_incremental": f"""
+        WITH users AS (SELECT *, name LIKE '%Ação ' AS second FROM ({bronze_sql("users")}))
+        SELECT * EXCLUDE (second) FROM users
+        WHERE NOT second OR updatedAt > (SELECT max(updatedAt) FROM users WHERE NOT second)""",
     "bronze_children": bronze_sql("evaluations_results"),
     "bronze_superseded": """
         SELECT cast(o_orderkey AS varchar) AS evaluationId,

@@ -47,7 +47,7 @@ from starlode.operators import (
     write_table,
 )
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
-from starlode.plans import DIMENSIONS, FACTS, SILVER, build_gold
+from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, build_gold, run_bronze
 from starlode.plans.entities import BRONZE_ONLY
 from starlode.plans.jobs import bronze_rows, in_parallel, landed_columns, stamped_bronze
 from starlode.plans.star_schema import linked_tables
@@ -617,13 +617,38 @@ def _land(spark, envelopes, name):
     return path
 
 
+def landed_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """An entity landed as pages of JSON lines and read into Bronze rows."""
+    spec = SILVER[entity]
+    source = frames.bronze(spark, sf_dir, entity)
+    path = _land(spark, pages(source, source.columns), entity)
+    return bronze_rows(read_envelopes(spark, path, spec.types), spec)
+
+
 @query
 def bronze_paged(spark, sf_dir):
-    """Evaluations landed as pages of JSON lines and read into Bronze rows."""
-    spec = SILVER["evaluations"]
-    source = frames.bronze(spark, sf_dir, "evaluations")
-    path = _land(spark, pages(source, source.columns), "evaluations")
-    return bronze_rows(read_envelopes(spark, path, spec.types), spec)
+    return landed_bronze(spark, sf_dir, "evaluations")
+
+
+for _entity in ("checklists", "categories", "items", "units", "users", "user_types"):
+    QUERIES[f"bronze_paged_{_entity}"] = functools.partial(landed_bronze, entity=_entity)
+
+
+@query
+def bronze_incremental(spark, sf_dir):
+    """Two loads of users: the first version in full, the second past the watermark."""
+    lake = Lakehouse(
+        bronze="default", prefix=f"{fresh_name('load')}_", location=shared_path(spark, "lake")
+    )
+    users = frames.bronze(spark, sf_dir, "users")
+    second = F.col("name").endswith("Ação ")
+    modes = []
+    for version in (users.filter(~second), users.filter(second)):
+        landing = _land(spark, pages(version, version.columns), "users")
+        modes.append(run_bronze(spark, lake, "users", landing).mode)
+    if modes != [FULL, INCREMENTAL]:
+        raise AssertionError(f"unexpected load modes {modes}")
+    return without_stamp(scanned(spark, lake.table("bronze", "users")))
 
 
 @query
