@@ -5,10 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
-
-from starlode.verification.oracle import ORACLE
-from starlode.verification.queries import QUERIES
+from pyspark.sql import DataFrame
 
 
 def duckdb_connection(sf_dir: str):
@@ -27,10 +24,9 @@ def bag(columns, rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-def differences(name: str, spark: SparkSession, con, sf_dir: str) -> list[str]:
-    """What differs, nothing if the results are equal."""
-    result: DataFrame = QUERIES[name](spark, sf_dir)
-    relation = con.sql(ORACLE[name])
+def differences(result: DataFrame, con, sql: str) -> list[str]:
+    """What differs between a result and its SQL twin, nothing if they are equal."""
+    relation = con.sql(sql)
     if sorted(result.columns) != sorted(relation.columns):
         return [f"columns {sorted(result.columns)} / {sorted(relation.columns)}"]
     ours = bag(result.columns, result.collect())

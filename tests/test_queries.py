@@ -7,6 +7,7 @@ import re
 
 import pytest
 
+from starlode.verification.compare import differences, duckdb_connection
 from starlode.verification.oracle import ORACLE
 from starlode.verification.queries import QUERIES
 from tests.conftest import plan_text
@@ -19,8 +20,6 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason=f"no test tabl
 @pytest.fixture(scope="module")
 def duck():
     pytest.importorskip("duckdb")
-    from starlode.verification.compare import duckdb_connection
-
     return duckdb_connection(SF_DIR)
 
 
@@ -28,29 +27,23 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_its_twin(spark, duck, name):
-    from starlode.verification.compare import differences
-
-    assert differences(name, spark, duck, SF_DIR) == []
-
-
 # Operators that pass whole tables to one task, repeat one side per row of the other,
 # or leave the JVM.
 BANNED = re.compile(
     r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas"
     r"|FlatMapGroupsInPandas|CollectLimit|LocalLimit|GlobalLimit|TakeOrdered|Sample"
 )
-SINGLE = re.compile(r"Exchange SinglePartition")
+# Global aggregates: one partial row per task may meet in one task.
+GLOBAL = re.compile(r"HashAggregate\(keys=\[\]|SortAggregate\(key=\[\]")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan_shape(spark, name):
-    plan = plan_text(QUERIES[name](spark, SF_DIR))
+def test_query_equals_its_twin(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    assert differences(result, duck, ORACLE[name]) == []
+    plan = plan_text(result)
     assert not BANNED.search(plan), plan
-    if SINGLE.search(plan):
-        # only partial aggregates, one row per task, may meet in one task
-        assert "HashAggregate(keys=[]" in plan or "SortAggregate(key=[]" in plan, plan
+    assert "SinglePartition" not in plan or GLOBAL.search(plan), plan
 
 
 @pytest.mark.parametrize(
