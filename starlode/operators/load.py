@@ -77,9 +77,10 @@ def write_table(
     *,
     path: str | None = None,
     bucket_by: tuple[int, str] | None = None,
-) -> None:
+) -> int:
     """Save as a catalog table: FULL overwrites, everything else appends by name.
 
+    Returns the number of rows, counted by the tasks that write them.
     ``bucket_by`` (buckets, column) lets a later join on that column skip its shuffle.
     Rows are brought to their bucket first, so every bucket is one file and not one
     per task. Leave it out where one key holds much of the table, since a bucket is
@@ -87,6 +88,7 @@ def write_table(
     """
     if bucket_by is not None:
         df = df.repartition(*bucket_by)
+    df, written = counted(df, f"rows of {table}")
     writer = df.write.mode("overwrite" if mode == FULL else "append")
     if path is not None:
         writer = writer.option("path", path)
@@ -94,3 +96,4 @@ def write_table(
         buckets, column = bucket_by
         writer = writer.bucketBy(buckets, column).sortBy(column)
     writer.saveAsTable(table)
+    return written.get["rows"]

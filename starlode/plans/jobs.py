@@ -39,7 +39,6 @@ from starlode.sources.landing import (
     read_envelopes,
 )
 
-
 log = logging.getLogger("starlode")
 
 Name = TypeVar("Name")
@@ -104,7 +103,7 @@ def run_bronze(
     )
     columns = landed_columns(envelopes, spec)
     if plan.incremental and not spec.types:
-        columns = without_stamp(spark.read.table(table)).columns
+        columns = _known_columns(spark, table, columns)
     if not columns or (not plan.incremental and explode_records(envelopes).isEmpty()):
         return _reported(LoadReport(table, None))
     envelopes, pages = counted(
@@ -113,13 +112,28 @@ def run_bronze(
     rows = bronze_rows(envelopes, spec, columns)
     if plan.incremental:
         rows = newer_than(rows, spec.watermark, plan.watermark, inclusive)
-    rows, written = counted(stamped_bronze(rows, spec), f"rows of {table}")
-    write_table(
-        rows, table, plan.mode,
-        path=lake.path("bronze", entity), bucket_by=lake.buckets.get(f"bronze.{entity}"),
-    )
+    written = _write(lake, "bronze", entity, stamped_bronze(rows, spec), plan.mode)
     complete = bool(pages.get["complete"])
-    return _reported(LoadReport(table, plan.mode, written.get["rows"], complete=complete))
+    return _reported(LoadReport(table, plan.mode, written, complete=complete))
+
+
+def _known_columns(spark: SparkSession, table: str, landed: list[str]) -> list[str]:
+    """Columns of the table to append to; a landed field it lacks is an error."""
+    known = without_stamp(spark.read.table(table)).columns
+    unknown = sorted(set(landed) - set(known))
+    if unknown:
+        raise ValueError(f"{table} has no columns {unknown}: load it in full")
+    return known
+
+
+def _write(lake: Lakehouse, layer: str, name: str, df: DataFrame, mode: str) -> int:
+    return write_table(
+        df,
+        lake.table(layer, name),
+        mode,
+        path=lake.path(layer, name),
+        bucket_by=lake.buckets.get(f"{layer}.{name}"),
+    )
 
 
 def _reported(report: LoadReport) -> LoadReport:
@@ -130,13 +144,8 @@ def _reported(report: LoadReport) -> LoadReport:
 def _save(
     lake: Lakehouse, layer: str, name: str, df: DataFrame, source: DataFrame
 ) -> LoadReport:
-    table = lake.table(layer, name)
-    rows, written = counted(stamp_load(df), f"rows of {table}")
-    write_table(
-        rows, table, FULL,
-        path=lake.path(layer, name), bucket_by=lake.buckets.get(f"{layer}.{name}"),
-    )
-    return _reported(LoadReport(table, FULL, written.get["rows"], source.count()))
+    written = _write(lake, layer, name, stamp_load(df), FULL)
+    return _reported(LoadReport(lake.table(layer, name), FULL, written, source.count()))
 
 
 def run_silver(

@@ -295,6 +295,9 @@ def test_undeclared_entities(spark, lake, tmp_path):
     assert {tuple(r) for r in spark.table(table_name).collect()} == {
         (when(1), "1", None, None), (None, "2", "x", None), (when(2), "3", None, None),
     }
+    write_pages(tmp_path / "h3", [{"evaluationId": 4, "date": when(3), "surprise": 1}])
+    with pytest.raises(ValueError, match="surprise"):
+        run_bronze(spark, lake, "evaluations_history", str(tmp_path / "h3"), file_per_envelope=True)
     write_pages(tmp_path / "c", [{"countryId": 1, "name": "Brasil"}])
     for _ in range(2):
         report = run_bronze(spark, lake, "countries", str(tmp_path / "c"), file_per_envelope=True)

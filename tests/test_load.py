@@ -54,7 +54,7 @@ def test_delta_filter_reaches_the_scan(spark, tmp_path):
 
 def test_full_overwrites_and_everything_else_appends(spark, name):
     df = spark.createDataFrame([(1, "a")], "i int, v string")
-    write_table(df, name)
+    assert write_table(df, name) == 1
     write_table(df, name)
     assert spark.table(name).count() == 1
     write_table(df.select("v", "i"), name, "INCREMENTAL")
@@ -69,7 +69,7 @@ def test_external_table(spark, name, tmp_path):
 def test_bucketed_tables_join_without_a_shuffle(spark):
     names = [f"b_{uuid.uuid4().hex}" for _ in range(2)]
     for table in names:
-        write_table(spark.range(0, 1000, 1, 7), table, bucket_by=(4, "id"))
+        assert write_table(spark.range(0, 1000, 1, 7), table, bucket_by=(4, "id")) == 1000
     location = spark.sql(f"DESCRIBE FORMATTED {names[0]}").filter("col_name = 'Location'").first()["data_type"]
     assert len(spark.read.parquet(location).inputFiles()) == 4
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -91,5 +91,5 @@ def test_stamp_and_strip(spark):
 
 def test_rows_are_counted_while_written(spark, name):
     rows, seen = counted(spark.range(0, 123, 1, 5), name, big=F.max("id"))
-    write_table(rows, name)
+    assert write_table(rows, name) == 123
     assert seen.get == {"rows": 123, "big": 122}
