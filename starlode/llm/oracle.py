@@ -99,3 +99,22 @@ LLM_ORACLE: dict[str, str] = {
            AND lettered / nw >= 0.7 AS kept
     FROM f""",
 }
+
+LLM_ORACLE["op7_substring_dedup"] = f"""
+    WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS ws FROM documents),
+    spot AS (
+      SELECT doc_id, i, list_slice(ws, i, i + 12) AS gram
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM doc)),
+    late AS (
+      SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY gram) AS least FROM spot)
+      WHERE least < doc_id),
+    gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM late) GROUP BY 1),
+    word AS (SELECT doc_id, i, ws[i] AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM doc)),
+    kept AS (
+      SELECT word.doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM word
+      WHERE NOT EXISTS (SELECT 1 FROM (SELECT doc_id, unnest(ps) AS p FROM gone) g
+                        WHERE g.doc_id = word.doc_id AND g.p = word.i)
+      GROUP BY 1)
+    SELECT doc.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from starlode.llm.decontamination import contamination, is_contaminated
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
+from starlode.llm.substrings import substring_dedup
+from starlode.llm.suffixes import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -53,3 +55,17 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", *(F.col("quality")[m].alias(m) for m in ("n_words", *measures, "base_failed", "kept"))
     )
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
