@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starlode.llm.decontamination import contamination, is_contaminated
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
+from starlode.llm.simhash import hex_fingerprint, near_documents
 from starlode.llm.substrings import substring_dedup
 from starlode.llm.suffixes import suffix_dedup
 
@@ -69,3 +70,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    )
