@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.llm.decontamination import contamination, is_contaminated
+from starlode.llm.lines import line_dedup
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
 from starlode.llm.simhash import hex_fingerprint, near_documents
@@ -77,3 +78,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", hex_fingerprint(F.col("fingerprint")).alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return deduped.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))

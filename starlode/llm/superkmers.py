@@ -142,16 +142,27 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (keys % np.uint64(buckets)).astype(np.int64)
 
 
-def _groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of runs and their ends."""
     starts = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.zeros(0, int)
     return starts, np.r_[starts[1:], len(sorted_values)].astype(int)
 
 
-def _one(table: pa.Table, column: str) -> int:
+def only(table: pa.Table, column: str) -> int:
     return table.column(column)[0].as_py()
 
 
+def key_packets(chunk: int, key: np.ndarray, n: np.ndarray, several: np.ndarray, buckets: int) -> pa.Table:
+    """Distinct keys of a chunk, how many things have each, and if these already meet in the chunk."""
+    bucket = _bucket(key, buckets)
+    order = np.argsort(bucket, kind="stable")
+    key, n, several, bucket = key[order], n[order], several[order], bucket[order]
+    six = key.view(np.uint8).reshape(-1, 8)[:, :6]
+    info = np.minimum(2 * n + several, 0xFFFFFFFF).astype(np.uint32)
+    runs = zip(*groups(bucket), strict=True)
+    return packets(chunk, [(int(bucket[s]), pack(six[s:e].T.ravel(), info[s:e])) for s, e in runs])
+
+
 def _census(plan: Plan) -> Callable[[pa.Table], pa.Table]:
     def ask(table: pa.Table) -> pa.Table:
         c = Chunk(table, plan)
@@ -159,21 +170,14 @@ def _census(plan: Plan) -> Callable[[pa.Table], pa.Table]:
         text = span_hash(c.sums, c.start, c.start + c.count + (plan.k - 1))
         order = np.lexsort((text, c.key))
         key, text, owner = c.key[order], text[order], c.ids[c.owner[order]]
-        starts, _ = _groups(key)
+        starts, _ = groups(key)
         if not len(starts):
             return packets(0, [])
         fresh = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])]
         n = np.add.reduceat(fresh.astype(np.int64), starts)
         several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
         key = key[starts]
-        bucket = _bucket(key, plan.chunks)
-        order = np.argsort(bucket, kind="stable")
-        key, n, several, bucket = key[order], n[order], several[order], bucket[order]
-        six = key.view(np.uint8).reshape(-1, 8)[:, :6]
-        info = np.minimum(2 * n + several, 0xFFFFFFFF).astype(np.uint32)
-        runs = zip(*_groups(bucket), strict=True)
-        rows = [(int(bucket[s]), pack(six[s:e].T.ravel(), info[s:e])) for s, e in runs]
-        return packets(_one(table, "chunk"), rows)
+        return key_packets(only(table, "chunk"), key, n, several, plan.chunks)
 
     return ask
 
@@ -184,17 +188,17 @@ def _from_six(six: np.ndarray) -> np.ndarray:
     return wide.view(np.uint64).ravel()
 
 
-def _census_answer(plan: Plan) -> Callable[[pa.Table], pa.Table]:
+def census_answer(hot_over: int) -> Callable[[pa.Table], pa.Table]:
     def answer(table: pa.Table) -> pa.Table:
         chunks = table.column("chunk").to_pylist()
         parts = [unpack(p) for p in table.column("payload").to_pylist()]
         keys = np.concatenate([_from_six(p[0]) for p in parts])
         info = np.concatenate([p[1] for p in parts]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
-        starts, ends = _groups(keys[order])
+        starts, ends = groups(keys[order])
         some = np.add.reduceat(info[order] & 1, starts) > 0
         shared = some | (ends - starts > 1)
-        hot = shared & (np.add.reduceat(info[order] >> 1, starts) > plan.hot)
+        hot = shared & (np.add.reduceat(info[order] >> 1, starts) > hot_over)
         shared_row, hot_row = np.empty(len(keys), bool), np.empty(len(keys), bool)
         shared_row[order] = np.repeat(shared, ends - starts)
         hot_row[order] = np.repeat(hot, ends - starts)
@@ -205,7 +209,7 @@ def _census_answer(plan: Plan) -> Callable[[pa.Table], pa.Table]:
             if s.any():
                 rows.append((chunk, pack(keys[at:till][s], keys[at:till][hot_row[at:till]])))
             at = till
-        return packets(_one(table, "bucket"), rows, "chunk")
+        return packets(only(table, "bucket"), rows, "chunk")
 
     return answer
 
@@ -230,9 +234,9 @@ def _ship(plan: Plan) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
         order = np.lexsort((code, bucket))
         place = c.start - u.offsets[c.owner]
         rows = []
-        for s, e in zip(*_groups(bucket[order]), strict=True):
+        for s, e in zip(*groups(bucket[order]), strict=True):
             at = order[s:e]
-            heads, tails = _groups(code[at])
+            heads, tails = groups(code[at])
             texts = [raw[begin[i] : end[i]] for i in at[heads].tolist()]
             payload = pack(
                 np.frombuffer(b"".join(texts), np.uint8),
@@ -243,7 +247,7 @@ def _ship(plan: Plan) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
                 place[at].astype(np.uint32),
             )
             rows.append((int(bucket[at[0]]), payload))
-        return packets(_one(table, "chunk"), rows)
+        return packets(only(table, "chunk"), rows)
 
     return ship
 
@@ -329,14 +333,14 @@ def answer_spans(
         order = np.argsort(b.chunk[at], kind="stable")
         at, begin, end = at[order], begin[order], end[order]
         rows = []
-        for s, e in zip(*_groups(b.chunk[at]), strict=True):
+        for s, e in zip(*groups(b.chunk[at]), strict=True):
             rows.append(
                 (
                     int(b.chunk[at[s]]),
                     pack(*(a.astype(np.uint32) for a in (b.owner[at[s:e]], begin[s:e], end[s:e]))),
                 )
             )
-        return packets(_one(table, "bucket"), rows, "chunk")
+        return packets(only(table, "bucket"), rows, "chunk")
 
     return answer
 
@@ -376,7 +380,7 @@ def ship(
         "text",
     )
     asked = spread.groupBy("chunk").applyInArrow(_census(plan), PACKET)
-    known = asked.groupBy("bucket").applyInArrow(_census_answer(plan), PACKET)
+    known = asked.groupBy("bucket").applyInArrow(census_answer(plan.hot), PACKET)
     shipped = spread.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_ship(plan), PACKET)
     return Shipment(plan, spread, shipped)
 
