@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from starlode.llm.quality import STOP_WORDS
+from starlode.llm.secret_scan import BASE, RULES
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -118,3 +119,37 @@ LLM_ORACLE["op7_substring_dedup"] = f"""
     SELECT doc.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
            sha256(coalesce(kept.text, '')) AS kept_sha256
     FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secret_sql() -> str:
+    parts = []
+    for rank, rule in enumerate(RULES):
+        p = _quoted(rule.pattern)
+        parts.append(
+            f"""SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind,
+              list_sum([0] || list_transform(list_slice(gaps, 1, i), lambda x: length(x)))
+              + list_sum([0] || list_transform(list_slice(found, 1, i - 1), lambda x: length(x))) AS s,
+              length(found[i]) AS n
+            FROM (SELECT doc_id, string_split_regex(text, {p}) AS gaps, regexp_extract_all(text, {p}) AS found,
+                         regexp_extract_all(text, {p}, {rule.group}) AS tested,
+                         unnest(range(1, len(regexp_extract_all(text, {p})) + 1)) AS i FROM doc)
+            WHERE length(tested[i]) >= {rule.least}"""
+        )
+    listed = "string_agg(kind || ':' || CAST(s AS BIGINT) || ':' || CAST(s + n AS BIGINT), ',' ORDER BY s, rank, n)"
+    return f"""
+    WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    span AS ({' UNION ALL '.join(parts)}),
+    agg AS (
+      SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex, {listed} FILTER (rank < {len(BASE)}) AS base, {listed} AS spans
+      FROM span GROUP BY 1)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM doc LEFT JOIN agg USING (doc_id)"""
+
+
+LLM_ORACLE["op6_secret_scan"] = _secret_sql()

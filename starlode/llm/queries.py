@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.llm.decontamination import contamination, is_contaminated
 from starlode.llm.lines import line_dedup
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
+from starlode.llm.secret_scan import BASE, listed, scan
 from starlode.llm.simhash import hex_fingerprint, near_documents
 from starlode.llm.substrings import substring_dedup
 from starlode.llm.suffixes import suffix_dedup
@@ -85,3 +86,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
     return deduped.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(rule.kind) for rule in BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
