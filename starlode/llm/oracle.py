@@ -153,3 +153,12 @@ def _secret_sql() -> str:
 
 
 LLM_ORACLE["op6_secret_scan"] = _secret_sql()
+
+LLM_ORACLE["op9_warc"] = """
+    WITH page AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+    sized AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, payload FROM page),
+    held AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS holder FROM sized)
+    SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN holder END AS refers_to
+    FROM held"""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.llm.decontamination import contamination, is_contaminated
+from starlode.llm.language import fit, held_out, identify
 from starlode.llm.lines import line_dedup
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
@@ -15,6 +16,7 @@ from starlode.llm.secret_scan import BASE, listed, scan
 from starlode.llm.simhash import hex_fingerprint, near_documents
 from starlode.llm.substrings import substring_dedup
 from starlode.llm.suffixes import suffix_dedup
+from starlode.llm.warc import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -102,3 +104,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out(F.col("doc_id"))))
+    return identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
