@@ -245,7 +245,7 @@ def line_dedup(
     similarity: float = SIMILARITY,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chunk_bytes: int = 4 << 20,
+    chunk_bytes: int = 2 << 20,
     n_lines: str = "n_lines",
     n_removed: str = "n_removed",
 ) -> DataFrame:

@@ -3,15 +3,15 @@
 Equal windows of 50 bytes meet in a bucket (see :mod:`starlode.llm.superkmers`). There the
 suffixes of the strings are sorted by prefix doubling, common prefixes of neighbours give the
 enhanced suffix array, and a stack scan walks its tree of common-prefix intervals. An interval
-whose suffixes differ in the byte before them is a maximal repeat; one that could be extended
-to the left as a whole is covered by the longer one. A repeat is maximal within the strings
-of its bucket; longer ones between documents appear as repeats that overlap by 49 bytes, and
-their union on the documents is the same.
+whose suffixes differ in the byte before them is a maximal repeat and is put out with all its
+occurrences; one that could be extended to the left as a whole is left out, as a longer repeat
+covers it. A repeat is maximal within the strings of its bucket; longer ones between documents
+appear as repeats that overlap by 49 bytes. What to remove follows from the roots of the tree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -38,70 +38,70 @@ def _keys(data: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (key << np.uint64(8)) | real.astype(np.uint64)
 
 
-def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Positions in the order of their suffixes; a suffix stops at the end of its string."""
+def suffix_array(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Positions in the order of their suffixes, which stop at the ends of their strings.
+
+    Also (length, ranks) per round of the doubling: positions of equal rank have the same
+    ``length`` bytes, or the same suffix if that is shorter.
+    """
     n = len(data)
     key = _keys(data, ends, np.arange(n))
     order = np.argsort(key, kind="stable")
-    length, slots = _STEP, np.arange(n)
-    rank = np.zeros(n, np.int64)
+    length, slots, rounds = _STEP, np.arange(n), []
+    rank = np.zeros(n, np.int32)
     key = key[order]
     while len(slots):
         new = np.r_[True, key[1:] != key[:-1]]
         head = np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))
         at = order[slots]
         rank[at] = slots[head]
+        rounds.append((length, rank.copy()))
         tied = ~(new & np.r_[new[1:], True]) & (ends[at] - at >= length)
         # members that end before this length all do, at the same place: they are equal
         slots = slots[tied]
-        if not len(slots):
-            break
         at = order[slots]
         further = at + length
         second = np.where(further < ends[at], rank[np.minimum(further, n - 1)] + 1, 0)
-        by = np.lexsort((second, rank[at]))
-        order[slots] = at[by]
-        first, second = rank[at][by], second[by]
         # the pair as one number: ranks are slots, so both parts are below n + 1
-        key = first.astype(np.uint64) * np.uint64(n + 1) + second.astype(np.uint64)
+        key = rank[at].astype(np.uint64) * np.uint64(n + 1) + second.astype(np.uint64)
+        by = np.argsort(key, kind="stable")
+        order[slots], key = at[by], key[by]
         length *= 2
-    return order
+    return order, rounds
 
 
-def common_prefixes(data: np.ndarray, ends: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
+def common_prefixes(
+    data: np.ndarray, ends: np.ndarray, order: np.ndarray, rounds: list[tuple[int, np.ndarray]], least: int
+) -> np.ndarray:
     """Bytes each suffix shares with the one before it; 0 where that is under ``least``."""
     out = np.zeros(len(order), np.int64)
     a, b = order[:-1], order[1:]
-    open_ = np.flatnonzero((ends[a] - a >= least) & (ends[b] - b >= least))
-    depth = 0
-    while len(open_):
-        x = _keys(data, ends[a[open_]], a[open_] + depth)
-        y = _keys(data, ends[b[open_]], b[open_] + depth)
-        differ = x ^ y
-        whole = (differ == 0) & ((x & np.uint64(255)) == _STEP)
-        done = ~whole
-        part = np.zeros(int(done.sum()), np.int64)
-        rest = differ[done]
-        both = np.minimum(x[done] & np.uint64(255), y[done] & np.uint64(255)).astype(np.int64)
-        for i in range(_STEP):
-            part += (rest >> np.uint64(8 * (_STEP - i)) == 0) & (i < both)
-        out[open_[done] + 1] = depth + part
-        open_ = open_[whole]
-        depth += _STEP
-    out[out < least] = 0
+    most = np.minimum(ends[a] - a, ends[b] - b)
+    some = np.flatnonzero(most >= least)
+    a, b, most = a[some], b[some], most[some]
+    depth = np.zeros(len(some), np.int64)
+    for length, rank in reversed(rounds):
+        inside = depth < most
+        x, y = np.where(inside, a + depth, 0), np.where(inside, b + depth, 0)
+        depth += length * (inside & (rank[x] == rank[y]))
+    rest = np.flatnonzero(depth < most)
+    x, y = (_keys(data, ends[p[rest]], p[rest] + depth[rest]) for p in (a, b))
+    differ = x ^ y
+    for i in range(_STEP):
+        depth[rest] += differ >> np.uint64(8 * (_STEP - i)) == 0
+    depth = np.minimum(depth, most)
+    out[some + 1] = np.where(depth >= least, depth, 0)
     return out
 
 
-def intervals(lcp: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(length, first slot, last slot) of the left-diverse intervals, found with a stack.
+def intervals(lcp: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Rows (length, first slot, last slot, left-diverse, outermost) of the interval tree.
 
     ``left`` is the byte before a suffix, or -1 at the start of a string, which differs from all.
     """
+    out: list[tuple[int, int, int, bool, bool]] = []
     (inner,) = np.nonzero(lcp)
-    if not len(inner):
-        return
-    breaks = np.flatnonzero(np.diff(inner) > 1) + 1
-    for run in np.split(inner, breaks):
+    for run in np.split(inner, np.flatnonzero(np.diff(inner) > 1) + 1) if len(inner) else ():
         a, b = int(run[0]) - 1, int(run[-1])
         depths, lefts = lcp[a : b + 1].tolist() + [0], left[a : b + 1].tolist()
         stack: list[list[int]] = []
@@ -110,33 +110,34 @@ def intervals(lcp: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, int, int
             while stack and stack[-1][0] > depth:
                 length, start, own = stack.pop()
                 mark = own if own == mark else -1
-                if mark == -1:
-                    yield length, a + start, a + j - 1
+                out.append((length, a + start, a + j - 1, mark == -1, not stack and not depth))
             if depth:
                 if stack and stack[-1][0] == depth:
                     if stack[-1][2] != mark:
                         stack[-1][2] = -1
                 else:
                     stack.append([depth, start, mark])
+    return np.array(out, np.int64).reshape(-1, 5)
 
 
 class Repeats:
-    """The enhanced suffix array of a bucket and its maximal repeats."""
+    """The enhanced suffix array of a bucket and its tree of common-prefix intervals."""
 
     def __init__(self, b: Bucket, k: int):
         n = np.diff(b.offsets)
-        self.owner = np.repeat(np.arange(len(n)), n)
-        ends = np.repeat(b.offsets[1:], n)
-        self.order = suffix_array(b.data, ends)
-        lcp = common_prefixes(b.data, ends, self.order, k)
+        self.owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        ends = np.repeat(b.offsets[1:].astype(np.int32), n)
+        self.order, rounds = suffix_array(b.data, ends)
+        lcp = common_prefixes(b.data, ends, self.order, rounds, k)
         left = np.r_[-1, b.data[:-1].astype(np.int64)]
         left[b.offsets[:-1]] = -1
-        found = np.array(list(intervals(lcp, left[self.order])), np.int64).reshape(-1, 3)
-        self.length, self.first, self.last = found.T
-        self.members = self.last - self.first + 1
-        slots = np.repeat(self.first, self.members) + _counter(self.members)
-        self.at = self.order[slots]  # positions of all members, repeat by repeat
-        self.repeat = np.repeat(np.arange(len(found)), self.members)
+        self.tree = intervals(lcp, left[self.order])
+
+    def members(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the chosen intervals: lengths, number of members, and positions of all members."""
+        length, first, last = self.tree[chosen, :3].T
+        sizes = last - first + 1
+        return length, sizes, self.order[np.repeat(first, sizes) + _counter(sizes)]
 
 
 def _counter(sizes: np.ndarray) -> np.ndarray:
@@ -145,18 +146,21 @@ def _counter(sizes: np.ndarray) -> np.ndarray:
 
 
 def least_documents(b: Bucket, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least document of every window, from the maximal repeats that hold it."""
+    """The least document of every window.
+
+    A window's occurrences are the members of the outermost interval of ``k`` bytes or more its
+    suffix lies in; inner intervals, longer repeats, have a part of them. A window in no
+    interval stands in one string only.
+    """
     r, of_string = Repeats(b, k), b.first_doc()
     n = np.diff(b.offsets) - k + 1
     first = np.r_[0, np.cumsum(n)]
     least = np.repeat(of_string, n)
-    if len(r.length):
-        head = np.cumsum(r.members) - r.members
-        of_repeat = np.minimum.reduceat(of_string[r.owner[r.at]], head)
-        wide = r.length[r.repeat] - k + 1
-        window = first[r.owner[r.at]] + r.at - b.offsets[r.owner[r.at]]
-        # windows inside a repeat get the least document of the repeat
-        np.minimum.at(least, np.repeat(window, wide) + _counter(wide), np.repeat(of_repeat[r.repeat], wide))
+    _, sizes, at = r.members(r.tree[:, 4] == 1)
+    if len(sizes):
+        owner = r.owner[at]
+        of_repeat = np.minimum.reduceat(of_string[owner], np.cumsum(sizes) - sizes)
+        least[first[owner] + at - b.offsets[owner]] = np.repeat(of_repeat, sizes)
     return first, least
 
 
@@ -189,7 +193,7 @@ def suffix_dedup(
     stay whole. Null ids come after all others and equal ids are one document, so neither loses
     bytes to its like; repeated rows each give a row. Only the two named columns are read.
     """
-    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col))
+    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2)
     return repeated(shipment, least_documents, _kept_bytes, SCHEMA)
 
 
@@ -197,17 +201,19 @@ def _groups_of(k: int) -> Callable[[pa.Table], pa.Table]:
     def groups(table: pa.Table) -> pa.Table:
         b = Bucket.read(table)
         r, bucket = Repeats(b, k), table.column("bucket")[0].as_py()
+        length, sizes, at = r.members(r.tree[:, 3] == 1)
         by_string = np.argsort(b.string, kind="stable")
         places = np.bincount(b.string, minlength=len(b.offsets) - 1)
         begin = np.cumsum(places) - places
-        # a string that stands at several places is a repeat, too, if no other contains it whole
-        whole = np.flatnonzero(places > 1)
-        taken = set(r.at[(r.at == b.offsets[r.owner[r.at]]) & (r.length[r.repeat] == np.diff(b.offsets)[r.owner[r.at]])])
-        whole = whole[[o not in taken for o in b.offsets[whole]]] if len(whole) else whole
-        at = np.r_[r.at, b.offsets[whole]]
-        number = np.r_[r.repeat, len(r.length) + np.arange(len(whole))]
-        length = np.r_[r.length, np.diff(b.offsets)[whole]]
-        owner = np.r_[r.owner[r.at], whole].astype(np.int64)
+        # a string that stands at several places is a repeat, too, if no interval is as long
+        long = np.repeat(length, sizes)
+        full = np.zeros(len(places), bool)
+        full[r.owner[at[(at == b.offsets[r.owner[at]]) & (long == np.diff(b.offsets)[r.owner[at]])]]] = True
+        whole = np.flatnonzero((places > 1) & ~full)
+        number = np.r_[np.repeat(np.arange(len(sizes)), sizes), len(sizes) + np.arange(len(whole))]
+        length = np.r_[length, np.diff(b.offsets)[whole]]
+        at = np.r_[at, b.offsets[whole]].astype(np.int64)
+        owner = r.owner[at].astype(np.int64)
         times = places[owner]
         place = by_string[np.repeat(begin[owner], times) + _counter(times)]
         number, start = np.repeat(number, times), np.repeat(at - b.offsets[owner], times)
@@ -232,7 +238,8 @@ def maximal_repeats(
 
     (bucket, repeat) names a repeat of ``length`` bytes, ``start`` is its first byte in the
     document. Repeats within one document are listed if another document shares part of them.
+    Periodic text has nested repeats: one of n bytes has about n of them, with n ** 2 places.
     """
-    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col))
+    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2)
     schema = "bucket long, repeat long, length long, doc_id long, start long"
     return shipment.packets.groupBy("bucket").applyInArrow(_groups_of(length), schema)

@@ -38,12 +38,13 @@ _PACKET = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload",
 
 @dataclass(frozen=True)
 class Plan:
-    """k, m: units of a window and of a gram; words or bytes; chunks = buckets; hot: super-k-mers."""
+    """k, m: units of a window and of a gram; words or bytes; hot: super-k-mers of one key."""
 
     k: int
     m: int
     words: bool
     chunks: int
+    buckets: int
     hot: int
 
     def units(self, texts: pa.Array) -> Units:
@@ -177,7 +178,7 @@ def _census(plan: Plan) -> Callable[[pa.Table], pa.Table]:
         n = np.add.reduceat(fresh.astype(np.int64), starts)
         several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
         key = key[starts]
-        return key_packets(only(table, "chunk"), key, n, several, plan.chunks)
+        return key_packets(only(table, "chunk"), key, n, several, plan.buckets)
 
     return ask
 
@@ -230,7 +231,7 @@ def _ship(plan: Plan) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
         raw = u.data.tobytes()
         strings = pa.array([raw[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)], pa.large_binary())
         code = strings.dictionary_encode().indices.to_numpy()
-        bucket = _bucket(c.key, plan.chunks)
+        bucket = _bucket(c.key, plan.buckets)
         order = np.lexsort((code, bucket))
         place = c.start - u.offsets[c.owner]
         rows = []
@@ -365,14 +366,23 @@ class Shipment:
 
 
 def ship(
-    docs: DataFrame, k: int, m: int, words: bool, doc_id: Column, text: Column, chunk_bytes: int = 4 << 20, hot: int = 20_000
+    docs: DataFrame,
+    k: int,
+    m: int,
+    words: bool,
+    doc_id: Column,
+    text: Column,
+    chunk_bytes: int = 2 << 20,
+    buckets_per_chunk: int = 1,
+    hot: int = 20_000,
 ) -> Shipment:
     """Census and shipping. ``docs`` is read once for its size and once more, whole."""
     spark = docs.sparkSession
     rows = docs.select(doc_id.cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plan = Plan(k, m, words, max(least, -(-size // chunk_bytes)), hot)
+    chunks = max(least, -(-size // chunk_bytes))
+    plan = Plan(k, m, words, chunks, buckets_per_chunk * chunks, hot)
     spread = rows.select(
         F.pmod(F.xxhash64("doc_id"), F.lit(plan.chunks)).alias("chunk"),
         F.xxhash64("doc_id", "text").alias("row_key"),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 
@@ -12,18 +10,19 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[32, 9, 10, 11, 12, 13]] = True
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2 ** 64."""
-    inverse = pow(_BASE, -1, 1 << 64)
-    up, down = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_tables: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = _powers(1 << max(n, 1).bit_length())
-    return up[:n], down[:n]
+    """Powers of the base and of its inverse, modulo 2 ** 64; one table that grows."""
+    if not _tables or len(_tables[0]) < n:
+        size = -(-max(n, 1) // (1 << 18)) << 18
+        _tables.clear()
+        for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
+            table = np.full(size, factor, np.uint64)
+            table[0] = 1
+            _tables.append(np.multiply.accumulate(table, out=table))
+    return _tables[0][:n], _tables[1][:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
