@@ -157,12 +157,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     model. Ties go to the language that comes first. The score is the share of the text's
     n-grams that the language contains.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.false_rate))
     text = F.coalesce(F.col(text_col), F.lit(""))
     kind = dict(docs.dtypes)[id_col]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Model(*shared.value)
         names = np.array([*known.languages, UNKNOWN], object)
         for batch in batches:
             for piece in pieces(batch, "text"):

@@ -176,5 +176,8 @@ def quality(
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``."""
-    out = fresh(docs, "quality")
-    return quality(docs, rules, text_col, out).where(F.col(out)["kept"]).select(*docs.columns)
+    out, row = fresh(docs, "quality"), fresh(docs, "row_number")
+    # a filter is not pushed below a column that depends on the row's place; pushed down, it
+    # would repeat every measure wherever another one uses it
+    judged = quality(docs, rules, text_col, out).withColumn(row, F.monotonically_increasing_id())
+    return judged.where(F.col(out)["kept"] & (F.col(row) >= 0)).select(*docs.columns)
