@@ -348,11 +348,12 @@ def answer_spans(
 
 def removed(c: Chunk, replies: pa.Table) -> np.ndarray:
     """Which units of the chunk any of the spans covers."""
-    step = np.zeros(len(c.units) + 1, np.int64)
-    for payload in replies.column("payload").to_pylist():
-        owner, begin, end = (a.astype(np.int64) for a in unpack(payload))
-        base = c.units.offsets[owner]
-        step += np.bincount(base + begin, minlength=len(step)) - np.bincount(base + end, minlength=len(step))
+    parts = [unpack(p) for p in replies.column("payload").to_pylist()]
+    if not parts:
+        return np.zeros(len(c.units), bool)
+    owner, begin, end = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in range(3))
+    base, n = c.units.offsets[owner], len(c.units) + 1
+    step = np.bincount(base + begin, minlength=n) - np.bincount(base + end, minlength=n)
     return np.cumsum(step)[:-1] > 0
 
 
