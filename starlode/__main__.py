@@ -12,6 +12,7 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from starlode.plans import (
     DIMENSIONS,
@@ -25,6 +26,8 @@ from starlode.plans import (
     run_gold,
     run_silver,
 )
+from starlode.session import apply_sizing
+from starlode.streaming import run_bronze_new_files
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -46,6 +49,10 @@ def arguments() -> argparse.ArgumentParser:
         "--parent-pattern", help="regex on the file path whose first group is the parent's id"
     )
 
+    landing.add_argument(
+        "--state", help="folder that remembers read files: load new files only, by no watermark"
+    )
+
     keys = argparse.ArgumentParser(add_help=False)
     keys.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
 
@@ -55,9 +62,9 @@ def arguments() -> argparse.ArgumentParser:
     silver = layers.add_parser("silver", parents=[common])
     silver.add_argument("name", choices=SILVER)
     silver.add_argument("--keep", choices=("latest", "any", "all"))
-    layers.add_parser("gold", parents=[common, keys]).add_argument(
-        "name", choices=[*DIMENSIONS, *FACTS]
-    )
+    gold = layers.add_parser("gold", parents=[common, keys])
+    gold.add_argument("name", choices=[*DIMENSIONS, *FACTS])
+    gold.add_argument("--where", help="SQL condition on the Silver rows of a dimension")
     layers.add_parser("all", parents=[common, landing, keys])
     return parser
 
@@ -76,13 +83,24 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         }
     if args.layer == "bronze":
         path = f"{args.landing.rstrip('/')}/{args.name}"
-        reports = [run_bronze(spark, lake, args.name, path, **options)]
+        apply_sizing(spark, [spark.read.text(path)])
+        if args.state:
+            state = f"{args.state.rstrip('/')}/{args.name}"
+            reports = [run_bronze_new_files(spark, lake, args.name, path, state)]
+        else:
+            reports = [run_bronze(spark, lake, args.name, path, **options)]
     elif args.layer == "silver":
+        apply_sizing(spark, [spark.read.table(lake.table("bronze", args.name))])
         reports = [run_silver(spark, lake, args.name, args.keep)]
     elif args.layer == "gold":
-        reports = [run_gold(spark, lake, args.name, args.key_method)]
+        source = (DIMENSIONS | FACTS)[args.name].source
+        apply_sizing(spark, [spark.read.table(lake.table("silver", source))])
+        where = F.expr(args.where) if args.where else None
+        reports = [run_gold(spark, lake, args.name, args.key_method, where=where)]
     else:
-        reports = run_all(spark, lake, args.landing, method=args.key_method, **options)
+        reports = run_all(
+            spark, lake, args.landing, method=args.key_method, sized=True, **options
+        )
     for report in reports:
         print(report)
     return reports

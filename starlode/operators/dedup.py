@@ -25,7 +25,7 @@ def latest_by_key(
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    rank = [F.col(c) for c in payload]
+    rank = [_ordered(df, c) for c in payload]
     if version is not None:
         rank.insert(0, F.col(version) if isinstance(version, str) else version)
     newest_first = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in rank])
@@ -36,6 +36,13 @@ def latest_by_key(
     )
 
 
+def _ordered(df: DataFrame, column: str) -> Column:
+    """A map has no order; its sorted entries do."""
+    if isinstance(df.schema[column].dataType, T.MapType):
+        return F.array_sort(F.map_entries(column))
+    return F.col(column)
+
+
 def any_by_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row per key; which one is up to the physical plan."""
     return df.dropDuplicates([keys] if isinstance(keys, str) else list(keys))

@@ -34,3 +34,20 @@ def key_collisions(df: DataFrame, key: str, method: str = "crc32") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("natural_keys"))
         .filter(F.col("natural_keys") > 1)
     )
+
+
+def key_faults(df: DataFrame, key: str, surrogate: str) -> tuple[int, int]:
+    """Natural keys that occur more than once, and surrogate keys shared by several of them."""
+    per_key = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("copies"), F.min(surrogate).alias("surrogate"))
+    )
+    per_surrogate = per_key.groupBy("surrogate").agg(
+        F.count_if(F.col("copies") > 1).alias("repeated"), F.count(F.lit(1)).alias("keys")
+    )
+    found = per_surrogate.agg(
+        F.coalesce(F.sum("repeated"), F.lit(0)).alias("repeated"),
+        F.count_if(F.col("keys") > 1).alias("shared"),
+    ).first()
+    return found["repeated"], found["shared"]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.functions.clock import STAMP, ZONE, load_clock
@@ -26,29 +28,72 @@ class LoadPlan:
         return self.mode == INCREMENTAL
 
 
-def high_watermark(df: DataFrame, column: str) -> Any:
-    """Largest value of ``column``; text compares as text. One row reaches the driver."""
-    return df.agg(F.max(column).alias("high")).first()["high"]
+def high_watermark(df: DataFrame, column: str, data_type: str | None = None) -> Any:
+    """Largest value of ``column``, by text or by ``data_type``. One row reaches the driver."""
+    return df.agg(highest(column, data_type).alias("high")).first()["high"]
+
+
+def highest(column: str, data_type: str | None = None) -> Column:
+    """The value that is largest; text that does not fit ``data_type`` never is."""
+    value = F.col(column)
+    return F.max(value) if data_type is None else F.max_by(value, value.try_cast(data_type))
+
+
+def table_property(spark: SparkSession, table: str, key: str) -> str | None:
+    """A property stored with a table; None for views and for tables without it."""
+    try:
+        found = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == key).first()
+    except AnalysisException:
+        return None
+    return found["value"] if found else None
+
+
+def set_table_properties(spark: SparkSession, table: str, values: dict[str, Any]) -> None:
+    listed = ", ".join("'{}' = '{}'".format(k, str(v).replace("'", r"\'")) for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
+def watermark_key(column: str) -> str:
+    return f"starlode.watermark.{column}"
 
 
 def plan_load(
-    spark: SparkSession, table: str, column: str | None = None, force_full: bool = False
+    spark: SparkSession,
+    table: str,
+    column: str | None = None,
+    force_full: bool = False,
+    data_type: str | None = None,
 ) -> LoadPlan:
-    """Incremental only if the table exists and its watermark column holds a value."""
-    if force_full or not spark.catalog.tableExists(table) or not column:
+    """Incremental only if the table exists and its watermark column holds a value.
+
+    The watermark is stored with the table by the load that wrote it; the column is scanned
+    only where that is missing.
+    """
+    if force_full or not column or not spark.catalog.tableExists(table):
         return LoadPlan(FULL)
-    high = high_watermark(spark.read.table(table), column)
+    high = table_property(spark, table, watermark_key(column))
+    if high is None:
+        high = high_watermark(spark.read.table(table), column, data_type)
     return LoadPlan(FULL) if high is None else LoadPlan(INCREMENTAL, high)
 
 
-def newer_than(df: DataFrame, column: str, watermark: Any, inclusive: bool = False) -> DataFrame:
-    """Rows past the watermark; a null never is.
-
-    ``inclusive`` also takes rows of equal age, which arrive late without being
-    newer; the Silver dedup removes the ones that were loaded before.
+def newer_than(
+    df: DataFrame,
+    column: str,
+    watermark: Any,
+    inclusive: bool = False,
+    data_type: str | None = None,
+) -> DataFrame:
+    """Rows past the watermark, and those of which nobody can tell: without a value.
+
+    ``data_type`` compares by that type, for text whose order differs; what does not fit it
+    counts as no value. ``inclusive`` also takes rows of equal age, which arrive late without
+    being newer; the Silver dedup removes what was loaded before.
     """
-    value = F.col(column)
-    return df.filter(value >= F.lit(watermark) if inclusive else value > F.lit(watermark))
+    value, limit = F.col(column), F.lit(watermark)
+    if data_type is not None:
+        value, limit = value.try_cast(data_type), limit.try_cast(data_type)
+    return df.filter((value >= limit if inclusive else value > limit) | value.isNull())
 
 
 def stamp_load(df: DataFrame, zone: str = ZONE) -> DataFrame:
@@ -78,22 +123,50 @@ def write_table(
     path: str | None = None,
     bucket_by: tuple[int, str] | None = None,
 ) -> int:
-    """Save as a catalog table: FULL overwrites, everything else appends by name.
+    """Save as a catalog table: FULL replaces, everything else appends by name.
+
+    Returns the number of rows, counted by the tasks that write them. A replacement is
+    written beside the old table and takes its name once it is complete, so a write that
+    fails leaves the old rows. With ``path`` every replacement has a folder of its own below.
 
-    Returns the number of rows, counted by the tasks that write them.
     ``bucket_by`` (buckets, column) lets a later join on that column skip its shuffle.
     Rows are brought to their bucket first, so every bucket is one file and not one
     per task. Leave it out where one key holds much of the table, since a bucket is
     never split. An append must repeat the bucketing of the table.
     """
+    spark = df.sparkSession
     if bucket_by is not None:
         df = df.repartition(*bucket_by)
     df, written = counted(df, f"rows of {table}")
+    there = spark.catalog.tableExists(table)
+    replaced = there and mode == FULL
     writer = df.write.mode("overwrite" if mode == FULL else "append")
-    if path is not None:
-        writer = writer.option("path", path)
+    if path is not None and (replaced or not there):
+        writer = writer.option("path", f"{path.rstrip('/')}/v-{uuid.uuid4().hex}")
     if bucket_by is not None:
         buckets, column = bucket_by
         writer = writer.bucketBy(buckets, column).sortBy(column)
-    writer.saveAsTable(table)
+    target = f"{table}__next" if replaced else table
+    writer.saveAsTable(target)
+    if replaced:
+        old = _own_version(spark, table, path)
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+        if old is not None:
+            _remove(spark, old)
     return written.get["rows"]
+
+
+def _own_version(spark: SparkSession, table: str, path: str | None) -> str | None:
+    """Where the rows of ``table`` lie, if that is a folder written below ``path``."""
+    if path is None:
+        return None
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    location = rows[-1]["data_type"].rstrip("/") if rows else ""
+    parent, _, name = location.rpartition("/")
+    return location if name.startswith("v-") and parent.endswith(path.rstrip("/").split(":")[-1]) else None
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

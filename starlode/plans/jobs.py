@@ -12,35 +12,44 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.functions.clock import STAMP
 from starlode.operators.conform import EntitySpec, conform
-from starlode.operators.guards import require_unique
+from starlode.operators.guards import key_faults, require_unique
 from starlode.operators.load import (
     FULL,
     counted,
+    highest,
     newer_than,
     plan_load,
+    set_table_properties,
     stamp_load,
+    table_property,
+    watermark_key,
     without_stamp,
     write_table,
 )
 from starlode.plans.entities import ENTITIES, SILVER
 from starlode.plans.lakehouse import Lakehouse, LoadReport
-from starlode.plans.star_schema import DIMENSIONS, FACTS, build_gold
+from starlode.plans.star_schema import DIMENSIONS, FACTS, build_gold, gold_key
+from starlode.session import apply_sizing
 from starlode.sources.landing import (
-    child_records,
-    discover_columns,
+    OTHER,
+    all_fields,
     explode_records,
     is_last_page,
-    project_records,
+    missing_parents,
+    null_records,
     read_envelopes,
 )
 
 log = logging.getLogger("starlode")
 
+#: Property of a Gold table whose keys were found unique: its number of rows at that time.
+UNIQUE = "starlode.unique_rows"
+
 Name = TypeVar("Name")
 Result = TypeVar("Result")
 
@@ -53,12 +62,19 @@ def in_parallel(
         return list(pool.map(load, names))
 
 
-def bronze_rows(envelopes: DataFrame, spec: EntitySpec, columns: list[str] | None = None) -> DataFrame:
-    """Envelopes -> all-text rows of the declared (or given) columns."""
-    columns = columns or list(spec.types)
-    if spec.parent:
-        return child_records(envelopes, columns, spec.parent).select(*columns)
-    return project_records(explode_records(envelopes), columns)
+def bronze_rows(envelopes: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Envelopes with map records -> all-text rows of the declared columns.
+
+    What is not declared stays in the map column ``other_fields``, so no landed field is lost.
+    Records of undeclared entities stay maps, beside their watermark. Null records vanish.
+    """
+    carry = [spec.parent] if spec.parent else []
+    records = explode_records(envelopes, carry)
+    if not spec.types:
+        dated = [F.col("record").getItem(c).alias(c) for c in (spec.watermark,) if c]
+        return records.filter(F.col("record").isNotNull()).select(*dated, "record")
+    own = [c for c in spec.types if c not in carry]
+    return all_fields(records, own, carry).select(*spec.types, OTHER)
 
 
 def stamped_bronze(rows: DataFrame, spec: EntitySpec) -> DataFrame:
@@ -68,11 +84,6 @@ def stamped_bronze(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     return rows.withColumn(STAMP, F.lit(None).cast("timestamp"))
 
 
-def landed_columns(envelopes: DataFrame, spec: EntitySpec) -> list[str]:
-    """Declared columns, or for undeclared entities those of the landed records."""
-    return list(spec.types) or discover_columns(explode_records(envelopes))
-
-
 def run_bronze(
     spark: SparkSession,
     lake: Lakehouse,
@@ -83,47 +94,69 @@ def run_bronze(
     inclusive: bool = False,
     file_per_envelope: bool = False,
     parent_pattern: str | None = None,
+    check_parents: bool = True,
 ) -> LoadReport:
     """Landed pages -> Bronze table, in full or past the watermark.
 
     A full load of nothing leaves the table as it is. The report tells from the same
-    pass whether a last page was among the landed ones.
+    pass whether a last page was among the landed ones, how many records were null and how
+    many rows have no watermark value; such rows are loaded whenever they are landed.
+    ``check_parents`` counts, for a child entity, the parents in Bronze without a child there.
     """
     spec = ENTITIES[entity]
     table = lake.table("bronze", entity)
-    plan = plan_load(spark, table, spec.watermark, force_full)
+    kind = spec.types.get(spec.watermark)
+    plan = plan_load(spark, table, spec.watermark, force_full, kind)
     envelopes = read_envelopes(
         spark,
         landing,
-        [c for c in spec.types if c != spec.parent] or None,
         carried=[spec.parent] if spec.parent and not parent_pattern else [],
         file_per_envelope=file_per_envelope,
         parent=spec.parent,
         parent_pattern=parent_pattern if spec.parent else None,
     )
-    columns = landed_columns(envelopes, spec)
-    if plan.incremental and not spec.types:
-        columns = _known_columns(spark, table, columns)
-    if not columns or (not plan.incremental and explode_records(envelopes).isEmpty()):
+    if not plan.incremental and explode_records(envelopes).isEmpty():
         return _reported(LoadReport(table, None))
     envelopes, pages = counted(
-        envelopes, f"pages of {table}", complete=F.bool_or(is_last_page())
+        envelopes, f"pages of {table}", complete=F.bool_or(is_last_page()), nulls=null_records()
     )
-    rows = bronze_rows(envelopes, spec, columns)
+    rows = bronze_rows(envelopes, spec)
+    seen = None
     if plan.incremental:
-        rows = newer_than(rows, spec.watermark, plan.watermark, inclusive)
+        rows = newer_than(rows, spec.watermark, plan.watermark, inclusive, kind)
+    if spec.watermark:
+        rows, seen = counted(
+            rows,
+            f"versions of {table}",
+            undated=F.count_if(F.col(spec.watermark).isNull()),
+            high=highest(spec.watermark, kind),
+        )
     written = _write(lake, "bronze", entity, stamped_bronze(rows, spec), plan.mode)
-    complete = bool(pages.get["complete"])
-    return _reported(LoadReport(table, plan.mode, written, complete=complete))
+    if seen and (high := seen.get["high"] or plan.watermark):
+        set_table_properties(spark, table, {watermark_key(spec.watermark): high})
+    found = pages.get
+    return _reported(
+        LoadReport(
+            table,
+            plan.mode,
+            written,
+            complete=bool(found["complete"]),
+            undated=seen.get["undated"] if seen else None,
+            null_records=max(found["nulls"] or 0, 0),
+            missing_parents=_childless(spark, lake, spec) if check_parents else None,
+        )
+    )
 
 
-def _known_columns(spark: SparkSession, table: str, landed: list[str]) -> list[str]:
-    """Columns of the table to append to; a landed field it lacks is an error."""
-    known = without_stamp(spark.read.table(table)).columns
-    unknown = sorted(set(landed) - set(known))
-    if unknown:
-        raise ValueError(f"{table} has no columns {unknown}: load it in full")
-    return known
+def _childless(spark: SparkSession, lake: Lakehouse, spec: EntitySpec) -> int | None:
+    """Parents in Bronze for which no child is there; None if there is nothing to compare."""
+    if not spec.parent:
+        return None
+    parent = next(e for e in SILVER.values() if e.key == spec.parent)
+    if not spark.catalog.tableExists(lake.table("bronze", parent.name)):
+        return None
+    parents, children = (spark.read.table(lake.table("bronze", e.name)) for e in (parent, spec))
+    return missing_parents(parents, children, spec.parent).count()
 
 
 def _write(lake: Lakehouse, layer: str, name: str, df: DataFrame, mode: str) -> int:
@@ -138,6 +171,14 @@ def _write(lake: Lakehouse, layer: str, name: str, df: DataFrame, mode: str) ->
 
 def _reported(report: LoadReport) -> LoadReport:
     log.info("%s", report)
+    if report.key_collisions:
+        log.warning(
+            "%s: %d surrogate keys stand for several natural keys; the method xxhash64 has 64 bits",
+            report.table,
+            report.key_collisions,
+        )
+    if report.duplicate_keys:
+        log.warning("%s: %d keys occur more than once", report.table, report.duplicate_keys)
     return report
 
 
@@ -162,11 +203,15 @@ def run_gold(
     name: str,
     method: str = "crc32",
     check_unique: bool = True,
+    where: Column | None = None,
 ) -> LoadReport:
     """Silver (and for facts Gold) tables -> Gold table, always in full.
 
-    ``check_unique`` stops a fact whose dimension holds a key twice; without the
-    check such a key multiplies the fact rows.
+    The keys of the written table are checked: the report counts repeated natural and shared
+    surrogate keys, and a table found unique is marked with its number of rows.
+    ``check_unique`` stops a table that links one with a repeated key; without the check such
+    a key multiplies rows. Marked tables are taken as checked, so a fact that is linked is not
+    grouped again. ``where`` leaves rows out of a current-state dimension.
     """
 
     def silver(entity: str) -> DataFrame:
@@ -177,9 +222,33 @@ def run_gold(
 
     if check_unique and name in FACTS:
         for link in FACTS[name].links:
-            require_unique(gold(link.dimension), link.natural, link.dimension)
+            if not _marked_unique(spark, lake.table("gold", link.dimension)):
+                require_unique(gold(link.dimension), link.natural, link.dimension)
+    if check_unique and name == "dim_usuario":
+        require_unique(silver("user_types"), "userTypeId", "user_types")
     source = (DIMENSIONS | FACTS)[name].source
-    return _save(lake, "gold", name, build_gold(name, silver, gold, method), silver(source))
+    built = build_gold(name, silver, gold, method, where)
+    table = lake.table("gold", name)
+    written = _write(lake, "gold", name, stamp_load(built), FULL)
+    repeated, shared = key_faults(spark.read.table(table), *gold_key(name))
+    if not repeated:
+        set_table_properties(spark, table, {UNIQUE: written})
+    return _reported(
+        LoadReport(
+            table,
+            FULL,
+            written,
+            silver(source).count(),
+            duplicate_keys=repeated,
+            key_collisions=shared,
+        )
+    )
+
+
+def _marked_unique(spark: SparkSession, table: str) -> bool:
+    """Checked when it was written, and of the same number of rows since."""
+    mark = table_property(spark, table, UNIQUE)
+    return mark is not None and int(mark) == spark.read.table(table).count()
 
 
 def run_all(
@@ -189,21 +258,34 @@ def run_all(
     entities: Iterable[str] = tuple(SILVER),
     concurrent_loads: int = 4,
     method: str = "crc32",
+    sized: bool = False,
     **bronze_options: object,
 ) -> list[LoadReport]:
     """``<landing>/<entity>`` -> Bronze -> Silver -> dimensions -> facts.
 
-    The loads of a layer do not depend on each other and share the executors.
+    The loads of a layer do not depend on each other and share the executors; ``sized`` sizes
+    the session per layer, by all it reads. Child entities come after their parents.
     """
     lake.create_databases(spark)
     entities = list(entities)
 
+    def size(sources: Iterable[DataFrame]) -> None:
+        if sized:
+            apply_sizing(spark, sources)
+
     def bronze(entity: str) -> LoadReport:
         path = f"{landing.rstrip('/')}/{entity}"
         return run_bronze(spark, lake, entity, path, **bronze_options)
 
-    reports = in_parallel(bronze, entities, concurrent_loads)
+    size(spark.read.text(f"{landing.rstrip('/')}/{e}") for e in entities)
+    order = sorted(entities, key=lambda e: ENTITIES[e].parent is not None)
+    own = [e for e in order if not ENTITIES[e].parent]
+    loaded = in_parallel(bronze, own, concurrent_loads)
+    loaded += in_parallel(bronze, order[len(own) :], concurrent_loads)
+    reports = [loaded[order.index(e)] for e in entities]
+    size(spark.read.table(lake.table("bronze", e)) for e in entities)
     reports += in_parallel(lambda e: run_silver(spark, lake, e), entities, concurrent_loads)
+    size(spark.read.table(lake.table("silver", e)) for e in entities)
     reports += in_parallel(
         lambda dim: run_gold(spark, lake, dim, method), DIMENSIONS, concurrent_loads
     )

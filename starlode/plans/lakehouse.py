@@ -44,6 +44,11 @@ class LoadReport:
     ``rows``         rows written.
     ``source_rows``  rows of the table that was read (Silver and Gold).
     ``complete``     whether a last page was among the landed ones (Bronze).
+    ``undated``      rows written without a watermark value (Bronze entities that have one).
+    ``null_records`` elements of pages that were null and left out (Bronze).
+    ``missing_parents``  parents in Bronze without a child there (child entities).
+    ``duplicate_keys``   natural keys that occur more than once (Gold).
+    ``key_collisions``   surrogate keys that several natural keys share (Gold).
     """
 
     table: str
@@ -51,3 +56,8 @@ class LoadReport:
     rows: int = 0
     source_rows: int | None = None
     complete: bool | None = None
+    undated: int | None = None
+    null_records: int | None = None
+    missing_parents: int | None = None
+    duplicate_keys: int | None = None
+    key_collisions: int | None = None

@@ -41,62 +41,138 @@ class FactSpec:
     rules: Mapping[str, Callable[[str], Column]] = field(default_factory=dict)
 
 
-def pairs(text: str) -> dict[str, str]:
-    """``"old new, old new"`` -> mapping in order."""
-    return dict(pair.split() for pair in text.split(","))
-
-
 # Published column names of the dimensions and facts.
-CHECKLIST_NAMES = pairs(
-    "checklistId id_original_checklist, name nome_checklist, subject assunto,"
-    "description descricao, createdAt dt_criacao, updatedAt dt_atualizacao,"
-    "deletedAt dt_delecao"
-)
-UNIT_NAMES = pairs(
-    "unitId id_original_unidade, name nome_unidade, email email_unidade, zipCode CEP,"
-    "address endereco, number numero, complement complemento, stateId estado,"
-    "latitude latitude, longitude longitude, createdAt dt_criacao,"
-    "updatedAt dt_ultima_atualizacao, deletedAt dt_delecao"
-)
-USER_NAMES = pairs(
-    "userId id_original_usuario, name nome_usuario, email email_usuario,"
-    "_typeName tipo_usuario, phone telefone, createdAt dt_criacao,"
-    "updatedAt dt_ultima_atualizacao, deletedAt dt_delecao"
-)
-CATEGORY_NAMES = pairs(
-    "categoryId id_original_categoria, checklistId id_checklist, parentId id_categoria_pai,"
-    "type tipo_categoria, name nome_categoria, description descricao_categoria,"
-    "createdAt dt_criacao, updatedAt dt_atualizacao, deletedAt dt_delecao"
-)
-ITEM_NAMES = pairs(
-    "itemId id_original_item, checklistId id_checklist, categoryId id_categoria,"
-    "name nome_item, deletedAt dt_delecao, order ordem_item"
+CHECKLIST_NAMES = {
+    "checklistId": "id_original_checklist",
+    "name": "nome_checklist",
+    "subject": "assunto",
+    "description": "descricao",
+    "createdAt": "dt_criacao",
+    "updatedAt": "dt_atualizacao",
+    "deletedAt": "dt_delecao",
+}
+CHECKLIST_ORDER = (
+    "id_original_checklist",
+    "nome_checklist",
+    "assunto",
+    "descricao",
+    "status_checklist",
+    "dt_criacao",
+    "dt_atualizacao",
+    "dt_delecao",
 )
-APPLIED_NAMES = pairs(
-    "score pontuacao, finalComment comentarios_finais, sharedTo compartilhado_com,"
-    "countAttachments qtd_anexos, scheduled agendado, startedAt iniciado_em,"
-    "concludedAt concluido_em, approvedAt aprovado_em,"
-    "scheduleStartDate dt_inicio_agendamento, scheduleEndDate dt_fim_agendamento,"
-    "initialLatitude latitude_inicial, initialLongitude longitude_inicial,"
-    "finalLatitude latitude_final, finalLongitude longitude_final,"
-    "createdAt criado_em, updatedAt atualizado_em, deletedAt deletado_em"
+UNIT_NAMES = {
+    "unitId": "id_original_unidade",
+    "name": "nome_unidade",
+    "email": "email_unidade",
+    "zipCode": "CEP",
+    "address": "endereco",
+    "number": "numero",
+    "complement": "complemento",
+    "stateId": "estado",
+    "latitude": "latitude",
+    "longitude": "longitude",
+    "createdAt": "dt_criacao",
+    "updatedAt": "dt_ultima_atualizacao",
+    "deletedAt": "dt_delecao",
+}
+UNIT_ORDER = (
+    "id_original_unidade",
+    "nome_unidade",
+    "email_unidade",
+    "status_unidade",
+    "CEP",
+    "endereco",
+    "numero",
+    "complemento",
+    "estado",
+    "latitude",
+    "longitude",
+    "dt_criacao",
+    "dt_ultima_atualizacao",
+    "dt_delecao",
 )
-RESULT_NAMES = pairs(
-    "scaleId id_escala, answeredAt respondido_em, evaluative avaliativo,"
-    "sharedTo compartilhado_com, text texto_avaliacao, number numero, stateId id_estado,"
-    "cityId id_cidade, product produto, competencePeriodId id_competencia,"
-    "selectedOptions opcoes_selecionadas, index indice, originalWeight peso_original,"
-    "maximumWeight peso_maximo, obtainedWeight peso_obtido, comment comentario,"
-    "countAttachments qtd_anexos, countSignatures qtd_assinaturas, itemOrder ordem_item,"
-    "categoryOrder ordem_categoria"
+USER_NAMES = {
+    "userId": "id_original_usuario",
+    "name": "nome_usuario",
+    "email": "email_usuario",
+    "_typeName": "tipo_usuario",
+    "phone": "telefone",
+    "createdAt": "dt_criacao",
+    "updatedAt": "dt_ultima_atualizacao",
+    "deletedAt": "dt_delecao",
+}
+USER_ORDER = (
+    "id_original_usuario",
+    "nome_usuario",
+    "email_usuario",
+    "status_usuario",
+    "tipo_usuario",
+    "telefone",
+    "dt_criacao",
+    "dt_ultima_atualizacao",
+    "dt_delecao",
 )
-
-
-def _status_after(names: Mapping[str, str], status: str, after: str) -> tuple[str, ...]:
-    """Published order with the status label right behind ``after``."""
-    order = list(names.values())
-    order.insert(order.index(after) + 1, status)
-    return tuple(order)
+CATEGORY_NAMES = {
+    "categoryId": "id_original_categoria",
+    "checklistId": "id_checklist",
+    "parentId": "id_categoria_pai",
+    "type": "tipo_categoria",
+    "name": "nome_categoria",
+    "description": "descricao_categoria",
+    "createdAt": "dt_criacao",
+    "updatedAt": "dt_atualizacao",
+    "deletedAt": "dt_delecao",
+}
+ITEM_NAMES = {
+    "itemId": "id_original_item",
+    "checklistId": "id_checklist",
+    "categoryId": "id_categoria",
+    "name": "nome_item",
+    "deletedAt": "dt_delecao",
+    "order": "ordem_item",
+}
+APPLIED_NAMES = {
+    "score": "pontuacao",
+    "finalComment": "comentarios_finais",
+    "sharedTo": "compartilhado_com",
+    "countAttachments": "qtd_anexos",
+    "scheduled": "agendado",
+    "startedAt": "iniciado_em",
+    "concludedAt": "concluido_em",
+    "approvedAt": "aprovado_em",
+    "scheduleStartDate": "dt_inicio_agendamento",
+    "scheduleEndDate": "dt_fim_agendamento",
+    "initialLatitude": "latitude_inicial",
+    "initialLongitude": "longitude_inicial",
+    "finalLatitude": "latitude_final",
+    "finalLongitude": "longitude_final",
+    "createdAt": "criado_em",
+    "updatedAt": "atualizado_em",
+    "deletedAt": "deletado_em",
+}
+RESULT_NAMES = {
+    "scaleId": "id_escala",
+    "answeredAt": "respondido_em",
+    "evaluative": "avaliativo",
+    "sharedTo": "compartilhado_com",
+    "text": "texto_avaliacao",
+    "number": "numero",
+    "stateId": "id_estado",
+    "cityId": "id_cidade",
+    "product": "produto",
+    "competencePeriodId": "id_competencia",
+    "selectedOptions": "opcoes_selecionadas",
+    "index": "indice",
+    "originalWeight": "peso_original",
+    "maximumWeight": "peso_maximo",
+    "obtainedWeight": "peso_obtido",
+    "comment": "comentario",
+    "countAttachments": "qtd_anexos",
+    "countSignatures": "qtd_assinaturas",
+    "itemOrder": "ordem_item",
+    "categoryOrder": "ordem_categoria",
+}
 
 
 DECODES = (
@@ -114,19 +190,19 @@ CURRENT_STATE = (
     DimensionSpec(
         "dim_checklists", "checklists", "checklistId", "sk_checklist", CHECKLIST_NAMES,
         {"status_checklist": lambda: deletion_label("deletedAt")},
-        _status_after(CHECKLIST_NAMES, "status_checklist", "descricao"),
+        CHECKLIST_ORDER,
         "updatedAt",
     ),
     DimensionSpec(
         "dim_unidades", "units", "unitId", "sk_unidade", UNIT_NAMES,
         {"status_unidade": lambda: deletion_label("deletedAt", "Ativa", "Inativa")},
-        _status_after(UNIT_NAMES, "status_unidade", "email_unidade"),
+        UNIT_ORDER,
         "updatedAt",
     ),
     DimensionSpec(
         "dim_usuario", "users", "userId", "sk_usuario", USER_NAMES,
         {"status_usuario": lambda: deletion_label("deletedAt")},
-        _status_after(USER_NAMES, "status_usuario", "email_usuario"),
+        USER_ORDER,
         "updatedAt",
     ),
     DimensionSpec(
@@ -186,6 +262,15 @@ FACTS = {
 }
 
 
+def gold_key(name: str) -> tuple[str, str]:
+    """Natural and surrogate key column of a Gold table."""
+    if name in FACTS:
+        return FACTS[name].natural, FACTS[name].surrogate
+    spec = DIMENSIONS[name]
+    natural = spec.natural if isinstance(spec, DecodeSpec) else spec.names[spec.key]
+    return natural, spec.surrogate
+
+
 def linked_tables(fact: str) -> set[str]:
     """Gold tables that must exist before ``fact``."""
     return {link.dimension for link in FACTS[fact].links}
@@ -233,7 +318,9 @@ def build_gold(
     silver: Callable[[str], DataFrame],
     gold: Callable[[str], DataFrame],
     method: str = "crc32",
+    where: Column | None = None,
 ) -> DataFrame:
+    """``where`` leaves rows out of a current-state dimension."""
     if name in FACTS:
         return build_fact(name, silver, gold, method)
-    return build_dimension(name, silver, method)
+    return build_dimension(name, silver, method, where)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1 << 20
 
@@ -10,19 +12,14 @@ MIB = 1 << 20
 def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     """Settings that follow the volume of a job.
 
-    Shuffles start with about 256 MiB per partition, at least two per core, and AQE
-    merges what turns out small. The number is bounded because a shuffle keeps
-    mappers x reducers blocks; scan splits grow to 1 GiB for the same reason.
-    Shuffling a wide fact costs far more than sending a key-and-surrogate table of
-    128 MiB to every executor, so larger inputs may broadcast up to that size.
+    Shuffles start with about 256 MiB per partition, at least two per core, and AQE merges
+    what turns out small. Scan splits and the size up to which tables are broadcast are the
+    same for every volume.
     """
-    split = min(1024 * MIB, max(128 * MIB, input_bytes // 100_000))
-    partitions = min(40_000, max(2 * cores, input_bytes // (256 * MIB)))
-    broadcast = min(128 * MIB, max(10 * MIB, input_bytes // 10_000))
     return {
-        "spark.sql.autoBroadcastJoinThreshold": str(broadcast),
-        "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * MIB),
+        "spark.sql.files.maxPartitionBytes": str(256 * MIB),
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // (256 * MIB)))),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -31,6 +28,20 @@ def sizing(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def input_bytes(df: DataFrame) -> int:
+    """What Spark expects ``df`` to read, from file sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def apply_sizing(spark: SparkSession, sources: Iterable[DataFrame]) -> None:
+    """Size the session for jobs over ``sources``; what was set at its start stays."""
+    size = sum(map(input_bytes, sources))
+    given = spark.sparkContext.getConf()
+    for key, value in sizing(size, spark.sparkContext.defaultParallelism).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
     """A session for tests and benches on one machine."""
     builder = (

@@ -1,8 +1,9 @@
 """Landed envelopes, declared schemas and the shared work folder."""
 
 from starlode.sources.landing import (
+    OTHER,
+    all_fields,
     child_records,
-    discover_columns,
     distinct_parents,
     explode_records,
     missing_parents,
@@ -15,8 +16,9 @@ from starlode.sources.schemas import envelope_schema, string_schema
 from starlode.sources.shared import materialize, shared_path
 
 __all__ = [
+    "OTHER",
+    "all_fields",
     "child_records",
-    "discover_columns",
     "distinct_parents",
     "envelope_schema",
     "explode_records",

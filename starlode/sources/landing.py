@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 
 from starlode.sources.schemas import envelope_schema
 
+#: Column of Bronze tables with the landed fields that no column is declared for.
+OTHER = "other_fields"
+
 
 def read_envelopes(
     spark: SparkSession,
@@ -77,17 +80,29 @@ def project_records(
     return records.select(*picked, *carry)
 
 
-def discover_columns(records: DataFrame, at_most: int = 2000) -> list[str]:
-    """Sorted field names over *all* records of map type.
+def all_fields(
+    records: DataFrame, columns: Sequence[str], carry: Sequence[str] = (), other: str = OTHER
+) -> DataFrame:
+    """Records of map type -> named text columns, and a map ``other`` of what is left.
 
-    For entities without a declared column list. Only names travel to the driver;
-    more than ``at_most`` of them is an error, never a cut.
+    A name is looked up as it stands, then without regard to case. Null records vanish.
     """
-    names = records.select(F.explode(F.map_keys("record")).alias("name")).distinct()
-    found = [row["name"] for row in names.limit(at_most + 1).collect()]
-    if len(found) > at_most:
-        raise ValueError(f"more than {at_most} different field names in the landed records")
-    return sorted(found)
+    low = [c.lower() for c in columns]
+    odd = F.map_filter("record", lambda k, _: ~k.isin(list(columns)))
+    split = records.filter(F.col("record").isNotNull()).withColumn("_odd", odd)
+
+    def pick(column: str) -> Column:
+        same = F.map_filter("_odd", lambda k, _: F.lower(k) == column.lower())
+        late = F.when(F.size("_odd") > 0, F.get(F.map_values(same), F.lit(0)))
+        return F.coalesce(F.col("record").getItem(column), late).alias(column)
+
+    rest = F.map_filter("_odd", lambda k, _: ~F.lower(k).isin(low))
+    return split.select(*map(pick, columns), *carry, F.when(F.size(rest) > 0, rest).alias(other))
+
+
+def null_records() -> Column:
+    """How many elements of all pages are null."""
+    return F.sum(F.size(F.filter("data", lambda r: r.isNull())))
 
 
 def child_records(envelopes: DataFrame, columns: Sequence[str], parent: str) -> DataFrame:

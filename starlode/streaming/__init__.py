@@ -1,5 +1,5 @@
 """Incremental Bronze loads with Structured Streaming."""
 
-from starlode.streaming.landing_stream import stream_bronze
+from starlode.streaming.landing_stream import run_bronze_new_files, stream_bronze
 
-__all__ = ["stream_bronze"]
+__all__ = ["run_bronze_new_files", "stream_bronze"]

@@ -6,14 +6,43 @@ takes the place of the watermark scan and of the delta filter of ``run_bronze``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from starlode.operators.conform import EntitySpec
+from starlode.operators.load import INCREMENTAL, write_table
+from starlode.plans.entities import ENTITIES
 from starlode.plans.jobs import bronze_rows, stamped_bronze
+from starlode.plans.lakehouse import Lakehouse, LoadReport
 from starlode.sources.schemas import envelope_schema
 
 
+def _reader(spark: SparkSession, spec: EntitySpec) -> DataStreamReader:
+    schema = envelope_schema(carried=[spec.parent] if spec.parent else [])
+    return spark.readStream.schema(schema).option("mode", "FAILFAST")
+
+
+def run_bronze_new_files(
+    spark: SparkSession, lake: Lakehouse, entity: str, landing: str, state: str
+) -> LoadReport:
+    """Append the records of files no earlier run has read, whatever their watermark.
+
+    ``state`` is a folder that remembers the files. A run that dies after writing and before
+    noting so repeats its rows, which the Silver dedup folds.
+    """
+    spec, table = ENTITIES[entity], lake.table("bronze", entity)
+    written = []
+
+    def append(batch: DataFrame, _number: int) -> None:
+        rows = stamped_bronze(bronze_rows(batch, spec), spec)
+        written.append(write_table(rows, table, INCREMENTAL, path=lake.path("bronze", entity)))
+
+    stream = _reader(spark, spec).json(landing).writeStream.foreachBatch(append)
+    stream = stream.option("checkpointLocation", state).trigger(availableNow=True)
+    stream.start().awaitTermination()
+    return LoadReport(table, INCREMENTAL if written else None, sum(written))
+
+
 def stream_bronze(
     spark: SparkSession,
     spec: EntitySpec,
@@ -27,16 +56,11 @@ def stream_bronze(
 ) -> StreamingQuery:
     """Append the records of new files to ``table`` or to Parquet files under ``path``.
 
-    Needs declared columns. The default trigger drains what has landed and stops.
+    The default trigger drains what has landed and stops.
     """
-    if not spec.types:
-        raise ValueError(f"{spec.name}: a stream needs declared columns")
     if (table is None) == (path is None):
         raise ValueError("give either a table or a path")
-    schema = envelope_schema(
-        [c for c in spec.types if c != spec.parent], [spec.parent] if spec.parent else []
-    )
-    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    reader = _reader(spark, spec)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = stamped_bronze(bronze_rows(reader.json(landing), spec), spec)

@@ -345,7 +345,7 @@ ORACLE: dict[str, str] = {
     "join_inner_using": f"""
         SELECT c_custkey, o_orderkey, c_name
         FROM ({newest_sql("SELECT * FROM orders", "o_custkey", ["o_orderdate", "o_orderkey"])})
-        JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0""",
+        JOIN (SELECT 2 * c_custkey AS c_custkey, c_name FROM customer) ON o_custkey = c_custkey""",
     "join_star_left": f"""
         SELECT o_orderkey, cust, status, o_orderpriority, nation, region,
                {crc("c_custkey")} AS sk_cust, {crc("st")} AS sk_status, {crc("pr")} AS sk_priority,
@@ -361,10 +361,11 @@ ORACLE: dict[str, str] = {
     "join_detail_left": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, supp, {crc("p_partkey")} AS sk_part,
                {crc("s_suppkey")} AS sk_supp, {crc("o_orderkey")} AS sk_order
-        FROM (SELECT *, CASE WHEN l_linenumber <> 3 THEN l_suppkey END AS supp FROM lineitem)
+        FROM (SELECT * REPLACE (if(l_linenumber = 2, -l_orderkey, l_orderkey) AS l_orderkey),
+                     CASE WHEN l_linenumber <> 3 THEN l_suppkey END AS supp FROM lineitem)
         LEFT JOIN part ON l_partkey = p_partkey
         LEFT JOIN supplier ON supp = s_suppkey
-        LEFT JOIN orders ON l_orderkey = o_orderkey AND o_orderstatus <> 'P'""",
+        LEFT JOIN orders ON l_orderkey = o_orderkey""",
     "fanout_guard": f"""
         SELECT line_id, count(*) AS copies FROM {_LINE_IDS} GROUP BY line_id HAVING count(*) > 1""",
     "surrogate_collisions": f"""
@@ -378,13 +379,24 @@ ORACLE: dict[str, str] = {
     },
     "bronze_incremental": f"""
         WITH users AS (SELECT *, name LIKE '%Ação ' AS second FROM ({bronze_sql("users")}))
-        SELECT * EXCLUDE (second) FROM users
-        WHERE NOT second OR updatedAt > (SELECT max(updatedAt) FROM users WHERE NOT second)""",
+        SELECT * EXCLUDE (second) FROM (
+          SELECT * REPLACE (CASE WHEN second AND cast(userId AS bigint) % 7 = 0 THEN NULL ELSE updatedAt END AS updatedAt)
+          FROM users)
+        WHERE NOT second OR updatedAt IS NULL
+           OR cast(updatedAt AS timestamp) > (SELECT max(cast(updatedAt AS timestamp)) FROM users WHERE NOT second)""",
+    "bronze_incremental_results": f"""
+        WITH r AS (SELECT resultId, evaluationId, answeredAt FROM ({bronze_sql("evaluations_results")}))
+        SELECT * FROM r UNION ALL SELECT * FROM r WHERE answeredAt IS NULL""",
+    "bronze_extra_fields": """
+        SELECT cast(c_custkey AS varchar) AS userTypeId, c_name AS name,
+               '2024-01-01 00:00:00' AS updatedAt, c_mktsegment AS segment FROM customer""",
+    "bronze_superseded_countries": "SELECT cast(n_nationkey AS varchar) AS countryId, n_name AS name FROM nation",
+    "bronze_superseded_departments": """
+        SELECT cast(o_custkey AS varchar) AS departmentId, cast(o_orderdate AS varchar) AS date FROM orders""",
     "bronze_children": bronze_sql("evaluations_results"),
     "bronze_superseded": """
         SELECT cast(o_orderkey AS varchar) AS evaluationId,
-               CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderdate AS varchar) END AS date,
-               cast(NULL AS timestamp) AS DT_HR_CARGA FROM orders""",
+               CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderdate AS varchar) END AS date FROM orders""",
     "bronze_stream": bronze_sql("items"),
     **{f"silver_{entity}": silver_sql(entity) for entity in SILVER},
     **DIMS,

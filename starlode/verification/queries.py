@@ -48,10 +48,10 @@ from starlode.operators import (
 )
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
 from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, build_gold, run_bronze
-from starlode.plans.entities import BRONZE_ONLY
-from starlode.plans.jobs import bronze_rows, in_parallel, landed_columns, stamped_bronze
+from starlode.plans.jobs import in_parallel
 from starlode.plans.star_schema import linked_tables
 from starlode.sources import (
+    OTHER,
     child_records,
     distinct_parents,
     explode_records,
@@ -522,10 +522,10 @@ def latest_with_nulls_and_ties(spark, sf_dir):
 
 @query
 def join_inner_using(spark, sf_dir):
-    """Newest order per customer, then only customers of a known segment nation."""
+    """Newest order per customer, with customers under twice their key: half find none."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
     newest = latest_by_key(orders, "o_custkey", "o_orderdate").withColumnRenamed("o_custkey", "c_custkey")
-    customers = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 0)
+    customers = table(spark, sf_dir, "customer").withColumn("c_custkey", 2 * F.col("c_custkey"))
     return newest.alias("a").join(customers.alias("b"), on="c_custkey", how="inner").select(
         "c_custkey", F.col("a.o_orderkey").alias("o_orderkey"), F.col("b.c_name").alias("c_name")
     )
@@ -569,9 +569,10 @@ def join_star_left(spark, sf_dir):
 
 @query
 def join_detail_left(spark, sf_dir):
-    """Lines with part, supplier and order."""
+    """Lines with part, supplier and order; the second line of an order is an orphan."""
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity",
+        F.when(F.col("l_linenumber") == 2, -F.col("l_orderkey")).otherwise(F.col("l_orderkey")).alias("l_orderkey"),
+        "l_linenumber", "l_partkey", "l_quantity",
         F.when(F.col("l_linenumber") != 3, F.col("l_suppkey")).alias("supp"),
     )
     dims = {
@@ -579,7 +580,7 @@ def join_detail_left(spark, sf_dir):
         "supplier": table(spark, sf_dir, "supplier").select(
             "s_suppkey", surrogate_key("s_suppkey").alias("sk_supp")
         ),
-        "orders": table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
+        "orders": table(spark, sf_dir, "orders").select(
             "o_orderkey", surrogate_key("o_orderkey").alias("sk_order")
         ),
     }
@@ -617,12 +618,24 @@ def _land(spark, envelopes, name):
     return path
 
 
+def loaded_bronze(
+    spark: SparkSession, entity: str, landings: list[DataFrame], modes: list[str]
+) -> DataFrame:
+    """The Bronze table of an entity after one load per landing; its audit column is dropped."""
+    lake = Lakehouse(
+        bronze="default", prefix=f"{fresh_name('load')}_", location=shared_path(spark, "lake")
+    )
+    found = [run_bronze(spark, lake, entity, _land(spark, df, entity)).mode for df in landings]
+    if found != modes:
+        raise AssertionError(f"unexpected load modes {found}")
+    return without_stamp(scanned(spark, lake.table("bronze", entity)))
+
+
 def landed_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    """An entity landed as pages of JSON lines and read into Bronze rows."""
-    spec = SILVER[entity]
+    """An entity landed as pages of JSON lines and loaded by its job."""
     source = frames.bronze(spark, sf_dir, entity)
-    path = _land(spark, pages(source, source.columns), entity)
-    return bronze_rows(read_envelopes(spark, path, spec.types), spec)
+    rows = loaded_bronze(spark, entity, [pages(source, source.columns)], [FULL])
+    return rows.select(*SILVER[entity].types)
 
 
 @query
@@ -636,19 +649,27 @@ for _entity in ("checklists", "categories", "items", "units", "users", "user_typ
 
 @query
 def bronze_incremental(spark, sf_dir):
-    """Two loads of users: the first version in full, the second past the watermark."""
-    lake = Lakehouse(
-        bronze="default", prefix=f"{fresh_name('load')}_", location=shared_path(spark, "lake")
-    )
+    """Two loads of users: the first version in full, the second past the watermark.
+
+    Every seventh user's second version has no watermark value and is loaded all the same.
+    """
     users = frames.bronze(spark, sf_dir, "users")
     second = F.col("name").endswith("Ação ")
-    modes = []
-    for version in (users.filter(~second), users.filter(second)):
-        landing = _land(spark, pages(version, version.columns), "users")
-        modes.append(run_bronze(spark, lake, "users", landing).mode)
-    if modes != [FULL, INCREMENTAL]:
-        raise AssertionError(f"unexpected load modes {modes}")
-    return without_stamp(scanned(spark, lake.table("bronze", "users")))
+    undated = users.filter(second).withColumn(
+        "updatedAt", F.when(F.col("userId").cast("long") % 7 != 0, F.col("updatedAt"))
+    )
+    landings = [pages(v, users.columns) for v in (users.filter(~second), undated)]
+    return loaded_bronze(spark, "users", landings, [FULL, INCREMENTAL]).select(*users.columns)
+
+
+@query
+def bronze_incremental_results(spark, sf_dir):
+    """Results loaded twice: a second load of the same rows brings back the unanswered ones."""
+    spec = SILVER["evaluations_results"]
+    source = frames.bronze(spark, sf_dir, spec.name)
+    landing = child_pages(source, [c for c in spec.types if c != spec.parent], spec.parent)
+    rows = loaded_bronze(spark, spec.name, [landing, landing], [FULL, INCREMENTAL])
+    return rows.select("resultId", "evaluationId", "answeredAt")
 
 
 @query
@@ -656,23 +677,66 @@ def bronze_children(spark, sf_dir):
     """Results landed as pages of their evaluations and stamped with its id."""
     spec = SILVER["evaluations_results"]
     source = frames.bronze(spark, sf_dir, spec.name)
-    own = [c for c in spec.types if c != spec.parent]
-    path = _land(spark, child_pages(source, own, spec.parent), spec.name)
-    return bronze_rows(read_envelopes(spark, path, own, carried=[spec.parent]), spec)
+    landing = child_pages(source, [c for c in spec.types if c != spec.parent], spec.parent)
+    return loaded_bronze(spark, spec.name, [landing], [FULL]).select(*spec.types)
+
+
+@query
+def bronze_extra_fields(spark, sf_dir):
+    """User types whose watermark is spelled otherwise, with a field nobody declared, and nulls."""
+    customers = table(spark, sf_dir, "customer")
+    record = F.struct(
+        F.col("c_custkey").alias("userTypeId"),
+        F.col("c_name").alias("name"),
+        F.lit("2024-01-01 00:00:00").alias("UpdatedAt"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+    landing = customers.select(
+        F.array(record, F.when(F.lit(False), record)).alias("data"),
+        F.struct(F.lit(False).alias("hasMore")).alias("meta"),
+    )
+    payloads = landing.select(F.to_json(F.struct("data", "meta"), {"ignoreNullFields": "false"}))
+    path = shared_path(spark, "extra")
+    payloads.write.text(path)
+    lake = Lakehouse(
+        bronze="default", prefix=f"{fresh_name('extra')}_", location=shared_path(spark, "lake")
+    )
+    run_bronze(spark, lake, "user_types", path)
+    rows = scanned(spark, lake.table("bronze", "user_types"))
+    return rows.select("userTypeId", "name", "updatedAt", F.col(OTHER)["segment"].alias("segment"))
+
+
+def superseded(spark: SparkSession, entity: str, source: DataFrame) -> DataFrame:
+    """An undeclared entity after a load: its records are maps, here shown by column."""
+    rows = loaded_bronze(spark, entity, [pages(source, source.columns)], [FULL])
+    return project_records(rows, source.columns)
 
 
 @query
 def bronze_superseded(spark, sf_dir):
-    """History records, whose columns are taken from what landed; the stamp stays null."""
-    spec = BRONZE_ONLY["evaluations_history"]
+    """History records."""
     source = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("evaluationId"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("string")).alias("date"),
     )
-    path = _land(spark, pages(source, source.columns), spec.name)
-    envelopes = read_envelopes(spark, path)
-    rows = bronze_rows(envelopes, spec, landed_columns(envelopes, spec))
-    return as_wall_clock(stamped_bronze(rows, spec))
+    return superseded(spark, "evaluations_history", source)
+
+
+@query
+def bronze_superseded_countries(spark, sf_dir):
+    source = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("string").alias("countryId"), F.col("n_name").alias("name")
+    )
+    return superseded(spark, "countries", source)
+
+
+@query
+def bronze_superseded_departments(spark, sf_dir):
+    source = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("departmentId"),
+        F.col("o_orderdate").cast("string").alias("date"),
+    )
+    return superseded(spark, "evaluations_departments", source)
 
 
 @query
@@ -683,7 +747,7 @@ def bronze_stream(spark, sf_dir):
     landing = _land(spark, pages(source, source.columns), "items")
     target = shared_path(spark, "items_bronze")
     stream_bronze(spark, spec, landing, shared_path(spark, "items_state"), path=target).awaitTermination()
-    return without_stamp(spark.read.parquet(target))
+    return without_stamp(spark.read.parquet(target)).select(*spec.types)
 
 
 # --- Silver and Gold tables ------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from starlode.__main__ import main
@@ -38,10 +40,35 @@ def test_unknown_names_are_refused(spark):
 def test_sizing_follows_the_volume():
     small, large = sizing(MIB, 8), sizing(100 * 1024**4, 8000)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
-    assert int(large["spark.sql.shuffle.partitions"]) == 40_000
-    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024 * MIB
-    assert (small["spark.sql.autoBroadcastJoinThreshold"], large["spark.sql.autoBroadcastJoinThreshold"]) == (
-        str(10 * MIB), str(128 * MIB),
-    )
+    assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024 * 4
+    same = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.maxPartitionBytes")
+    assert all(small[k] == large[k] for k in same)
     assert large["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_loads_are_sized(spark, lake, tmp_path):
+    """Settings of the session's start stay, the others follow the load."""
+    land(tmp_path)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1m")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    where = ["--bronze", lake.bronze, "--silver", lake.silver, "--gold", lake.gold]
+    main(["bronze", "items", "--landing", str(tmp_path), "--file-per-envelope", *where], spark)
+    assert spark.conf.get(key) == str(256 * MIB)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    spark.conf.unset(key)
+
+
+def test_new_files_only(spark, lake, tmp_path):
+    where = ["--bronze", lake.bronze, "--silver", lake.silver, "--gold", lake.gold]
+    (tmp_path / "items").mkdir()
+    for number in (1, 2):
+        page = {"data": [{"itemId": number}], "meta": {"hasMore": False}}
+        (tmp_path / "items" / f"{number}.json").write_text(json.dumps(page))
+        (report,) = main(
+            ["bronze", "items", "--landing", str(tmp_path), "--state", str(tmp_path / "state"), *where], spark
+        )
+        assert report.rows == 1
+    (report,) = main(["bronze", "items", "--landing", str(tmp_path), "--state", str(tmp_path / "state"), *where], spark)
+    assert (report.mode, report.rows) == (None, 0)
+    assert spark.table(f"{lake.bronze}.items").count() == 2

@@ -8,10 +8,13 @@ import zlib
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from starlode.functions import STAMP
 from starlode.operators import latest_by_key, without_stamp
+from starlode.operators.guards import key_faults
 from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, run_all, run_bronze, run_gold, run_silver
+from starlode.sources import OTHER
 from starlode.streaming import stream_bronze
 from tests.landed import RECORDS, land, when, write_pages
 
@@ -53,8 +56,8 @@ def table(spark, built, layer, name, *columns):
 def test_bronze_is_text_and_complete(spark, built):
     for entity, records in RECORDS.items():
         df = spark.table(built[0].table("bronze", entity))
-        assert df.columns == [*SILVER[entity].types, STAMP]
-        assert {t for c, t in df.dtypes if c != STAMP} == {"string"}
+        assert df.columns == [*SILVER[entity].types, OTHER, STAMP]
+        assert {t for c, t in df.dtypes if c not in (STAMP, OTHER)} == {"string"}
         assert df.count() == len(records) and df.filter(f"{STAMP} IS NULL").count() == 0
         report = built[1][built[0].table("bronze", entity)]
         assert (report.mode, report.rows, report.complete) == ("FULL", len(records), True)
@@ -237,15 +240,15 @@ def test_incremental_load_appends_only_newer_rows(spark, lake, tmp_path):
     load = lambda path, **kw: run_bronze(spark, lake, "user_types", str(path), file_per_envelope=True, **kw)
     assert load(tmp_path / "one").mode == "FULL"
     report = load(tmp_path / "two")
-    assert (report.mode, report.rows) == ("INCREMENTAL", 1)
+    assert (report.mode, report.rows, report.undated) == ("INCREMENTAL", 2, 1)
     run_silver(spark, lake, "user_types")
     names = lambda: {tuple(r) for r in spark.table(lake.table("silver", "user_types")).select("userTypeId", "name").collect()}
-    assert names() == {(1, "A2"), (2, "B")}
-    # nothing newer: appends nothing
-    assert load(tmp_path / "two").rows == 0
+    assert names() == {(1, "A2"), (2, "B"), (4, "NO VERSION")}
+    # nothing newer: appends only what has no version
+    assert load(tmp_path / "two").rows == 1
     # forced: replaces everything
     assert load(tmp_path / "one", force_full=True).rows == 2
-    assert load(tmp_path / "two", inclusive=True).rows == 2
+    assert load(tmp_path / "two", inclusive=True).rows == 3
 
 
 def test_full_plus_incremental_equals_full(spark, lake, tmp_path):
@@ -285,25 +288,56 @@ def test_an_incomplete_set_is_reported(spark, lake, tmp_path):
 
 
 def test_undeclared_entities(spark, lake, tmp_path):
-    """Columns come from all records; history keeps its stamp null."""
+    """Records are kept as maps, new fields included; history keeps its stamp null."""
     write_pages(tmp_path / "h1", [{"evaluationId": 1, "date": when(1)}, {"evaluationId": 2, "note": "x"}])
     write_pages(tmp_path / "h2", [{"evaluationId": 3, "date": when(2)}, {"evaluationId": 1, "date": when(1)}])
-    table_name = lake.table("bronze", "evaluations_history")
-    for folder, mode in (("h1", "FULL"), ("h2", "INCREMENTAL")):
+    write_pages(tmp_path / "h3", [{"evaluationId": 4, "date": when(3), "surprise": 1}])
+    for folder, mode in (("h1", "FULL"), ("h2", "INCREMENTAL"), ("h3", "INCREMENTAL")):
         report = run_bronze(spark, lake, "evaluations_history", str(tmp_path / folder), file_per_envelope=True)
         assert report.mode == mode
-    assert {tuple(r) for r in spark.table(table_name).collect()} == {
-        (when(1), "1", None, None), (None, "2", "x", None), (when(2), "3", None, None),
+    history = spark.table(lake.table("bronze", "evaluations_history"))
+    assert history.columns == ["date", "record", STAMP]
+    assert {(r.date, r.record["evaluationId"], r.record.get("note"), r.record.get("surprise")) for r in history.collect()} == {
+        (when(1), "1", None, None), (None, "2", "x", None), (when(2), "3", None, None), (when(3), "4", None, "1"),
     }
-    write_pages(tmp_path / "h3", [{"evaluationId": 4, "date": when(3), "surprise": 1}])
-    with pytest.raises(ValueError, match="surprise"):
-        run_bronze(spark, lake, "evaluations_history", str(tmp_path / "h3"), file_per_envelope=True)
+    assert history.filter(f"{STAMP} IS NOT NULL").isEmpty()
     write_pages(tmp_path / "c", [{"countryId": 1, "name": "Brasil"}])
     for _ in range(2):
         report = run_bronze(spark, lake, "countries", str(tmp_path / "c"), file_per_envelope=True)
         assert (report.mode, report.rows) == ("FULL", 1)
     stamped = spark.table(lake.table("bronze", "countries"))
-    assert stamped.columns == ["countryId", "name", STAMP] and stamped.filter(f"{STAMP} IS NULL").count() == 0
+    assert stamped.columns == ["record", STAMP] and stamped.filter(f"{STAMP} IS NULL").count() == 0
+
+
+def test_reports_of_guards(spark, lake, tmp_path):
+    """Parents without children, null records, keys that repeat or collide."""
+    write_pages(tmp_path / "e", [{"evaluationId": i, "updatedAt": when(1)} for i in (1, 2, 3)] + [None])
+    assert run_bronze(spark, lake, "evaluations", str(tmp_path / "e"), file_per_envelope=True).null_records == 1
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "p.json").write_text(json.dumps({"evaluationId": 1, "data": [{"resultId": 5}], "meta": {}}))
+    report = run_bronze(spark, lake, "evaluations_results", str(tmp_path / "r"))
+    assert (report.missing_parents, report.undated, report.null_records) == (2, 1, 0)
+    rows = [{"categoryId": i, "updatedAt": when(1)} for i in (7, 7, 8)]
+    write_pages(tmp_path / "c", rows)
+    run_bronze(spark, lake, "categories", str(tmp_path / "c"), file_per_envelope=True)
+    run_silver(spark, lake, "categories", keep="all")
+    report = run_gold(spark, lake, "dim_categorias")
+    assert (report.rows, report.duplicate_keys, report.key_collisions) == (3, 1, 0)
+    assert run_gold(spark, lake, "dim_categorias", where=F.col("categoryId") == 8).rows == 1
+    pair = spark.createDataFrame([(1, 9), (2, 9), (None, 3), (3, 4)], "k long, sk long")
+    assert key_faults(pair, "k", "sk") == (0, 1)
+
+
+def test_a_linked_fact_is_not_grouped_again(spark, lake, tmp_path, monkeypatch):
+    root = land(tmp_path)
+    for entity in SILVER:
+        pattern = PARENT if entity == "evaluations_results" else None
+        run_bronze(spark, lake, entity, str(root / entity), file_per_envelope=True, parent_pattern=pattern)
+        run_silver(spark, lake, entity)
+    for name in (*DIMENSIONS, "fato_checklists_aplicados"):
+        run_gold(spark, lake, name)
+    monkeypatch.setattr("starlode.plans.jobs.require_unique", None)
+    assert run_gold(spark, lake, "fato_checklists_aplicados_resultados").rows == 4
 
 
 def test_run_all_from_json_lines(spark, lake, tmp_path):
@@ -375,7 +409,3 @@ def test_stream_reads_every_file_once(spark, lake, tmp_path):
 def test_stream_arguments(spark):
     with pytest.raises(ValueError, match="either"):
         stream_bronze(spark, SILVER["items"], "a", "b")
-    from starlode.plans import ENTITIES
-
-    with pytest.raises(ValueError, match="declared"):
-        stream_bronze(spark, ENTITIES["countries"], "a", "b", path="c")

@@ -17,6 +17,7 @@ from starlode.operators import (
     without_stamp,
     write_table,
 )
+from starlode.operators.load import set_table_properties, watermark_key
 from tests.conftest import plan_text
 
 
@@ -42,8 +43,37 @@ def test_watermark_of_text_compares_as_text(spark, name):
 
 def test_newer_than_is_strict_unless_told(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "v string")
-    assert [r.v for r in newer_than(df, "v", "b").collect()] == ["c"]
-    assert [r.v for r in newer_than(df, "v", "b", inclusive=True).collect()] == ["b", "c"]
+    assert [r.v for r in newer_than(df, "v", "b").collect()] == ["c", None]
+    assert [r.v for r in newer_than(df, "v", "b", inclusive=True).collect()] == ["b", "c", None]
+
+
+def test_newer_than_by_type(spark):
+    days = ["2024-01-01T00:00:00", "2024-01-01 12:00:00", "2024-01-02", "no day"]
+    df = spark.createDataFrame([(d,) for d in days], "v string")
+    by_text, by_time = (
+        [r.v for r in newer_than(df, "v", "2024-01-01 08:00:00", data_type=t).collect()] for t in (None, "timestamp")
+    )
+    assert by_text == days and by_time == days[1:]
+
+
+def test_the_watermark_is_stored_with_the_table(spark, name):
+    spark.createDataFrame([("2024-01-02",)], "day string").write.saveAsTable(name)
+    set_table_properties(spark, name, {watermark_key("day"): "2024-05-05"})
+    assert plan_load(spark, name, "day") == LoadPlan("INCREMENTAL", "2024-05-05")
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_a_failing_overwrite_leaves_the_old_rows(spark, name, tmp_path, external):
+    path = str(tmp_path / "t") if external else None
+    write_table(spark.range(3), name, path=path)
+    with pytest.raises(Exception, match="stop"):
+        write_table(spark.range(5).select(F.raise_error(F.lit("stop")).cast("long").alias("id")), name, path=path)
+    assert spark.table(name).count() == 3
+    write_table(spark.range(7), name, path=path)
+    write_table(spark.range(2), name, "INCREMENTAL", path=path)
+    assert spark.table(name).count() == 9
+    if external:
+        assert len(list((tmp_path / "t").glob("v-*"))) == 2  # the failed attempt's and the current
 
 
 def test_delta_filter_reaches_the_scan(spark, tmp_path):
@@ -63,7 +93,7 @@ def test_full_overwrites_and_everything_else_appends(spark, name):
 
 def test_external_table(spark, name, tmp_path):
     write_table(spark.range(3), name, path=str(tmp_path / "ext"))
-    assert spark.read.parquet(str(tmp_path / "ext")).count() == 3
+    assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "ext")).count() == 3
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark):

@@ -78,11 +78,15 @@ def test_string_schema():
     assert all(f.nullable for f in schema)
 
 
-def test_columns_are_found_in_all_records(spark, lines):
-    records = src.explode_records(src.read_envelopes(spark, lines))
-    assert src.discover_columns(records) == ["extra", "flag", "id", "list", "nest", "price", "tags"]
-    with pytest.raises(ValueError, match="more than 3"):
-        src.discover_columns(records, at_most=3)
+def test_no_field_is_lost(spark, tmp_path):
+    """Five thousand undeclared fields, another spelling of a declared one, and a null record."""
+    wide = {f"f{i}": str(i) for i in range(5000)}
+    page = {"data": [{"id": "1", "Name": "a", **wide}, None, {"ID": "2", "name": None}]}
+    (tmp_path / "p.json").write_text(json.dumps(page))
+    envelopes = src.read_envelopes(spark, str(tmp_path))
+    found = src.all_fields(src.explode_records(envelopes), ["id", "name"]).collect()
+    assert [(r.id, r.name) for r in found] == [("1", "a"), ("2", None)]
+    assert found[0][src.OTHER] == wide and found[1][src.OTHER] is None
 
 
 @pytest.mark.parametrize(
