@@ -272,7 +272,7 @@ def line_dedup(
     names = {k: fresh(docs, f"{k}_of_lines") for k in ("chunk", "digest", "id")} | {"text": text_col}
     spread = docs.withColumns(
         {
-            names["chunk"]: F.pmod(F.xxhash64(F.col(id_col)), F.lit(chunks)),
+            names["chunk"]: F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(chunks)),
             names["digest"]: F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
             names["id"]: F.col(id_col).cast("long"),
         }

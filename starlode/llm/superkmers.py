@@ -384,11 +384,9 @@ def ship(
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(least, -(-size // chunk_bytes))
     plan = Plan(k, m, words, chunks, buckets_per_chunk * chunks, hot)
-    spread = rows.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(plan.chunks)).alias("chunk"),
-        F.xxhash64("doc_id", "text").alias("row_key"),
-        "doc_id",
-        "text",
+    # by id and text: neither null ids nor an id that repeats makes a large chunk
+    spread = rows.withColumn("row_key", F.xxhash64("doc_id", "text")).select(
+        F.pmod("row_key", F.lit(plan.chunks)).alias("chunk"), "row_key", "doc_id", "text"
     )
     asked = spread.groupBy("chunk").applyInArrow(_census(plan), PACKET)
     known = asked.groupBy("bucket").applyInArrow(census_answer(plan.hot), PACKET)
