@@ -25,6 +25,7 @@ from starlode.plans import (
     run_bronze,
     run_gold,
     run_silver,
+    run_silver_delta,
 )
 from starlode.session import apply_sizing
 from starlode.streaming import run_bronze_new_files
@@ -62,6 +63,7 @@ def arguments() -> argparse.ArgumentParser:
     silver = layers.add_parser("silver", parents=[common])
     silver.add_argument("name", choices=SILVER)
     silver.add_argument("--keep", choices=("latest", "any", "all"))
+    silver.add_argument("--delta", action="store_true", help="rewrite only what new rows touch")
     gold = layers.add_parser("gold", parents=[common, keys])
     gold.add_argument("name", choices=[*DIMENSIONS, *FACTS])
     gold.add_argument("--where", help="SQL condition on the Silver rows of a dimension")
@@ -91,7 +93,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             reports = [run_bronze(spark, lake, args.name, path, **options)]
     elif args.layer == "silver":
         apply_sizing(spark, [spark.read.table(lake.table("bronze", args.name))])
-        reports = [run_silver(spark, lake, args.name, args.keep)]
+        if args.delta:
+            reports = [run_silver_delta(spark, lake, args.name)]
+        else:
+            reports = [run_silver(spark, lake, args.name, args.keep)]
     elif args.layer == "gold":
         source = (DIMENSIONS | FACTS)[args.name].source
         apply_sizing(spark, [spark.read.table(lake.table("silver", source))])

@@ -53,6 +53,12 @@ def set_table_properties(spark: SparkSession, table: str, values: dict[str, Any]
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a table's files."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
+    return rows[-1]["data_type"].rstrip("/")
+
+
 def watermark_key(column: str) -> str:
     return f"starlode.watermark.{column}"
 
@@ -161,8 +167,7 @@ def _own_version(spark: SparkSession, table: str, path: str | None) -> str | Non
     """Where the rows of ``table`` lie, if that is a folder written below ``path``."""
     if path is None:
         return None
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").collect()
-    location = rows[-1]["data_type"].rstrip("/") if rows else ""
+    location = table_location(spark, table)
     parent, _, name = location.rpartition("/")
     return location if name.startswith("v-") and parent.endswith(path.rstrip("/").split(":")[-1]) else None
 

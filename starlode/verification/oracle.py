@@ -399,6 +399,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN o_orderstatus <> 'P' THEN cast(o_orderdate AS varchar) END AS date FROM orders""",
     "bronze_stream": bronze_sql("items"),
     **{f"silver_{entity}": silver_sql(entity) for entity in SILVER},
+    "silver_incremental": silver_sql("users"),
     **DIMS,
     "fact_applied": APPLIED,
     "fact_results": RESULTS,

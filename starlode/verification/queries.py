@@ -48,7 +48,7 @@ from starlode.operators import (
 )
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
 from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, build_gold, run_bronze
-from starlode.plans.jobs import in_parallel
+from starlode.plans.jobs import BUCKET, in_parallel, run_silver_delta
 from starlode.plans.star_schema import linked_tables
 from starlode.sources import (
     OTHER,
@@ -797,6 +797,28 @@ for _entity in SILVER:
         lambda spark, sf_dir, entity: as_wall_clock(silver(spark, sf_dir, entity)), entity=_entity
     )
 
+@query
+def silver_incremental(spark, sf_dir):
+    """Users built from two Bronze loads, the second by the buckets it touches."""
+    name = fresh_name("delta")
+    for layer in ("bronze", "silver"):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS starlode_{layer}")
+    lake = Lakehouse("starlode_bronze", "starlode_silver", prefix=f"{name}_", location=shared_path(spark, "lake"))
+    users = frames.bronze(spark, sf_dir, "users")
+    second = F.col("name").endswith("Ação ")
+    modes = []
+    for rows, mode in ((users.filter(~second), FULL), (users.filter(second), INCREMENTAL)):
+        bronze = lake.table("bronze", "users")
+        write_table(stamp_load(rows), bronze, mode, path=lake.path("bronze", "users"))
+        modes.append(run_silver_delta(spark, lake, "users", buckets=16).mode)
+    if modes != [FULL, INCREMENTAL]:
+        raise AssertionError(f"unexpected load modes {modes}")
+    made = without_stamp(spark.read.parquet(lake.path("silver", "users")))
+    for layer, entity in (("bronze", "users"), ("silver", "users"), ("silver", "users_versions")):
+        spark.sql(f"DROP TABLE {lake.table(layer, entity)}")
+    return as_wall_clock(made.drop(BUCKET))
+
+
 GOLD_KEYS = {
     "dim_status": "dim_status",
     "dim_plataforma": "dim_plataforma",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from starlode.functions import STAMP
 from starlode.operators import latest_by_key, without_stamp
 from starlode.operators.guards import key_faults
-from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, run_all, run_bronze, run_gold, run_silver
+from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, run_all, run_bronze, run_gold, run_silver, run_silver_delta
 from starlode.sources import OTHER
 from starlode.streaming import stream_bronze
 from tests.landed import RECORDS, land, when, write_pages
@@ -309,6 +309,27 @@ def test_undeclared_entities(spark, lake, tmp_path):
     assert stamped.columns == ["record", STAMP] and stamped.filter(f"{STAMP} IS NULL").count() == 0
 
 
+def test_silver_delta_rewrites_touched_buckets_only(spark, lake, tmp_path):
+    made = Lakehouse(lake.bronze, lake.silver, lake.gold, location=str(tmp_path / "lake"))
+    load = lambda folder: run_bronze(spark, made, "user_types", str(tmp_path / folder), file_per_envelope=True)
+    write_pages(tmp_path / "one", [{"userTypeId": i, "name": f"n{i}", "updatedAt": when(1)} for i in range(40)])
+    write_pages(tmp_path / "two", [{"userTypeId": i, "name": "new", "updatedAt": when(2)} for i in (3, 99)])
+    files = lambda: {f for f in (tmp_path / "lake" / lake.silver / "user_types").rglob("part-*")}
+    load("one")
+    assert run_silver_delta(spark, made, "user_types", 16).mode == "FULL"
+    assert run_silver_delta(spark, made, "user_types", 16).mode is None
+    before = files()
+    load("two")
+    report = run_silver_delta(spark, made, "user_types", 16)
+    assert (report.mode, report.source_rows) == ("INCREMENTAL", 2)
+    assert 1 <= len(before - files()) <= 2 and len(before & files()) >= len(before) - 2
+    got = {tuple(r) for r in spark.table(made.table("silver", "user_types")).select("userTypeId", "name").collect()}
+    assert got == {(i, "NEW" if i in (3, 99) else f"N{i}") for i in (*range(40), 99)}
+    # a full load takes the table back, and the next delta starts anew
+    run_silver(spark, made, "user_types")
+    assert run_silver_delta(spark, made, "user_types", 16).mode == "FULL"
+
+
 def test_reports_of_guards(spark, lake, tmp_path):
     """Parents without children, null records, keys that repeat or collide."""
     write_pages(tmp_path / "e", [{"evaluationId": i, "updatedAt": when(1)} for i in (1, 2, 3)] + [None])
