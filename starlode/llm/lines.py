@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from starlode.llm.components import components
 from starlode.llm.superkmers import NO_ID, PACKET, census_answer, groups, key_packets, only, unpack
 from starlode.llm.text import fresh
-from starlode.llm.units import gram_hash, mixed, prefix_hash
+from starlode.llm.units import give_back, gram_hash, mixed, prefix_hash, tidy
 from starlode.sources import materialize
 
 SHINGLE = 9
@@ -240,6 +240,7 @@ def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
                         yield out
                 held.append(row)
         yield done()
+        give_back()
 
     return full.select("key", "block", "line", "text", "keys").mapInArrow(verify, "a binary, b binary")
 
@@ -278,9 +279,9 @@ def line_dedup(
         }
     )
     by_chunk = spread.groupBy(names["chunk"])
-    asked = by_chunk.applyInArrow(_census(names, shingle, chunks), PACKET)
-    known = asked.groupBy("bucket").applyInArrow(census_answer(1 << 62), PACKET)
-    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(_ship(names, shingle), _SHIPPED)
+    asked = by_chunk.applyInArrow(tidy(_census(names, shingle, chunks)), PACKET)
+    known = asked.groupBy("bucket").applyInArrow(tidy(census_answer(1 << 62)), PACKET)
+    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(tidy(_ship(names, shingle)), _SHIPPED)
     found = materialize(found, "shared-lines")
     place = F.struct("doc_id", "digest", F.col("place").alias("line"))
     lines = found.groupBy("line").agg(
@@ -315,4 +316,4 @@ def line_dedup(
         made = {n_lines: pa.array(total, pa.int64()), n_removed: pa.array(gone, pa.int64()), text_col: texts}
         return pa.table({f.name: made[f.name] if f.name in made else table.column(f.name) for f in schema})
 
-    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(finish, schema)
+    return by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(tidy(finish), schema)

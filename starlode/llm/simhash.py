@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starlode.llm.components import components
 from starlode.llm.text import fresh
-from starlode.llm.units import Units
+from starlode.llm.units import Units, give_back
 from starlode.sources import materialize
 
 SHINGLE = 3
@@ -83,6 +83,7 @@ def with_fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str)
                     [piece.column("doc_id"), piece.column("digest"), pa.array(prints)],
                     ["doc_id", "digest", "fingerprint"],
                 )
+        give_back()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
@@ -265,6 +266,7 @@ def linked(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> Dat
             held_t, held_k, held_p = t[cut:], k[cut:], p[cut:]
         if len(held_t):
             yield done(held_t, held_k, held_p)
+        give_back()
 
     return dealt.mapInArrow(compare, "member long, centre long")
 

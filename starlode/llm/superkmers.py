@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlode.llm.units import Units, gram_hash, prefix_hash, sliding_min, span_hash
+from starlode.llm.units import Units, gram_hash, prefix_hash, sliding_min, span_hash, tidy
 
 PACKET = "chunk long, bucket long, payload binary"
 NO_ID = np.iinfo(np.int64).max  # null ids come after all others
@@ -388,9 +388,9 @@ def ship(
     spread = rows.withColumn("row_key", F.xxhash64("doc_id", "text")).select(
         F.pmod("row_key", F.lit(plan.chunks)).alias("chunk"), "row_key", "doc_id", "text"
     )
-    asked = spread.groupBy("chunk").applyInArrow(_census(plan), PACKET)
-    known = asked.groupBy("bucket").applyInArrow(census_answer(plan.hot), PACKET)
-    shipped = spread.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_ship(plan), PACKET)
+    asked = spread.groupBy("chunk").applyInArrow(tidy(_census(plan)), PACKET)
+    known = asked.groupBy("bucket").applyInArrow(tidy(census_answer(plan.hot)), PACKET)
+    shipped = spread.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(tidy(_ship(plan)), PACKET)
     return Shipment(plan, spread, shipped)
 
 
@@ -407,8 +407,8 @@ def repeated(
         c = Chunk(table, plan)
         return result(c, removed(c, replies)).take(pa.array(c.place))
 
-    spans = shipment.packets.groupBy("bucket").applyInArrow(answer_spans(plan, least_of), PACKET)
-    return shipment.docs.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(finish, schema)
+    spans = shipment.packets.groupBy("bucket").applyInArrow(tidy(answer_spans(plan, least_of)), PACKET)
+    return shipment.docs.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(tidy(finish), schema)
 
 
 def per_document(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import inspect
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 
@@ -74,6 +78,28 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive a stage, and the next may need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(fn: Callable) -> Callable:
+    """``fn`` of a group or of two, giving memory back after each call."""
+
+    def call(*args: object) -> pa.Table:
+        try:
+            return fn(*args)
+        finally:
+            give_back()
+
+    if len(inspect.signature(fn).parameters) == 1:
+        return lambda table: call(table)
+    return lambda key, table, other: call(key, table, other)
+
+
 class Units:
     """Texts cut into units: ``values`` (a hash or byte each), offsets per text, bytes per unit.
 
