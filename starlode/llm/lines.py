@@ -167,12 +167,21 @@ def similar(a: set[str], b: set[str], least: float) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
-def _trees(key: int, names: list[bytes], texts: list[str], keys: list[list[int]], n: int, least: float) -> Iterator[tuple[bytes, bytes]]:
+def _trees(
+    key: int,
+    names: list[bytes],
+    texts: list[str],
+    keys: list[list[int]],
+    n: int,
+    least: float,
+    apart: list[bool] | None = None,
+) -> Iterator[tuple[bytes, bytes]]:
     """Links of spanning trees of the lines that share ``key``, breadth first.
 
     Few lines leave a pair to the first key it has in common, which saves nine checks in ten.
     Many lines are mostly one group; there a line is settled at its first link, and leaving
     pairs to other keys would keep all of them waiting. Sets are made when first compared.
+    ``apart`` tells two blocks of one key: then only lines of different blocks are compared.
     """
     few = len(names) <= _FEW
     owned = [frozenset(k) for k in keys] if few else []
@@ -183,40 +192,46 @@ def _trees(key: int, names: list[bytes], texts: list[str], keys: list[list[int]]
             sets[i] = shingles(texts[i], n)
         return sets[i]
 
-    left = list(range(len(names)))
-    while left:
-        frontier, left = [left[0]], left[1:]
-        while frontier and left:
+    # lines yet to be settled, by the side that compares with them
+    left: dict[bool, list[int]] = {True: [], False: []}
+    for i in range(len(names)):
+        left[apart is not None and not apart[i]].append(i)
+    if apart is None:
+        left[True] = left[False]
+    while left[True] and left[False]:
+        first = left[False].pop(0)
+        frontier = [first]
+        while frontier and (left[True] or left[False]):
             i, rest = frontier.pop(), []
-            for j in left:
+            side = apart is not None and apart[i]
+            for j in left[side]:
                 if (not few or min(owned[i] & owned[j]) == key) and similar(of(i), of(j), least):
                     yield names[i], names[j]
                     frontier.append(j)
                 else:
                     rest.append(j)
-            left = rest
+            left[side][:] = rest
 
 
 def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """a, b: digests of similar lines. ``lines`` has one row per distinct line."""
     narrow = materialize(lines.select(F.explode("keys").alias("key"), "line"), "band-keys")
-    counted = narrow.groupBy("key").agg(F.count("*").alias("n"), F.min("line").alias("hub")).where("n > 1")
+    counted = narrow.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     counted = materialize(counted, "shared-keys").withColumnRenamed("key", "_key")
     dealt = (
         narrow.join(counted, F.col("key") == F.col("_key"))
-        .select("key", "line", "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-        .withColumn("block", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
+        .select("key", "line", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .withColumn("side", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
     )
-    # a key with more lines than a block holds is dealt in blocks that share its least line
-    wide = counted.where(F.col("n") > BLOCK).select(
-        F.col("_key").alias("key"),
-        F.col("hub").alias("line"),
-        F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / BLOCK).cast("int") - 1)).alias("block"),
+    # a key with more lines than a block holds is dealt in blocks, and each block meets each
+    places = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "key", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("other"), "side", "line"
     )
-    places = dealt.select("key", "line", "block").unionByName(wide.select("key", "line", "block")).distinct()
     places = materialize(places, "meetings").withColumnRenamed("line", "_line")
     full = places.join(lines.select("line", "text", "keys"), F.col("_line") == F.col("line")).drop("_line")
-    full = full.repartition("key", "block").sortWithinPartitions("key", "block")
+    full = full.repartition("key", "block", "other").sortWithinPartitions("key", "block", "other")
+
+    wanted = ("key", "block", "other", "side", "line", "text", "keys")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -224,17 +239,19 @@ def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
         def done() -> pa.RecordBatch:
             pairs: list[tuple[bytes, bytes]] = []
             if len(held) > 1:
-                _, _, names, texts, keys = zip(*held, strict=True)
-                pairs = list(_trees(held[0][0], list(names), list(texts), list(keys), shingle, similarity))
+                key, block, other = held[0][:3]
+                *_, sides, names, texts, keys = zip(*held, strict=True)
+                apart = None if block == other else [x == block for x in sides]
+                pairs = list(_trees(key, list(names), list(texts), list(keys), shingle, similarity, apart))
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"]
             )
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("key", "block", "line", "text", "keys"))
+            columns = (batch.column(c).to_pylist() for c in wanted)
             for row in zip(*columns, strict=True):
-                if held and held[0][:2] != row[:2]:
+                if held and held[0][:3] != row[:3]:
                     out = done()
                     if out.num_rows:
                         yield out
@@ -242,7 +259,7 @@ def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
         yield done()
         give_back()
 
-    return full.select("key", "block", "line", "text", "keys").mapInArrow(verify, "a binary, b binary")
+    return full.select(*wanted).mapInArrow(verify, "a binary, b binary")
 
 
 def line_dedup(

@@ -288,6 +288,22 @@ def test_wide_keys_are_compared_in_blocks(spark, monkeypatch):
     assert kept == {0, 100}
 
 
+def test_wide_keys_compare_every_pair_of_blocks(spark, monkeypatch):
+    from starlode.llm import lines
+
+    monkeypatch.setattr(lines, "BLOCK", 4)
+    one, other = "first family of template lines, " * 4, "second kind of line altogether; " * 4
+    texts = ["neither of them, and the least of all"]
+    texts += [f"{one}{i:02d}" for i in range(20)] + [f"{other}{i:02d}" for i in range(20)]
+    keys = [[7] + [9] * (i in (1, 20)) for i in range(len(texts))]  # the small key leaves its pair to the wide one
+    rows = [(bytes([i]), text, k) for i, (text, k) in enumerate(zip(texts, keys, strict=True))]
+    df = spark.createDataFrame(rows, "line binary, text string, keys array<long>")
+    groups = brute.Union([r[0] for r in rows])
+    for r in lines._links(df, lines.SHINGLE, lines.SIMILARITY).collect():
+        groups.join(bytes(r.a), bytes(r.b))
+    assert [groups.find(r[0])[0] for r in rows] == [0] + [1] * 20 + [21] * 20
+
+
 def test_language_of_odd_rows(spark, messy):
     model = fit(messy)
     rows = identify(messy, model).collect()
