@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlode.llm.superkmers import NO_ID, Bucket, Chunk, each, per_document, repeated, ship
+from starlode.llm.superkmers import NO_ID, Bucket, Chunk, counter, each, per_document, repeated, ship, unpack
 
 LENGTH = 50
 GRAM = 24
@@ -137,12 +137,7 @@ class Repeats:
         """Of the chosen intervals: lengths, number of members, and positions of all members."""
         length, first, last = self.tree[chosen, :3].T
         sizes = last - first + 1
-        return length, sizes, self.order[np.repeat(first, sizes) + _counter(sizes)]
-
-
-def _counter(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, .. size - 1 for each size."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return length, sizes, self.order[np.repeat(first, sizes) + counter(sizes)]
 
 
 def least_documents(b: Bucket, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,11 +194,14 @@ def suffix_dedup(
 
 def _groups_of(k: int) -> Callable[[pa.Table], pa.Table]:
     def groups(table: pa.Table) -> pa.Table:
-        b = Bucket.read(table)
+        parts = [unpack(p) for p in table.column("payload").to_pylist()]
+        b = Bucket.of(table.column("chunk").to_pylist(), parts)
+        times, docs, starts = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (5, 6, 7))
+        string = np.repeat(b.string, times)
         r, bucket = Repeats(b, k), table.column("bucket")[0].as_py()
         length, sizes, at = r.members(r.tree[:, 3] == 1)
-        by_string = np.argsort(b.string, kind="stable")
-        places = np.bincount(b.string, minlength=len(b.offsets) - 1)
+        by_string = np.argsort(string, kind="stable")
+        places = np.bincount(string, minlength=len(b.offsets) - 1)
         begin = np.cumsum(places) - places
         # a string that stands at several places is a repeat, too, if no interval is as long
         long = np.repeat(length, sizes)
@@ -215,16 +213,16 @@ def _groups_of(k: int) -> Callable[[pa.Table], pa.Table]:
         at = np.r_[at, b.offsets[whole]].astype(np.int64)
         owner = r.owner[at].astype(np.int64)
         times = places[owner]
-        place = by_string[np.repeat(begin[owner], times) + _counter(times)]
+        place = by_string[np.repeat(begin[owner], times) + counter(times)]
         number, start = np.repeat(number, times), np.repeat(at - b.offsets[owner], times)
-        doc = b.doc[place]
+        doc = docs[place]
         return pa.table(
             {
                 "bucket": pa.array(np.full(len(place), bucket, np.int64)),
                 "repeat": pa.array(number.astype(np.int64)),
                 "length": pa.array(length[number].astype(np.int64)),
                 "doc_id": pa.array(doc, mask=doc == NO_ID),
-                "start": pa.array(b.start[place] + start),
+                "start": pa.array(starts[place] + start),
             }
         )
 
@@ -240,6 +238,6 @@ def maximal_repeats(
     document. Repeats within one document are listed if another document shares part of them.
     Periodic text has nested repeats: one of n bytes has about n of them, with n ** 2 places.
     """
-    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2)
+    shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2, places=True)
     schema = "bucket long, repeat long, length long, doc_id long, start long"
     return shipment.packets.groupBy("bucket").applyInArrow(_groups_of(length), schema)

@@ -10,10 +10,13 @@ Three passes over documents that were shuffled once, by chunk:
 1. Census: each chunk sends the distinct minimisers it has; the buckets answer which of them
    are shared by documents, and which are hot, i.e. have more super-k-mers than one bucket
    should take.
-2. Super-k-mers of shared minimisers travel, once per chunk and text, with the places they
-   stand at. Those of hot minimisers are cut into single windows and dealt by the window, so
-   that no bucket grows with one common gram, and one common window comes once per chunk.
-3. Buckets answer with the spans of each document that an earlier document has as well.
+2. Super-k-mers of shared minimisers travel, once per chunk and text, with the least and the
+   greatest document of the chunk that has them: a bucket has at most one row per chunk and
+   text, however many documents repeat it. Those of hot minimisers are cut into single windows
+   and dealt by the window, so that no bucket grows with one common gram. The places they stand
+   at go to a bucket of the chunk's own, which hands them on.
+3. Buckets answer with the least document of each window, where the chunk has a later one, and
+   the chunk applies that to its own places.
 
 Rows are packets (chunk, bucket, bytes); chunks and buckets hold a bounded number of bytes.
 """
@@ -38,7 +41,10 @@ _PACKET = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("payload",
 
 @dataclass(frozen=True)
 class Plan:
-    """k, m: units of a window and of a gram; words or bytes; hot: super-k-mers of one key."""
+    """k, m: units of a window and of a gram; words or bytes; hot: super-k-mers of one key.
+
+    ``places``: buckets get every place of a string instead of answering to its chunk.
+    """
 
     k: int
     m: int
@@ -46,6 +52,7 @@ class Plan:
     chunks: int
     buckets: int
     hot: int
+    places: bool = False
 
     def units(self, texts: pa.Array) -> Units:
         return Units.of_words(texts) if self.words else Units.of_bytes(texts)
@@ -145,7 +152,9 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 def groups(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of runs and their ends."""
-    starts = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.zeros(0, int)
+    if not len(sorted_values):
+        return np.zeros(0, int), np.zeros(0, int)
+    starts = np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]])
     return starts, np.r_[starts[1:], len(sorted_values)].astype(int)
 
 
@@ -239,56 +248,59 @@ def _ship(plan: Plan) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
             at = order[s:e]
             heads, tails = groups(code[at])
             texts = [raw[begin[i] : end[i]] for i in at[heads].tolist()]
-            payload = pack(
+            ids = c.ids[c.owner[at]]
+            parts = [
                 np.frombuffer(b"".join(texts), np.uint8),
                 np.array([len(t) for t in texts], np.uint32),
-                (tails - heads).astype(np.uint32),
-                c.ids[c.owner[at]],
-                c.owner[at].astype(np.uint32),
-                place[at].astype(np.uint32),
-            )
-            rows.append((int(bucket[at[0]]), payload))
-        return packets(only(table, "chunk"), rows)
+                np.minimum.reduceat(ids, heads),
+                np.maximum.reduceat(ids, heads),
+                code[at[heads]].astype(np.uint32),
+            ]
+            if plan.places:
+                parts += [(tails - heads).astype(np.uint32), ids, place[at].astype(np.uint32)]
+            rows.append((int(bucket[at[0]]), pack(*parts)))
+        chunk = only(table, "chunk")
+        if rows and not plan.places:
+            by = np.argsort(c.start, kind="stable")
+            rows.append((plan.buckets + chunk, pack(code[by].astype(np.uint32), c.start[by].astype(np.uint32))))
+        return packets(chunk, rows)
 
     return ship
 
 
 @dataclass
 class Bucket:
-    """The distinct super-k-mers of a bucket and every place they stand at.
+    """The distinct super-k-mers of a bucket and the chunks that have them.
 
-    String i is ``data[offsets[i]:offsets[i + 1]]``; place j belongs to string ``string[j]`` and
-    to the document ``doc[j]``, number ``owner[j]`` of ``chunk[j]``, from unit ``start[j]`` on.
+    String i is ``data[offsets[i]:offsets[i + 1]]``; row j says that ``chunk[j]`` has string
+    ``string[j]``, there number ``code[j]``, in documents from ``doc[j]`` to ``last[j]``.
     """
 
     data: np.ndarray
     offsets: np.ndarray
     string: np.ndarray
     doc: np.ndarray
+    last: np.ndarray
     chunk: np.ndarray
-    owner: np.ndarray
-    start: np.ndarray
+    code: np.ndarray
 
     @classmethod
-    def read(cls, table: pa.Table) -> Bucket:
-        parts = [unpack(p) for p in table.column("payload").to_pylist()]
+    def of(cls, chunks: list[int], parts: list[list[np.ndarray]]) -> Bucket:
         blob = np.concatenate([p[0] for p in parts])
         lens = np.concatenate([p[1] for p in parts]).astype(np.int64)
         offsets = np.r_[0, np.cumsum(lens)].astype(np.int64)
         strings = pa.Array.from_buffers(
             pa.large_binary(), len(lens), [None, pa.py_buffer(offsets), pa.py_buffer(blob)]
         ).dictionary_encode()
-        code = strings.indices.to_numpy()
         data, offsets = (a for a in _dictionary(strings.dictionary))
-        times = np.concatenate([p[2] for p in parts])
         return cls(
             data,
             offsets,
-            np.repeat(code, times),
+            strings.indices.to_numpy(),
+            np.concatenate([p[2] for p in parts]),
             np.concatenate([p[3] for p in parts]),
-            np.repeat(np.array(table.column("chunk").to_pylist(), np.int64), [len(p[3]) for p in parts]),
-            np.concatenate([p[4] for p in parts]).astype(np.int64),
-            np.concatenate([p[5] for p in parts]).astype(np.int64),
+            np.repeat(np.array(chunks, np.int64), [len(p[1]) for p in parts]),
+            np.concatenate([p[4] for p in parts]),
         )
 
     def first_doc(self) -> np.ndarray:
@@ -304,22 +316,29 @@ def _dictionary(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def window_spans(b: Bucket, first: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Places (index, from unit, to unit) whose windows also stand in an earlier document.
+def counter(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, .. size - 1 for each size."""
+    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def window_runs(b: Bucket, first: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, from window, to window, least document) of runs that some document of the row is after.
 
     Window w of string i has the number ``first[i] + w``; ``least`` is its least document.
     """
-    n = np.diff(first)[b.string]
-    place = np.repeat(np.arange(len(n)), n)
-    inner = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
-    late = least[np.repeat(first[b.string], n) + inner] < np.repeat(b.doc, n)
-    new, end = late.copy(), late.copy()
-    if len(late):
-        same = place[1:] == place[:-1]
-        new[1:] &= ~(late[:-1] & same)
-        end[:-1] &= ~(late[1:] & same)
-    at = place[new]
-    return at, b.start[at] + inner[new], b.start[at] + inner[end] + k
+    new = np.zeros(len(least), bool)
+    new[1:] = least[1:] != least[:-1]
+    new[first[:-1]] = True  # a string has one window at least
+    heads = np.flatnonzero(new)
+    tails = np.r_[heads[1:], len(least)].astype(np.int64)
+    till = np.searchsorted(heads, first)
+    n = np.diff(till)[b.string]
+    row = np.repeat(np.arange(len(n)), n)
+    run = till[b.string[row]] + counter(n)
+    late = least[heads[run]] < b.last[row]
+    row, run = row[late], run[late]
+    base = first[b.string[row]]
+    return row, heads[run] - base, tails[run] - base, least[heads[run]]
 
 
 def answer_spans(
@@ -328,32 +347,43 @@ def answer_spans(
     """``least_of(bucket, k)`` numbers the windows and gives the least document of each."""
 
     def answer(table: pa.Table) -> pa.Table:
-        b = Bucket.read(table)
-        first, least = least_of(b, plan.k)
-        at, begin, end = window_spans(b, first, least, plan.k)
-        order = np.argsort(b.chunk[at], kind="stable")
-        at, begin, end = at[order], begin[order], end[order]
+        bucket = only(table, "bucket")
+        if bucket >= plan.buckets:
+            return table.select(["chunk", "bucket", "payload"])
+        b = Bucket.of(table.column("chunk").to_pylist(), [unpack(p) for p in table.column("payload").to_pylist()])
+        row, begin, end, least = window_runs(b, *least_of(b, plan.k))
+        order = np.argsort(b.chunk[row], kind="stable")
+        row, begin, end, least = row[order], begin[order], end[order], least[order]
         rows = []
-        for s, e in zip(*groups(b.chunk[at]), strict=True):
-            rows.append(
-                (
-                    int(b.chunk[at[s]]),
-                    pack(*(a.astype(np.uint32) for a in (b.owner[at[s:e]], begin[s:e], end[s:e]))),
-                )
-            )
-        return packets(only(table, "bucket"), rows, "chunk")
+        for s, e in zip(*groups(b.chunk[row]), strict=True):
+            spans = (a[s:e].astype(np.uint32) for a in (b.code[row], begin, end))
+            rows.append((int(b.chunk[row[s]]), pack(*spans, least[s:e])))
+        return packets(bucket, rows, "chunk")
 
     return answer
 
 
 def removed(c: Chunk, replies: pa.Table) -> np.ndarray:
-    """Which units of the chunk any of the spans covers."""
+    """Which units of the chunk a window covers that also stands in an earlier document."""
+    own = replies.column("bucket").to_numpy() >= c.plan.buckets
     parts = [unpack(p) for p in replies.column("payload").to_pylist()]
-    if not parts:
+    spans = [p for p, mine in zip(parts, own, strict=True) if not mine]
+    if not spans:
         return np.zeros(len(c.units), bool)
-    owner, begin, end = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in range(3))
-    base, n = c.units.offsets[owner], len(c.units) + 1
-    step = np.bincount(base + begin, minlength=n) - np.bincount(base + end, minlength=n)
+    code, start = (a.astype(np.int64) for a in next(p for p, mine in zip(parts, own, strict=True) if mine))
+    doc = c.ids[np.searchsorted(c.units.offsets, start, side="right") - 1]
+    order = np.argsort(code, kind="stable")
+    code, start, doc = code[order], start[order], doc[order]
+    string, begin, end, least = (np.concatenate([p[i] for p in spans]).astype(np.int64) for i in range(4))
+    head = np.searchsorted(code, string)
+    n = np.searchsorted(code, string, side="right") - head
+    span = np.repeat(np.arange(len(n)), n)
+    place = head[span] + counter(n)
+    late = least[span] < doc[place]
+    span, place = span[late], place[late]
+    base, size = start[place], len(c.units) + 1
+    step = np.bincount(base + begin[span], minlength=size)
+    step -= np.bincount(base + end[span] + c.plan.k - 1, minlength=size)
     return np.cumsum(step)[:-1] > 0
 
 
@@ -376,6 +406,7 @@ def ship(
     chunk_bytes: int = 2 << 20,
     buckets_per_chunk: int = 1,
     hot: int = 20_000,
+    places: bool = False,
 ) -> Shipment:
     """Census and shipping. ``docs`` is read once for its size and once more, whole."""
     spark = docs.sparkSession
@@ -383,7 +414,7 @@ def ship(
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(least, -(-size // chunk_bytes))
-    plan = Plan(k, m, words, chunks, buckets_per_chunk * chunks, hot)
+    plan = Plan(k, m, words, chunks, buckets_per_chunk * chunks, hot, places)
     # by id and text: neither null ids nor an id that repeats makes a large chunk
     spread = rows.withColumn("row_key", F.xxhash64("doc_id", "text")).select(
         F.pmod("row_key", F.lit(plan.chunks)).alias("chunk"), "row_key", "doc_id", "text"

@@ -144,6 +144,21 @@ def test_hot_keys_are_cut_into_windows(spark):
     assert {r[0]: tuple(r[1:]) for r in rows.collect()} == brute.substring_dedup(docs)
 
 
+def test_a_bucket_gets_one_row_per_chunk_and_text(spark):
+    from starlode.llm import superkmers
+
+    docs = [(i, SHARED) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    shipment = superkmers.ship(df, 13, 5, True, F.col("doc_id"), F.col("text"))
+    plan = shipment.plan
+    rows = [r for r in shipment.packets.collect() if r.bucket < plan.buckets]
+    texts = sum(len(superkmers.unpack(r.payload)[1]) for r in rows)
+    assert texts > 0
+    assert all(len(a) <= len(p[1]) for p in map(superkmers.unpack, (r.payload for r in rows)) for a in p[1:])
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring_dedup(df).collect()}
+    assert got == brute.substring_dedup(docs)
+
+
 def test_maximal_repeats_list_all_occurrences(spark):
     a, b = "x" + SHARED + "y", "zz" + SHARED + "q"
     df = spark.createDataFrame([(1, a), (2, b), (3, SHARED[:60] + "#")], "doc_id long, text string")
