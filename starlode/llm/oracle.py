@@ -162,3 +162,76 @@ LLM_ORACLE["op9_warc"] = """
            CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
            CASE WHEN payload_bytes >= 1000 AND holder <> page_id THEN holder END AS refers_to
     FROM held"""
+
+
+def _merkle_sql(fanout: int = 8, levels: int = 11) -> str:
+    """One pair of steps per level: ``levels`` is enough for 8 ** 11 documents of a language."""
+
+    def field(value: str) -> str:
+        return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        names = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")]
+        return f"sha256({' || '.join(field(v) for v in [*names, text])})"
+
+    lower = _LOWER.replace("coalesce(text, '')", "text")
+    bits = "list_transform(range(8 * len(s)), lambda i: CASE WHEN i % 8 = 0 THEN ascii(s[i // 8 + 1]) ELSE 0 END)"
+    crc = f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}),
+              lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1))), 4294967295)"""
+
+    def climb(name: str) -> list[str]:
+        """Relations ``{name}0`` (tree, idx, digest) upwards: the runs of each level."""
+        steps = []
+        for k in range(levels):
+            steps.append(f"""
+    {name}_run{k} AS (
+      SELECT tree, idx // {fanout} AS idx, list(digest ORDER BY idx) AS kids, any_value(live) AS live
+      FROM (SELECT *, count(*) OVER (PARTITION BY tree) > 1 AS live FROM {name}{k}) GROUP BY 1, 2),
+    {name}{k + 1} AS (
+      SELECT tree, idx, CASE WHEN live THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS digest
+      FROM {name}_run{k})""")
+        return steps
+
+    def prove(name: str, start: str) -> list[str]:
+        """From ``start`` (doc_id, tree, idx, node, proof) along the runs of ``name``."""
+        steps, before = [], start
+        for k in range(levels):
+            left = f"array_to_string(kids[1:{before}.idx % {fanout}], '')"
+            right = f"array_to_string(kids[{before}.idx % {fanout} + 2:], '')"
+            steps.append(f"""
+    {name}_way{k} AS (
+      SELECT doc_id, {before}.tree, {before}.idx // {fanout} AS idx,
+             CASE WHEN live THEN sha256({left} || node || {right}) ELSE node END AS node,
+             CASE WHEN live THEN proof || {left} || {right} ELSE proof END AS proof
+      FROM {before} JOIN {name}_run{k} r ON r.tree = {before}.tree AND r.idx = {before}.idx // {fanout})""")
+            before = f"{name}_way{k}"
+        return steps
+
+    parts = [
+        f"""
+    doc AS (
+      SELECT doc_id, {leaf("text")} AS leaf, CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS node,
+             dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS idx
+      FROM (SELECT *, CAST(doc_id AS VARCHAR) AS s FROM documents)),
+    low0 AS (SELECT tree, idx, leaf AS digest FROM doc)""",
+        *climb("low"),
+        f"""
+    top0 AS (SELECT 0 AS tree, tree AS idx, digest FROM low{levels})""",
+        *climb("top"),
+        """
+    start AS (SELECT doc_id, tree, idx, node, '' AS proof FROM doc)""",
+        *prove("low", "start"),
+        f"""
+    middle AS (SELECT doc_id, 0 AS tree, tree AS idx, node, proof FROM low_way{levels - 1})""",
+        *prove("top", "middle"),
+    ]
+    return f"""
+    WITH {",".join(parts)}
+    SELECT doc.doc_id, doc.leaf, low.digest AS subroot, root.digest AS root, sha256(proof) AS proof_sha256,
+           w.node AS folded_root, w.node = root.digest AS verified
+    FROM doc JOIN top_way{levels - 1} w USING (doc_id) JOIN low{levels} low ON low.tree = doc.tree
+    CROSS JOIN top{levels} root"""
+
+
+LLM_ORACLE["op12_merkle_manifest"] = _merkle_sql()

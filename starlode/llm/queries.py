@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from starlode.llm.decontamination import contamination, is_contaminated
 from starlode.llm.language import fit, held_out, identify
 from starlode.llm.lines import line_dedup
+from starlode.llm.merkle import digest, folded, manifest, siblings
 from starlode.llm.mixing import mix, n_words, quality_weights
 from starlode.llm.quality import quality
 from starlode.llm.secret_scan import BASE, listed, scan
 from starlode.llm.simhash import hex_fingerprint, near_documents
 from starlode.llm.substrings import substring_dedup
 from starlode.llm.suffixes import suffix_dedup
+from starlode.llm.text import lower_ascii
+from starlode.llm.tokens import token_counts
 from starlode.llm.warc import archive
+from starlode.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 LLM_QUERIES: dict[str, Query] = {}
@@ -116,3 +120,41 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return token_counts(table(spark, sf_dir, "documents"), path("word_bpe_49k.json"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def leaf(text: Column) -> Column:
+        return digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    checked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        leaf(F.col("text")).alias("leaf"),
+        F.when(checked, leaf(lower_ascii(F.col("text")))).alias("altered"),
+    )
+    found = manifest(leaves, "lang", "doc_id", "leaf").withColumn(
+        "folded_root", folded(F.coalesce("altered", "leaf"), F.col("path"))
+    )
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))

@@ -111,3 +111,73 @@ def line_dedup(docs: list[tuple[int, str]], n: int = 9, least: float = 0.8) -> d
         stay = [line for j, line in enumerate(lines) if not solid[j] or kept_at[line] == (i, j)]
         out[i] = (sum(solid), len(lines) - len(stay), "\n".join(stay))
     return out
+
+
+def token_counts(docs, path, limit=2048):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    out = {}
+    for i, text in docs:
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        out[i] = (len(text.encode()), n, n > limit)
+    return out
+
+
+def merkle(rows, fanout=8):
+    """(id, group, leaf, altered leaf) rows -> per row subroot, root, joined siblings, folded root."""
+
+    def h(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def tree(nodes):
+        """The root, and for each node the siblings left and right of every step."""
+        ways = [[] for _ in nodes]
+        held = [[i] for i in range(len(nodes))]
+        while len(nodes) > 1:
+            above, below = [], []
+            for b in range(0, len(nodes), fanout):
+                run = nodes[b : b + fanout]
+                for s in range(len(run)):
+                    for leaf in held[b + s]:
+                        ways[leaf].append(("".join(run[:s]), "".join(run[s + 1 :])))
+                above.append(h("".join(run)))
+                below.append([x for part in held[b : b + fanout] for x in part])
+            nodes, held = above, below
+        return nodes[0] if nodes else None, ways
+
+    groups = {}
+    for row in sorted(rows, key=lambda r: (r[1] is not None, (r[1] or "").encode(), r[0] is not None, r[0] or 0, r[2])):
+        groups.setdefault(row[1], []).append(row)
+    lower = {g: tree([r[2] for r in own]) for g, own in groups.items()}
+    root, upper = tree([top for top, _ in lower.values()])
+    out = []
+    for (g, own), up in zip(groups.items(), upper, strict=True):
+        subroot, ways = lower[g]
+        for (i, _, leaf, altered), way in zip(own, ways, strict=True):
+            node = altered
+            for left, right in way + up:
+                node = h(left + node + right)
+            out.append((i, leaf, subroot, root, "".join(a + b for a, b in way + up), node))
+    return out
+
+
+def whitening(vectors, components=16):
+    """Rows of finite floats -> n, exact deviations, whitened, explained shares."""
+    import math
+    from fractions import Fraction
+
+    import numpy as np
+
+    xs = [[math.floor(64 * float(c)) + 1_000_000 for c in v] for v in vectors]
+    fit = sorted({tuple(x) for x in xs})
+    n = len(fit)
+    sums = [sum(c) for c in zip(*fit, strict=True)]
+    dims = range(len(sums))
+    centred = [[n * x[j] - sums[j] for j in dims] for x in fit]
+    v = np.array([[float(Fraction(sum(c[i] * c[j] for c in centred), n**3)) for j in dims] for i in dims])
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    deviations = [[n * x[j] - sums[j] for j in dims] for x in xs]
+    whitened = np.array(deviations, float) / n @ vectors / np.sqrt(values)
+    return n, [sum(d * d for d in row) for row in deviations], whitened, values / np.trace(v)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,13 +14,16 @@ from starlode.llm.components import components
 from starlode.llm.decontamination import contamination, is_contaminated, without_contaminated
 from starlode.llm.language import fit, identify
 from starlode.llm.lines import line_dedup
+from starlode.llm.merkle import digest, folded, manifest, siblings
 from starlode.llm.mixing import mix, n_words
 from starlode.llm.quality import RULES, Rule, keep_good, quality
 from starlode.llm.secret_scan import scan, trigram_query
 from starlode.llm.simhash import near_documents, one_per_group, stars
 from starlode.llm.substrings import substring_dedup
 from starlode.llm.suffixes import common_prefixes, intervals, maximal_repeats, suffix_array, suffix_dedup
+from starlode.llm.tokens import Frequent, Lookup, frequent, read_definition, token_counts
 from starlode.llm.warc import archive
+from starlode.llm.whitening import cross_products, whiten
 from tests.llm import brute
 
 SHARED = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
@@ -56,6 +60,8 @@ def items(spark):
     return spark.createDataFrame(rows, "item_id long, text string")
 
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 OPERATORS = {
     "contamination": lambda d, items: contamination(d, items),
     "mix": lambda d, items: mix(d, n_words(F.col("text"))),
@@ -69,6 +75,8 @@ OPERATORS = {
     "substring": lambda d, items: substring_dedup(d),
     "language": lambda d, items: identify(d, fit(d)),
     "lines": lambda d, items: line_dedup(d, n_lines="lines_in", n_removed="lines_out"),
+    "tokens": lambda d, items: token_counts(d, VOCABULARY),
+    "merkle": lambda d, items: manifest(d.withColumn("leaf", digest(F.col("text"))), "lang", "doc_id", "leaf"),
     "clean": lambda d, items: without_contaminated(d, items),
 }
 
@@ -358,3 +366,114 @@ def test_archives_of_odd_pages(spark):
         (7, len(other), "response", None),
     ]
     assert archive(pages.limit(0)).count() == 0
+
+
+ODD = list("aAtTsSlL'rRve09.,<|>= \t\n\x0b\x0c\r\x1c\x1f\x85\xa0\u3000\u0338\u0301\u0308\u212a\u03a3\u03c3\xdf\u0130\ufb01漢😀\xe9\u200d\x00\xbd")
+
+
+def test_tokens_of_odd_texts():
+    rng = np.random.default_rng(11)
+    parts = [*ODD, "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "'LL", "don't"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(4000)]
+    want = brute.token_counts(list(enumerate(texts)), VOCABULARY)
+    lookup = Lookup(read_definition(VOCABULARY))
+    assert lookup.counts([t.encode() for t in texts]) == [want[i][1] for i in range(len(texts))]
+
+
+def test_tokens_of_odd_rows(messy):
+    rows = token_counts(messy, VOCABULARY, size=8).collect()
+    texts = sorted((i is None, i or 0, t or "") for i, t, _ in TEXTS)
+    want = brute.token_counts([(k, t) for k, (_, _, t) in enumerate(texts)], VOCABULARY)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in rows)
+    assert got == sorted((*texts[k][:2], *want[k]) for k in want)
+
+
+def test_long_texts_and_full_caches(monkeypatch):
+    from starlode.llm import tokens
+
+    monkeypatch.setattr(tokens, "_SEGMENT", 50)
+    monkeypatch.setattr(tokens, "CACHE", 16)
+    texts = [" ".join(f"Word{i * k}é, it's" for i in range(60)) for k in range(1, 6)] + [LONG]
+    want = brute.token_counts(list(enumerate(texts)), VOCABULARY)
+    lookup = Lookup(read_definition(VOCABULARY))
+    assert lookup.counts([t.encode() for t in texts]) == [want[i][1] for i in range(len(texts))]
+    assert len(lookup.table) <= 16 + len(set(LONG.split()))
+    with pytest.raises(ValueError):
+        read_definition(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_frequent_words_of_all_partitions(spark):
+    texts = [f"often again n{i} m{i}" + " third" * (i % 3 == 0) for i in range(600)]
+    df = spark.createDataFrame([(t.encode(),) for t in texts], "text binary").repartition(40)
+    words, counts = frequent(df, 64)
+    found = dict(zip(words.split(), counts.tolist(), strict=True))
+    assert {b"often", b"again", b"third"} <= set(found) and len(found) <= 64
+    assert 600 - 2600 / 64 <= found[b"often"] <= 600
+    kept = Frequent(2)
+    kept.add([b"x" * 63] * 9 + [b"a"] * 5 + [b"b"] * 3 + [b"c"])
+    assert kept.packed()[0].split() == [b"a", b"b"]
+
+
+def test_merkle_trees_of_all_sizes(spark):
+    sizes = {None: 1, "": 2, "a": 7, "b": 8, "c": 9, "d": 64, "e": 65, "\u00e9": 130, "z": 1}
+    rows = [(i, g, f"leaf {g} {i}", f"leaf {g} {i}"[: -1 if i % 3 else None]) for g, n in sizes.items() for i in range(n)]
+    rows += [(None, "z", "no id", "no id"), (3, "a", "leaf a 3", "leaf a 3")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, leaf string, altered string").repartition(7)
+    found = manifest(df, "lang", "doc_id", "leaf").withColumn("folded", folded(F.col("altered"), F.col("path")))
+    got = found.select("doc_id", "leaf", "subroot", "root", siblings(F.col("path")), "folded", "lang").collect()
+    key = lambda r: tuple((x is not None, x or 0) if k == 0 else str(x) for k, x in enumerate(r))
+    assert sorted((tuple(r)[:-1] for r in got), key=key) == sorted(brute.merkle(rows), key=key)
+    whole = [r for r in got if r.folded == r.root]
+    assert {(r.doc_id or 0) % 3 for r in whole} == {0} and len({r.root for r in got}) == 1
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_merkle_tree_of_few_rows(spark, n):
+    rows = [(i, "en", f"leaf {i}", f"leaf {i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, leaf string, altered string")
+    got = manifest(df, "lang", "doc_id", "leaf").select("doc_id", "leaf", "subroot", "root", siblings(F.col("path")))
+    assert sorted(map(tuple, got.collect())) == [r[:5] for r in brute.merkle(rows)]
+
+
+def test_digests_tell_fields_apart(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "-"), ("-", None), ("é", "")], "x string, y string")
+    got = [r[0] for r in df.select(digest(F.col("x"), F.col("y"))).collect()]
+    assert got == [brute.sha(t) for t in ("1:a2:bc", "2:ab1:c", "-1:-", "1:--", "2:é0:")]
+
+
+def test_whitening_of_odd_vectors(spark):
+    rng = np.random.default_rng(13)
+    base = [(i, rng.normal(size=3).astype(np.float32).astype(float).tolist()) for i in range(150)]
+    good = base + [(7, base[7][1]), (None, base[8][1]), (151, [1.0, -0.0, 5e-324])] + [(200 + i, base[0][1]) for i in range(80)]
+    bad = [(300, None), (301, [1.0, None, 2.0]), (302, [1.0, float("nan"), 2.0]), (303, [float("inf")] * 3), (304, []), (305, [1.0])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in good + bad], "vec_id long, embedding array<double>, n int")
+    rows = whiten(df).collect()
+    n, deviations, whitened, explained = brute.whitening([v for _, v in good])
+    assert len(rows) == 3 * len(good) and {r.n for r in rows} == {n}
+    got = sorted((r.vec_id is None, r.vec_id or 0, r.deviation) for r in rows if r.component == 1)
+    assert got == sorted((i is None, i or 0, d) for (i, _), d in zip(good, deviations, strict=True))
+    for c in range(3):
+        mine = {r.vec_id: r.whitened for r in rows if r.component == c + 1}
+        pairs = np.array([(mine[i], w) for (i, _), w in zip(good, whitened[:, c], strict=True)])
+        assert np.abs(np.abs(pairs[:, 0]) - np.abs(pairs[:, 1])).max() < 1e-9
+    assert max(r.identity_error for r in rows) < 1e-9
+    assert whiten(df.limit(0)).count() == 0 and whiten(df.where("vec_id >= 300")).count() == 1
+
+
+def test_whitening_without_variance(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    rows = whiten(df).collect()
+    assert {(r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in rows} == {(1, 0, None, None, None)}
+    far = [(1, [1e300, 0.0]), (2, [-1e300, 0.5]), (3, [0.0, 0.0])]
+    rows = whiten(spark.createDataFrame(far, df.schema)).collect()
+    assert [r.deviation for r in rows if r.vec_id == 1] == [None, None]
+    assert all(abs(r.whitened) < 2 for r in rows if r.component == 1)
+
+
+@pytest.mark.parametrize("bits", [(0, 3, 7), (1, 0, 0), (20, 5, 30), (40, 40, 2)])
+def test_cross_products_of_bit_planes(bits):
+    rng = np.random.default_rng(sum(bits))
+    for n in (1, 63, 64, 200):
+        y = np.column_stack([rng.integers(0, 1 << b, n) for b in bits])
+        whole = y.astype(object)
+        assert (np.triu(cross_products(y, np.array(bits))) == np.triu(whole.T @ whole)).all()

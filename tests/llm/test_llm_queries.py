@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def test_equals_its_sql_twin(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in LLM_QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_suffix_dedup_by_brute_force(spark, documents):
@@ -61,6 +62,28 @@ def test_language_of_held_out_documents(spark):
     assert sum(r.lang_pred == r.lang for r in rows) >= 0.9 * len(rows)
 
 
+def test_token_counts_by_brute_force(spark, documents):
+    from public_tokenizers import path
+
+    got = by_id(LLM_QUERIES["op11_token_counts"](spark, SF))
+    assert got == brute.token_counts(documents, path("word_bpe_49k.json"))
+
+
+def test_whitening_by_brute_force(spark):
+    rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{SF}/embeddings.parquet' ORDER BY 1").fetchall()
+    n, deviations, whitened, explained = brute.whitening([v for _, v in rows])
+    got = {(r.vec_id, r.component): r for r in LLM_QUERIES["op13_embedding_whitening"](spark, SF).collect()}
+    assert len(got) == 16 * len(rows)
+    for (i, _), deviation in zip(rows, deviations, strict=True):
+        assert (got[i, 1].n, got[i, 1].deviation) == (n, deviation)
+    for c in range(16):
+        mine = np.array([got[i, c + 1].whitened for i, _ in rows])
+        sign = np.sign(mine @ whitened[:, c])
+        assert np.abs(mine * sign - whitened[:, c]).max() < 1e-8
+        assert abs(got[rows[0][0], c + 1].explained / explained[c] - 1) < 1e-9
+    assert got[rows[0][0], 1].identity_error < 1e-10
+
+
 def test_mix_meets_its_targets(spark):
     rows = LLM_QUERIES["op2_mixing"](spark, SF).withColumn("source", F.col("source_size")).collect()
     taken, target = {}, {}
