@@ -27,6 +27,7 @@ from starlode.plans import (
     run_silver,
     run_silver_delta,
 )
+from starlode.plans.jobs import stored_silver
 from starlode.session import apply_sizing
 from starlode.streaming import run_bronze_new_files
 
@@ -53,6 +54,11 @@ def arguments() -> argparse.ArgumentParser:
     landing.add_argument(
         "--state", help="folder that remembers read files: load new files only, by no watermark"
     )
+    landing.add_argument("--reread", action="store_true", help="read files of earlier loads again")
+    landing.add_argument(
+        "--quarantine", action="store_true", help="put malformed pages aside instead of failing"
+    )
+    landing.add_argument("--page-pattern", help="regex on file names whose first group is the page")
 
     keys = argparse.ArgumentParser(add_help=False)
     keys.add_argument("--key-method", choices=("crc32", "xxhash64"), default="crc32")
@@ -72,25 +78,36 @@ def arguments() -> argparse.ArgumentParser:
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list[LoadReport]:
-    args = arguments().parse_args(argv)
+    parser = arguments()
+    args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName("starlode").getOrCreate()
     lake = Lakehouse(args.bronze, args.silver, args.gold, args.prefix, args.location)
     lake.create_databases(spark)
     if args.layer in ("bronze", "all"):
         options = {
-            "force_full": args.force_full,
-            "inclusive": args.inclusive,
             "file_per_envelope": args.file_per_envelope,
             "parent_pattern": args.parent_pattern,
+            "quarantine": args.quarantine,
         }
+        if args.page_pattern:
+            options["page_pattern"] = args.page_pattern
+        by_files = {"force_full": args.force_full, "inclusive": args.inclusive, "reread": args.reread}
+        if not args.state:
+            options |= by_files
+        elif any(by_files.values()):
+            named = ", ".join(f"--{k.replace('_', '-')}" for k, v in by_files.items() if v)
+            parser.error(f"--state loads new files by no watermark; it cannot honour {named}")
+
+    def load(spark: SparkSession, lake: Lakehouse, entity: str, path: str, **options: object) -> LoadReport:
+        if not args.state:
+            return run_bronze(spark, lake, entity, path, **options)
+        state = f"{args.state.rstrip('/')}/{entity}"
+        return run_bronze_new_files(spark, lake, entity, path, state, **options)
+
     if args.layer == "bronze":
         path = f"{args.landing.rstrip('/')}/{args.name}"
         apply_sizing(spark, [spark.read.text(path)])
-        if args.state:
-            state = f"{args.state.rstrip('/')}/{args.name}"
-            reports = [run_bronze_new_files(spark, lake, args.name, path, state)]
-        else:
-            reports = [run_bronze(spark, lake, args.name, path, **options)]
+        reports = [load(spark, lake, args.name, path, **options)]
     elif args.layer == "silver":
         apply_sizing(spark, [spark.read.table(lake.table("bronze", args.name))])
         if args.delta:
@@ -99,12 +116,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             reports = [run_silver(spark, lake, args.name, args.keep)]
     elif args.layer == "gold":
         source = (DIMENSIONS | FACTS)[args.name].source
-        apply_sizing(spark, [spark.read.table(lake.table("silver", source))])
+        apply_sizing(spark, [stored_silver(spark, lake, source)])
         where = F.expr(args.where) if args.where else None
         reports = [run_gold(spark, lake, args.name, args.key_method, where=where)]
     else:
         reports = run_all(
-            spark, lake, args.landing, method=args.key_method, sized=True, **options
+            spark, lake, args.landing, method=args.key_method, sized=True, load=load, **options
         )
     for report in reports:
         print(report)

@@ -9,11 +9,15 @@ from typing import Any
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starlode.functions.clock import STAMP, ZONE, load_clock
+from starlode.operators import folders
 
 FULL = "FULL"
 INCREMENTAL = "INCREMENTAL"
+#: Formats whose tables are plain folders of files, which can be switched as a whole.
+FOLDER_FORMATS = ("parquet", "orc")
 
 
 @dataclass(frozen=True)
@@ -131,9 +135,11 @@ def write_table(
 ) -> int:
     """Save as a catalog table: FULL replaces, everything else appends by name.
 
-    Returns the number of rows, counted by the tasks that write them. A replacement is
-    written beside the old table and takes its name once it is complete, so a write that
-    fails leaves the old rows. With ``path`` every replacement has a folder of its own below.
+    Returns the number of rows, counted by the tasks that write them. A replacement is written to
+    a folder of its own, and the table is switched to it by one call of the catalog once it is
+    complete, so a reader finds the old rows or the new ones, and a write that fails leaves the
+    old ones. With ``path`` these folders lie below it. Formats that replace tables by themselves
+    are left to do so.
 
     ``bucket_by`` (buckets, column) lets a later join on that column skip its shuffle.
     Rows are brought to their bucket first, so every bucket is one file and not one
@@ -141,37 +147,129 @@ def write_table(
     never split. An append must repeat the bucketing of the table.
     """
     spark = df.sparkSession
+    recover(spark, table)
     if bucket_by is not None:
         df = df.repartition(*bucket_by)
     df, written = counted(df, f"rows of {table}")
     there = spark.catalog.tableExists(table)
-    replaced = there and mode == FULL
+    form = spark.conf.get("spark.sql.sources.default", "parquet")
+    if there and mode == FULL and form in FOLDER_FORMATS:
+        old = table_location(spark, table)
+        new = f"{path.rstrip('/') if path else old.rpartition('/')[0]}/{_folder(table, path)}"
+        writer = df.write.format(form)
+        if bucket_by is None:
+            writer.save(new)
+        else:
+            draft = f"starlode_{uuid.uuid4().hex}"
+            writer.bucketBy(*bucket_by).sortBy(bucket_by[1]).option("path", new).saveAsTable(draft)
+            spark.sql(f"DROP TABLE {draft}")
+        switch_location(spark, table, new, df.schema, bucket_by)
+        return written.get["rows"]
     writer = df.write.mode("overwrite" if mode == FULL else "append")
-    if path is not None and (replaced or not there):
-        writer = writer.option("path", f"{path.rstrip('/')}/v-{uuid.uuid4().hex}")
+    if path is not None and not there:
+        writer = writer.option("path", f"{path.rstrip('/')}/{_folder(table, path)}")
     if bucket_by is not None:
-        buckets, column = bucket_by
-        writer = writer.bucketBy(buckets, column).sortBy(column)
-    target = f"{table}__next" if replaced else table
-    writer.saveAsTable(target)
-    if replaced:
-        old = _own_version(spark, table, path)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
-        if old is not None:
-            _remove(spark, old)
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    writer.saveAsTable(table)
     return written.get["rows"]
 
 
-def _own_version(spark: SparkSession, table: str, path: str | None) -> str | None:
-    """Where the rows of ``table`` lie, if that is a folder written below ``path``."""
-    if path is None:
-        return None
-    location = table_location(spark, table)
-    parent, _, name = location.rpartition("/")
-    return location if name.startswith("v-") and parent.endswith(path.rstrip("/").split(":")[-1]) else None
+def _folder(table: str, path: str | None) -> str:
+    """A name for a folder of rows; beside other tables it begins with the table's own."""
+    name = f"v-{uuid.uuid4().hex}"
+    return name if path else f"{table.rpartition('.')[2]}-{name}"
+
+
+def _layout(spark: SparkSession, table: str) -> tuple[str | None, str | None]:
+    """(buckets, column) of a table, as the catalog shows them."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    return rows.get("Num Buckets"), rows.get("Bucket Columns")
+
+
+def switch_location(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    schema: StructType,
+    bucket_by: tuple[int, str] | None = None,
+    options: dict[str, str] | None = None,
+    properties: dict[str, str] | None = None,
+) -> None:
+    """Let ``table`` be the files at ``location``, then remove the folder it had.
+
+    A table of the same columns moves by one call. Another one is created as ``<table>__next``,
+    complete, and takes the name; should that stop between its two calls, :func:`recover` ends it.
+    """
+    there = spark.catalog.tableExists(table)
+    known = {f.name: f.dataType for f in schema.fields}
+    wanted = (str(bucket_by[0]), f"[`{bucket_by[1]}`]") if bucket_by else (None, None)
+    same = (
+        there
+        and {f.name: f.dataType for f in spark.read.table(table).schema.fields} == known
+        and _layout(spark, table) == wanted
+        and all(table_property(spark, table, k) == v for k, v in (properties or {}).items())
+    )
+    old = own_folder(spark, table) if there else None
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(location)}'")
+    else:
+        target = f"{table}__next" if there else table
+        spark.sql(f"DROP TABLE IF EXISTS {table}__next")
+        _create(spark, target, location, schema, bucket_by, options, properties)
+        if there:
+            spark.sql(f"DROP TABLE {table}")
+            spark.sql(f"ALTER TABLE {target} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    if old is not None:
+        new, inner = folders.qualified(spark, location), f"{folders.qualified(spark, old)}/"
+        if not new.startswith(inner):
+            folders.remove(spark, old)
+        else:  # the new folder lies in the old one
+            for name in folders.children(spark, old):
+                if name != new.removeprefix(inner).split("/")[0]:
+                    folders.remove(spark, f"{old}/{name}")
+
+
+def own_folder(spark: SparkSession, table: str) -> str | None:
+    """The folder of a table, unless somebody else may own it: an external one not made here."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    location = rows["Location"].rstrip("/")
+    made_here = "v-" in location.rpartition("/")[2] or "starlode" in rows.get("Table Properties", "")
+    return location if rows.get("Type") == "MANAGED" or made_here else None
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", r"\\").replace("'", r"\'")
+
+
+def _create(
+    spark: SparkSession,
+    table: str,
+    location: str,
+    schema: StructType,
+    bucket_by: tuple[int, str] | None,
+    options: dict[str, str] | None,
+    properties: dict[str, str] | None,
+) -> None:
+    form = spark.conf.get("spark.sql.sources.default", "parquet")
+    ddl = spark._jvm.org.apache.spark.sql.types.DataType.fromJson(schema.json()).toDDL()
+    parts = [f"CREATE TABLE {table} ({ddl}) USING {form}"]
+    for word, values in (("OPTIONS", options), ("TBLPROPERTIES", properties)):
+        if values:
+            parts.append(f"{word} ({', '.join(f"'{k}' = '{_quoted(v)}'" for k, v in values.items())})")
+    if bucket_by is not None:
+        parts.insert(1, f"CLUSTERED BY (`{bucket_by[1]}`) SORTED BY (`{bucket_by[1]}`) INTO {bucket_by[0]} BUCKETS")
+    spark.sql(" ".join([*parts, f"LOCATION '{_quoted(location)}'"]))
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """End a replacement that stopped between its two calls: the new table takes the name."""
+    following = f"{table}__next"
+    if not spark.catalog.tableExists(table) and spark.catalog.tableExists(following):
+        spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def open_table(spark: SparkSession, table: str) -> DataFrame:
+    """A table to read, after :func:`recover`."""
+    recover(spark, table)
+    return spark.read.table(table)

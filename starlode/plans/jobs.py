@@ -19,12 +19,17 @@ from starlode.functions.clock import STAMP
 from starlode.operators.conform import EntitySpec, conform
 from starlode.operators.dedup import latest_by_key, typed_version
 from starlode.operators.guards import key_faults, require_unique
+from starlode.operators import folders
+from starlode.operators.buckets import BucketStore, commit_buckets, current_state, lost_buckets
 from starlode.operators.load import (
+    FOLDER_FORMATS,
     FULL,
     INCREMENTAL,
+    LoadPlan,
     counted,
     highest,
     newer_than,
+    open_table,
     plan_load,
     set_table_properties,
     stamp_load,
@@ -34,6 +39,15 @@ from starlode.operators.load import (
     without_stamp,
     write_table,
 )
+from starlode.operators.loads import (
+    Ledger,
+    Load,
+    Overtaken,
+    append_load,
+    file_format,
+    ledger,
+    replace_loads,
+)
 from starlode.plans.entities import ENTITIES, SILVER
 from starlode.plans.lakehouse import Lakehouse, LoadReport
 from starlode.plans.star_schema import DIMENSIONS, FACTS, build_gold, gold_key
@@ -43,19 +57,22 @@ from starlode.sources.landing import (
     all_fields,
     explode_records,
     is_last_page,
+    landed_files,
+    literal_path,
     missing_parents,
+    new_files,
     null_records,
+    page_gaps,
+    page_of_file,
     read_envelopes,
 )
 from starlode.sources.shared import materialize
 
 log = logging.getLogger("starlode")
 
-#: Property of a Gold table whose keys were found unique: its number of rows at that time.
+#: Property of a Gold table whose keys were found unique: its folder and number of rows then.
 UNIQUE = "starlode.unique_rows"
-#: Property of a Silver table built by deltas: the audit stamp up to which Bronze was read.
-UNTIL = "starlode.bronze_until"
-#: Partition column of such tables.
+#: Partition column of Silver tables built by deltas.
 BUCKET = "key_bucket"
 
 Name = TypeVar("Name")
@@ -92,6 +109,14 @@ def stamped_bronze(rows: DataFrame, spec: EntitySpec) -> DataFrame:
     return rows.withColumn(STAMP, F.lit(None).cast("timestamp"))
 
 
+#: Fixed value: how the files of numbered pages are called; the first group is the number.
+PAGE_FILE = r"page[-_]?(\d+)[^/]*$"
+#: Column with the text of a malformed page, in a table of its own.
+REJECTED = "page"
+#: How often a load is planned anew because another one was committed meanwhile.
+ATTEMPTS = 5
+
+
 def run_bronze(
     spark: SparkSession,
     lake: Lakehouse,
@@ -103,34 +128,139 @@ def run_bronze(
     file_per_envelope: bool = False,
     parent_pattern: str | None = None,
     check_parents: bool = True,
+    reread: bool = False,
+    quarantine: bool = False,
+    page_pattern: str = PAGE_FILE,
 ) -> LoadReport:
     """Landed pages -> Bronze table, in full or past the watermark.
 
-    A full load of nothing leaves the table as it is. The report tells from the same
-    pass whether a last page was among the landed ones, how many records were null and how
-    many rows have no watermark value; such rows are loaded whenever they are landed.
-    ``check_parents`` counts, for a child entity, the parents in Bronze without a child there.
+    An incremental load reads files that no load has read before and nothing else; ``reread``
+    reads all that is landed, as does a full load. The files, the watermark and the rows are
+    committed together, so a load that dies has read nothing, and of two loads at once the later
+    one plans anew. A full load of nothing leaves the table as it is.
+
+    The report tells from the same pass whether a last page was among those read, how many
+    records were null and how many rows have no watermark value; such rows are loaded with the
+    file they are in. It counts the pages that numbered files lack (``page_pattern``, first group
+    of the name). ``quarantine`` puts malformed pages into the table ``<entity>_rejected`` instead
+    of failing. ``check_parents`` counts, for a child entity, the parents in Bronze without a
+    child there.
     """
     spec = ENTITIES[entity]
     table = lake.table("bronze", entity)
     kind = spec.types.get(spec.watermark)
-    plan = plan_load(spark, table, spec.watermark, force_full, kind)
+
+    def read(path: str | list[str], base: str | None = None) -> DataFrame:
+        return bronze_envelopes(
+            spark, spec, path, base, file_per_envelope, parent_pattern, CORRUPT if quarantine else None
+        )
+
+    def load() -> LoadReport:
+        before = ledger(spark, table)
+        if before is None or force_full or not spec.watermark:
+            plan = plan_load(spark, table, spec.watermark, force_full, kind)
+        else:
+            high = before.watermarks.get(spec.watermark)
+            plan = LoadPlan(FULL) if high is None else LoadPlan(INCREMENTAL, high)
+        files = landed_files(spark, landing)
+        if plan.incremental and before and not reread:
+            files = materialize(new_files(files, before.files(spark)), "new-files")
+            # as many as Spark itself would list; those of earlier loads are not among them
+            paths = [literal_path(r["path"]) for r in files.select("path").collect()]
+            if not paths:
+                return _reported(LoadReport(table, None, files=0))
+            envelopes = read(paths, _folder_of(spark, landing))
+        else:
+            files = materialize(files, "landed-files")
+            envelopes = read(landing)
+            if not plan.incremental and explode_records(envelopes).isEmpty():
+                return _reported(LoadReport(table, None))
+        return load_envelopes(
+            spark,
+            lake,
+            entity,
+            envelopes,
+            plan,
+            before,
+            files,
+            inclusive=inclusive,
+            check_parents=check_parents,
+            quarantine=quarantine,
+            page_pattern=page_pattern,
+        )
+
+    for attempt in range(ATTEMPTS):
+        try:
+            return load()
+        except Overtaken:
+            log.info("%s: another load came first, attempt %d", table, attempt + 1)
+    raise Overtaken(table)
+
+
+def _folder_of(spark: SparkSession, landing: str) -> str | None:
+    return landing if folders.is_folder(spark, landing) else None
+
+
+#: Columns of envelopes: the text of a malformed one, and the file it came from.
+CORRUPT, FILE = "_corrupt", "_file"
+
+
+def bronze_envelopes(
+    spark: SparkSession,
+    spec: EntitySpec,
+    path: str | list[str],
+    base: str | None = None,
+    file_per_envelope: bool = False,
+    parent_pattern: str | None = None,
+    corrupt: str | None = None,
+    stream: bool = False,
+) -> DataFrame:
+    """The landed pages of an entity and the file of each, for batch loads and streams alike."""
     envelopes = read_envelopes(
         spark,
-        landing,
+        path,
         carried=[spec.parent] if spec.parent and not parent_pattern else [],
         file_per_envelope=file_per_envelope,
         parent=spec.parent,
         parent_pattern=parent_pattern if spec.parent else None,
+        corrupt=corrupt,
+        base=base,
+        stream=stream,
     )
-    if not plan.incremental and explode_records(envelopes).isEmpty():
-        return _reported(LoadReport(table, None))
-    envelopes, pages = counted(
-        envelopes, f"pages of {table}", complete=F.bool_or(is_last_page()), nulls=null_records()
-    )
-    rows = bronze_rows(envelopes, spec)
+    return envelopes.withColumn(FILE, F.col("_metadata.file_path"))
+
+
+def load_envelopes(
+    spark: SparkSession,
+    lake: Lakehouse,
+    entity: str,
+    envelopes: DataFrame,
+    plan: LoadPlan,
+    before: Ledger | None,
+    files: DataFrame,
+    *,
+    inclusive: bool = False,
+    check_parents: bool = True,
+    quarantine: bool = False,
+    page_pattern: str = PAGE_FILE,
+    by_watermark: bool = True,
+    batch: tuple[str, int] | None = None,
+) -> LoadReport:
+    """Commit envelopes, and the ``files`` they come from, as one load of a Bronze table.
+
+    ``by_watermark`` leaves out what is not newer; ``batch`` is the stream and the number of the
+    batch, noted with the load.
+    """
+    spec, table = ENTITIES[entity], lake.table("bronze", entity)
+    kind = spec.types.get(spec.watermark)
+    metrics = {"complete": F.bool_or(is_last_page()), "nulls": null_records()}
+    if quarantine:
+        whole = F.col(CORRUPT).isNull()
+        metrics = {"complete": F.bool_or(is_last_page() & whole), "nulls": null_records(), "rejected": F.count_if(~whole)}
+    pages, observed = counted(envelopes, f"pages of {table}", **metrics)
+    rows = bronze_rows(pages.where(F.col(CORRUPT).isNull()) if quarantine else pages, spec)
     seen = None
-    if plan.incremental:
+    if plan.incremental and by_watermark:
         rows = newer_than(rows, spec.watermark, plan.watermark, inclusive, kind)
     if spec.watermark:
         rows, seen = counted(
@@ -139,10 +269,30 @@ def run_bronze(
             undated=F.count_if(F.col(spec.watermark).isNull()),
             high=highest(spec.watermark, kind),
         )
-    written = _write(lake, "bronze", entity, stamped_bronze(rows, spec), plan.mode)
-    if seen and (high := seen.get["high"] or plan.watermark):
-        set_table_properties(spark, table, {watermark_key(spec.watermark): high})
-    found = pages.get
+
+    def noted() -> dict[str, dict[str, object]]:
+        if quarantine and observed.get["rejected"]:
+            _put_aside(lake, entity, envelopes, plan)
+        high = _later(spark, seen.get["high"], plan.watermark, kind) if seen else None
+        return {
+            "watermarks": {spec.watermark: high} if high else {},
+            "batches": dict([batch]) if batch else {},
+        }
+
+    stamped = stamped_bronze(rows, spec)
+    bucket_by = lake.buckets.get(f"bronze.{entity}")
+    if file_format(spark) not in FOLDER_FORMATS or (plan.incremental and before is None):
+        written = _write(lake, "bronze", entity, stamped, plan.mode)
+        for column, high in noted()["watermarks"].items():
+            set_table_properties(spark, table, {watermark_key(column): high})
+    else:
+        load = Load(stamped, files, noted, bucket_by)
+        if plan.incremental:
+            written = append_load(spark, table, load, before)
+        else:
+            written = replace_loads(spark, table, load, lake.home(spark, "bronze", entity))
+    found = observed.get
+    known = files if not plan.incremental or before is None else files.unionByName(before.files(spark))
     return _reported(
         LoadReport(
             table,
@@ -152,10 +302,38 @@ def run_bronze(
             undated=seen.get["undated"] if seen else None,
             null_records=max(found["nulls"] or 0, 0),
             missing_parents=_childless(spark, lake, spec) if check_parents else None,
+            files=files.count(),
+            missing_pages=_missing_pages(known, page_pattern),
+            rejected=found["rejected"] if quarantine else None,
         )
     )
 
 
+def _later(spark: SparkSession, one: str | None, other: str | None, kind: str | None) -> str | None:
+    """The later of two watermarks, by the type of the column."""
+    if one is None or other is None:
+        return one or other
+    pair = spark.createDataFrame([(one,), (other,)], "value string")
+    return pair.agg(highest("value", kind).alias("high")).first()["high"]
+
+
+def _missing_pages(files: DataFrame, pattern: str) -> int | None:
+    page, pages_of = page_of_file(F.col("path"), pattern)
+    numbered = files.select(pages_of.alias("set"), page.alias("page")).where(F.col("page").isNotNull())
+    gaps = page_gaps(numbered, ["set"]).agg(F.sum(F.col("last_missing") - F.col("first_missing") + 1).alias("n"))
+    missing = gaps.first()["n"]
+    return missing or (None if numbered.isEmpty() else 0)
+
+
+def _put_aside(lake: Lakehouse, entity: str, envelopes: DataFrame, plan: LoadPlan) -> None:
+    """Malformed pages -> ``<entity>_rejected``: the file, the page as it landed, and the time."""
+    # Spark reads the text of malformed pages only together with a field of theirs
+    any_data = F.coalesce(F.size("data"), F.lit(-1)) >= -1
+    bad = envelopes.where(F.col(CORRUPT).isNotNull() & any_data)
+    bad = bad.select(F.col(FILE).alias("file"), F.col(CORRUPT).alias(REJECTED))
+    _write(lake, "bronze", f"{entity}_rejected", stamp_load(bad), plan.mode)
+
+
 def _childless(spark: SparkSession, lake: Lakehouse, spec: EntitySpec) -> int | None:
     """Parents in Bronze for which no child is there; None if there is nothing to compare."""
     if not spec.parent:
@@ -201,59 +379,91 @@ def run_silver(
     spark: SparkSession, lake: Lakehouse, entity: str, keep: str | None = None
 ) -> LoadReport:
     """Bronze table -> Silver table, always in full."""
-    bronze = without_stamp(spark.read.table(lake.table("bronze", entity)))
+    bronze = without_stamp(open_table(spark, lake.table("bronze", entity)))
     return _save(lake, "silver", entity, conform(bronze, SILVER[entity], keep), bronze)
 
 
 def run_silver_delta(
     spark: SparkSession, lake: Lakehouse, entity: str, buckets: int = 256
 ) -> LoadReport:
-    """Bronze rows that came since the last run -> Silver, rewriting only buckets they touch.
+    """Bronze loads that Silver has not taken yet -> Silver, rewriting only buckets they touch.
 
     Keys are dealt into ``buckets``, the partitions of the Silver table and of a table
     ``<entity>_versions`` with the newest Bronze row of every key. A touched bucket is made anew
-    from its versions and the new rows, by the rules of a full load, so both give the same
-    rows. A run that dies is repeated by the next: how far Bronze was read is noted last.
-    The first run, and any after ``run_silver``, takes all of Bronze.
+    from its versions and the new rows, by the rules of a full load, so both give the same rows,
+    and lies in a new folder; all the others keep their files.
+
+    What Silver consists of is one record: up to which Bronze load it goes, and the folder of
+    every bucket. Writing it commits a run. The catalog follows the record, and folders that it no
+    longer names go last, so a run that dies before the record has changed nothing, and one that
+    dies after it is completed by the next. A bucket whose folder is lost is made anew from all of
+    Bronze. The first run, and any after ``run_silver``, a replaced Bronze table or another number
+    of ``buckets``, takes all of Bronze; so does every run over a table not made of loads.
     """
-    spec = SILVER[entity]
-    table, versions = lake.table("silver", entity), lake.table("silver", f"{entity}_versions")
-    until = table_property(spark, table, UNTIL) if spark.catalog.tableExists(table) else None
-    bronze = spark.read.table(lake.table("bronze", entity))
-    rows = bronze if until is None else bronze.filter(F.col(STAMP) > F.lit(until).cast("timestamp"))
-    rows, seen = counted(rows, f"news of {table}", high=F.max(F.col(STAMP)).cast("string"))
-    bucket = F.pmod(F.xxhash64(spec.key), F.lit(buckets)).cast("int").alias(BUCKET)
+    for attempt in range(ATTEMPTS):
+        try:
+            return _silver_delta(spark, lake, entity, buckets)
+        except Overtaken:
+            log.info("silver %s: another run came first, attempt %d", entity, attempt + 1)
+    raise Overtaken(lake.table("silver", entity))
+
+
+def _silver_delta(spark: SparkSession, lake: Lakehouse, entity: str, buckets: int) -> LoadReport:
+    spec, source = SILVER[entity], lake.table("bronze", entity)
+    stores = [
+        BucketStore(lake.table("silver", name), lake.home(spark, "silver", name))
+        for name in (entity, f"{entity}_versions")
+    ]
+    silver, versions = stores
+    state = current_state(spark, stores)
+    loads = ledger(spark, source)
+    if state and (loads is None or state.source != loads.generation or state.buckets != buckets):
+        state = None
+    bronze = open_table(spark, source)
+
+    def bucket_of(key: Column) -> Column:
+        """By the value, not by its spelling: equal keys of Silver must share a bucket."""
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int").alias(BUCKET)
+
+    bucket = bucket_of(F.col(spec.key).try_cast(spec.types[spec.key]))
+    until = loads.numbers[-1] if loads and loads.numbers else 0
+    lost = lost_buckets(spark, stores, state) if state else []
+    if state is None:
+        rows = bronze
+    else:
+        rows = loads.rows(spark, source, [i for n, i in zip(loads.numbers, loads.ids, strict=True) if n > state.until])
+    rows, seen = counted(rows, f"news of {silver.table}")
     rows = materialize(rows.select(*spec.types, bucket), f"{entity}-news")
-    if not seen.get["rows"]:
-        return _reported(LoadReport(table, None))
-    if until is not None:
-        touched = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
-        known = spark.read.table(versions).filter(F.col(BUCKET).isin(touched))
-        rows = rows.unionByName(known)
+    newest_schema = rows.select(*spec.types).schema
+    if not seen.get["rows"] and not lost:
+        return _reported(LoadReport(silver.table, None))
+    if state is None:
+        touched = list(range(buckets))
+    else:
+        found = [r[BUCKET] for r in rows.select(BUCKET).distinct().collect()]  # <= buckets
+        touched = sorted({*found, *lost})
+        kept = [b for b in touched if b not in lost]
+        rows = rows.unionByName(versions.rows(spark, state, kept, newest_schema).select("*", bucket))
+        if lost:
+            log.warning("%s: %d buckets are lost and made anew", silver.table, len(lost))
+            rows = rows.unionByName(bronze.select(*spec.types, bucket).where(F.col(BUCKET).isin(lost)))
     version = typed_version(spec.version, spec.types[spec.version]) if spec.version else None
     newest = latest_by_key(rows.select(*spec.types), spec.key, version)
     newest = materialize(newest.select("*", bucket), f"{entity}-versions")
-    made = stamp_load(conform(newest, spec, "all")).withColumn(
-        BUCKET, F.pmod(F.xxhash64(F.col(spec.key).cast("string")), F.lit(buckets)).cast("int")
+    made = stamp_load(conform(newest.select(*spec.types), spec, "all"))
+    made = made.withColumn(BUCKET, bucket_of(F.col(spec.key)))
+    made, written = counted(made, f"rows of {silver.table}")
+    commit_buckets(
+        spark, stores, [made, newest], state, touched, BUCKET, buckets, loads.generation if loads else "", until
     )
-    made, written = counted(made, f"rows of {table}")
-    for df, name, path in (
-        (newest, versions, lake.path("silver", f"{entity}_versions")),
-        (made, table, lake.path("silver", entity)),
-    ):
-        # a bucket is one file
-        df = df.repartition(BUCKET)
-        if until is None:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            writer = df.write.partitionBy(BUCKET).mode("overwrite")
-            (writer.option("path", path) if path else writer).saveAsTable(name)
-        else:
-            writer = df.write.partitionBy(BUCKET).mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").save(table_location(spark, name))
-            spark.catalog.recoverPartitions(name)
-    set_table_properties(spark, table, {UNTIL: seen.get["high"]})
-    mode = FULL if until is None else INCREMENTAL
-    return _reported(LoadReport(table, mode, written.get["rows"], seen.get["rows"]))
+    mode = FULL if state is None else INCREMENTAL
+    return _reported(LoadReport(silver.table, mode, written.get["rows"], seen.get["rows"]))
+
+
+def stored_silver(spark: SparkSession, lake: Lakehouse, entity: str) -> DataFrame:
+    """A Silver table, however it was built; a bound on the buckets lets Spark see its real size."""
+    rows = open_table(spark, lake.table("silver", entity))
+    return rows.where(F.col(BUCKET) >= 0).drop(BUCKET) if BUCKET in rows.columns else rows
 
 
 def run_gold(
@@ -274,10 +484,10 @@ def run_gold(
     """
 
     def silver(entity: str) -> DataFrame:
-        return without_stamp(spark.read.table(lake.table("silver", entity)))
+        return without_stamp(stored_silver(spark, lake, entity))
 
     def gold(table: str) -> DataFrame:
-        return without_stamp(spark.read.table(lake.table("gold", table)))
+        return without_stamp(open_table(spark, lake.table("gold", table)))
 
     if check_unique and name in FACTS:
         for link in FACTS[name].links:
@@ -291,7 +501,7 @@ def run_gold(
     written = _write(lake, "gold", name, stamp_load(built), FULL)
     repeated, shared = key_faults(spark.read.table(table), *gold_key(name))
     if not repeated:
-        set_table_properties(spark, table, {UNIQUE: written})
+        set_table_properties(spark, table, {UNIQUE: f"{written} {table_location(spark, table)}"})
     return _reported(
         LoadReport(
             table,
@@ -305,9 +515,11 @@ def run_gold(
 
 
 def _marked_unique(spark: SparkSession, table: str) -> bool:
-    """Checked when it was written, and of the same number of rows since."""
+    """Checked when it was written, and of the same folder and number of rows since."""
     mark = table_property(spark, table, UNIQUE)
-    return mark is not None and int(mark) == spark.read.table(table).count()
+    if mark is None or not mark.endswith(f" {table_location(spark, table)}"):
+        return False
+    return int(mark.split(" ")[0]) == spark.read.table(table).count()
 
 
 def run_all(
@@ -318,12 +530,14 @@ def run_all(
     concurrent_loads: int = 4,
     method: str = "crc32",
     sized: bool = False,
+    load: Callable[..., LoadReport] | None = None,
     **bronze_options: object,
 ) -> list[LoadReport]:
     """``<landing>/<entity>`` -> Bronze -> Silver -> dimensions -> facts.
 
     The loads of a layer do not depend on each other and share the executors; ``sized`` sizes
-    the session per layer, by all it reads. Child entities come after their parents.
+    the session per layer, by all it reads. Child entities come after their parents. ``load``
+    takes the place of ``run_bronze``.
     """
     lake.create_databases(spark)
     entities = list(entities)
@@ -334,7 +548,7 @@ def run_all(
 
     def bronze(entity: str) -> LoadReport:
         path = f"{landing.rstrip('/')}/{entity}"
-        return run_bronze(spark, lake, entity, path, **bronze_options)
+        return (load or run_bronze)(spark, lake, entity, path, **bronze_options)
 
     size(spark.read.text(f"{landing.rstrip('/')}/{e}") for e in entities)
     order = sorted(entities, key=lambda e: ENTITIES[e].parent is not None)
@@ -344,7 +558,7 @@ def run_all(
     reports = [loaded[order.index(e)] for e in entities]
     size(spark.read.table(lake.table("bronze", e)) for e in entities)
     reports += in_parallel(lambda e: run_silver(spark, lake, e), entities, concurrent_loads)
-    size(spark.read.table(lake.table("silver", e)) for e in entities)
+    size(stored_silver(spark, lake, e) for e in entities)
     reports += in_parallel(
         lambda dim: run_gold(spark, lake, dim, method), DIMENSIONS, concurrent_loads
     )

@@ -31,6 +31,15 @@ class Lakehouse:
             return None
         return f"{self.location.rstrip('/')}/{getattr(self, layer)}/{self.prefix}{name}"
 
+    def home(self, spark: SparkSession, layer: str, name: str) -> str:
+        """The folder below which folders of rows are made; beside the database without a location."""
+        path = self.path(layer, name)
+        if path is not None:
+            return path
+        rows = spark.sql(f"DESCRIBE DATABASE {getattr(self, layer)}").collect()
+        place = {r[0]: r[1] for r in rows}["Location"]
+        return f"{place.rstrip('/')}/{self.prefix}{name}-folders"
+
     def create_databases(self, spark: SparkSession) -> None:
         for database in (self.bronze, self.silver, self.gold):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -49,6 +58,9 @@ class LoadReport:
     ``missing_parents``  parents in Bronze without a child there (child entities).
     ``duplicate_keys``   natural keys that occur more than once (Gold).
     ``key_collisions``   surrogate keys that several natural keys share (Gold).
+    ``files``            landed files that this load has read (Bronze).
+    ``missing_pages``    page numbers that the landed sets lack; None without numbered files (Bronze).
+    ``rejected``         malformed pages put aside; None where such a page ends the load (Bronze).
     """
 
     table: str
@@ -61,3 +73,6 @@ class LoadReport:
     missing_parents: int | None = None
     duplicate_keys: int | None = None
     key_collisions: int | None = None
+    files: int | None = None
+    missing_pages: int | None = None
+    rejected: int | None = None

@@ -6,8 +6,13 @@ from starlode.sources.landing import (
     child_records,
     distinct_parents,
     explode_records,
+    landed_files,
     missing_parents,
+    new_files,
     page_completeness,
+    page_gaps,
+    page_of_envelope,
+    page_of_file,
     parse_envelopes,
     project_records,
     read_envelopes,
@@ -22,9 +27,14 @@ __all__ = [
     "distinct_parents",
     "envelope_schema",
     "explode_records",
+    "landed_files",
     "materialize",
     "missing_parents",
+    "new_files",
     "page_completeness",
+    "page_gaps",
+    "page_of_envelope",
+    "page_of_file",
     "parse_envelopes",
     "project_records",
     "read_envelopes",

@@ -7,11 +7,13 @@ and exploded in parallel; no record passes through the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from starlode.sources.schemas import envelope_schema
 
@@ -28,6 +30,10 @@ def read_envelopes(
     file_per_envelope: bool = False,
     parent: str | None = None,
     parent_pattern: str | None = None,
+    corrupt: str | None = None,
+    base: str | None = None,
+    stream: bool = False,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Envelopes under ``path``; a malformed one fails the job.
 
@@ -35,13 +41,22 @@ def read_envelopes(
     ``file_per_envelope`` reads one (possibly pretty-printed) envelope per file.
     A nested value becomes its JSON text, with the blanks it landed with.
     ``parent_pattern`` takes the column ``parent`` from the file path, first group.
+    ``corrupt`` names a column that takes the text of malformed envelopes, which then fail
+    nothing. ``base`` is the folder that was landed, where ``path`` lists single files of it.
+    ``stream`` reads as a stream, ``files_per_batch`` of its files at a time.
     """
-    envelopes = (
-        spark.read.schema(envelope_schema(columns, carried))
-        .option("multiLine", file_per_envelope)
-        .option("mode", "FAILFAST")
-        .json(path)
-    )
+    schema = envelope_schema(columns, carried)
+    reader = (spark.readStream if stream else spark.read).option("multiLine", file_per_envelope)
+    if corrupt is None:
+        reader = reader.option("mode", "FAILFAST")
+    else:
+        schema = schema.add(corrupt, T.StringType())
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    if base is not None:
+        reader = reader.option("basePath", base)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    envelopes = reader.schema(schema).json(path)
     if parent_pattern is not None:
         if parent is None:
             raise ValueError("parent_pattern needs the name of the parent column")
@@ -51,6 +66,22 @@ def read_envelopes(
     return envelopes
 
 
+def landed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, size, modified of the files under ``path``; none is opened."""
+    listed = spark.read.format("binaryFile").load(path)
+    return listed.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def new_files(landed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Landed files that no load has seen; one that was written anew counts as another."""
+    return landed.join(seen, ["path", "size", "modified"], "left_anti")
+
+
+def literal_path(path: str) -> str:
+    """A path whose letters stand for themselves, where globs are read as well."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def parse_envelopes(
     payloads: DataFrame, payload: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
@@ -85,8 +116,10 @@ def all_fields(
 ) -> DataFrame:
     """Records of map type -> named text columns, and a map ``other`` of what is left.
 
-    A name is looked up as it stands, then without regard to case. Null records vanish.
+    A name is looked up as it stands, then without regard to case, where the first spelling
+    counts; every other spelling is left. Null records vanish.
     """
+    declared = F.create_map(*(F.lit(x) for c in columns for x in (c.lower(), c)))
     low = [c.lower() for c in columns]
     odd = F.map_filter("record", lambda k, _: ~k.isin(list(columns)))
     split = records.filter(F.col("record").isNotNull()).withColumn("_odd", odd)
@@ -96,7 +129,15 @@ def all_fields(
         late = F.when(F.size("_odd") > 0, F.get(F.map_values(same), F.lit(0)))
         return F.coalesce(F.col("record").getItem(column), late).alias(column)
 
-    rest = F.map_filter("_odd", lambda k, _: ~F.lower(k).isin(low))
+    spelled = F.filter(F.map_keys("_odd"), lambda k: F.lower(k).isin(low))
+    taken = F.filter(
+        spelled,
+        lambda k, i: F.col("record")[declared[F.lower(k)]].isNull()
+        & (F.array_position(F.transform(spelled, F.lower), F.lower(k)) == i + 1),
+    )
+    rest = F.when(
+        F.size(spelled) > 0, F.map_filter("_odd", lambda k, _: ~F.array_contains(taken, k))
+    ).otherwise(F.col("_odd"))
     return split.select(*map(pick, columns), *carry, F.when(F.size(rest) > 0, rest).alias(other))
 
 
@@ -136,3 +177,40 @@ def page_completeness(envelopes: DataFrame, by: Sequence[str] = ()) -> DataFrame
         F.count(F.lit(1)).alias("pages"),
         F.coalesce(F.bool_or(is_last_page()), F.lit(False)).alias("complete"),
     )
+
+
+def page_of_file(path: Column, pattern: str) -> tuple[Column, Column]:
+    """The page that a file's name gives (first group of ``pattern``), and the set it is one of.
+
+    The set is the path up to the match; both are null where nothing matches.
+    """
+    page = F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")).try_cast("long")
+    return page, F.when(page.isNotNull(), F.regexp_extract(path, f"^(.*?)(?:{pattern})", 1))
+
+
+def page_of_envelope() -> Column:
+    """The page number an envelope carries in ``meta.page``; null without a number."""
+    return F.col("meta.page").try_cast("long")
+
+
+def page_gaps(
+    pages: DataFrame, by: Sequence[str] = (), page: str = "page", first: int = 1, block: int = 1 << 20
+) -> DataFrame:
+    """by..., first_missing, last_missing: the runs of page numbers that a set lacks.
+
+    Pages are numbered from ``first`` on; of pages past the last that is there nothing is known
+    (see :func:`page_completeness`). Null pages are left out, repeated ones count once. Windows
+    run over blocks of numbers, then over one row per block, so a set may be large.
+    """
+    at = F.col(page)
+    known = pages.select(*by, at.cast("long").alias(page)).where(at.isNotNull() & (at >= first)).distinct()
+    known = known.withColumn("_block", F.floor(at / block))
+    before = F.lag(page).over(Window.partitionBy(*by, "_block").orderBy(page))
+    inside = known.withColumn("_before", before).select(*by, "_before", at.alias("_page"))
+    edges = known.groupBy(*by, "_block").agg(F.min(page).alias("_page"), F.max(page).alias("_last"))
+    last = F.lag("_last").over(Window.partitionBy(*by).orderBy("_block"))
+    between = edges.select(*by, F.coalesce(last, F.lit(first - 1)).alias("_before"), "_page")
+    runs = inside.unionByName(between).where(F.col("_page") - F.col("_before") > 1)
+    return runs.select(
+        *by, (F.col("_before") + 1).alias("first_missing"), (F.col("_page") - 1).alias("last_missing")
+    )

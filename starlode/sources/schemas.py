@@ -23,7 +23,7 @@ def string_schema(columns: Iterable[str], stamp: bool = True) -> T.StructType:
 def envelope_schema(
     columns: Iterable[str] | None = None, carried: Iterable[str] = ()
 ) -> T.StructType:
-    """Schema of one page: ``data`` records, ``meta.hasMore`` and carried text fields.
+    """Schema of one page: ``data`` records, ``meta.hasMore``, ``meta.page`` and carried text fields.
 
     With ``columns`` the records are structs, so the JSON parser skips every other
     field; without, they are maps and keep all fields.
@@ -33,7 +33,7 @@ def envelope_schema(
         if columns is None
         else string_schema(columns, stamp=False)
     )
-    meta = T.StructType([T.StructField("hasMore", T.BooleanType())])
+    meta = T.StructType([T.StructField("hasMore", T.BooleanType()), T.StructField("page", T.StringType())])
     return T.StructType(
         [T.StructField(name, T.StringType()) for name in carried]
         + [T.StructField("data", T.ArrayType(record)), T.StructField("meta", meta)]

@@ -384,6 +384,22 @@ ORACLE: dict[str, str] = {
           FROM users)
         WHERE NOT second OR updatedAt IS NULL
            OR cast(updatedAt AS timestamp) > (SELECT max(cast(updatedAt AS timestamp)) FROM users WHERE NOT second)""",
+    "bronze_manifest": f"""
+        WITH users AS (
+          SELECT *, cast(updatedAt AS timestamp) AS dated,
+                 CASE WHEN name NOT LIKE '%Ação ' THEN 1 WHEN cast(userId AS bigint) % 2 = 0 THEN 2 ELSE 3 END AS turn
+          FROM ({bronze_sql("users")}))
+        SELECT userId, name, updatedAt FROM users u
+        WHERE turn = 1 OR dated IS NULL OR dated > (SELECT max(dated) FROM users o WHERE o.turn < u.turn)""",
+    "bronze_quarantine": """
+        SELECT cast(c_custkey AS varchar) AS userTypeId, CASE WHEN c_custkey % 7 = 0 THEN 'rejected' ELSE 'loaded' END AS found,
+               count(*) FILTER (c_custkey % 7 = 0) OVER () AS n_rejected
+        FROM customer""",
+    "page_gaps": """
+        SELECT status, before + 1 AS first_missing, page - 1 AS last_missing
+        FROM (SELECT status, page, lag(page, 1, 0) OVER (PARTITION BY status ORDER BY page) AS before
+              FROM (SELECT DISTINCT o_orderstatus AS status, o_orderkey AS page FROM orders))
+        WHERE page - before > 1""",
     "bronze_incremental_results": f"""
         WITH r AS (SELECT resultId, evaluationId, answeredAt FROM ({bronze_sql("evaluations_results")}))
         SELECT * FROM r UNION ALL SELECT * FROM r WHERE answeredAt IS NULL""",

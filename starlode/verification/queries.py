@@ -58,6 +58,7 @@ from starlode.sources import (
     materialize,
     missing_parents,
     page_completeness,
+    page_gaps,
     parse_envelopes,
     project_records,
     read_envelopes,
@@ -706,6 +707,54 @@ def bronze_extra_fields(spark, sf_dir):
     return rows.select("userTypeId", "name", "updatedAt", F.col(OTHER)["segment"].alias("segment"))
 
 
+@query
+def bronze_manifest(spark, sf_dir):
+    """Users landed three times in one folder; every load reads the files that came since."""
+    users = frames.bronze(spark, sf_dir, "users")
+    second, even = F.col("name").endswith("Ação "), F.col("userId").cast("long") % 2 == 0
+    lake = Lakehouse(bronze="default", prefix=f"{fresh_name('load')}_", location=shared_path(spark, "lake"))
+    landing, reports = shared_path(spark, "users"), []
+    for part in (~second, second & even, second & ~even):
+        envelopes = pages(users.filter(part), users.columns)
+        envelopes.select(text_of(envelopes.columns)).write.mode("append").text(landing)
+        reports.append(run_bronze(spark, lake, "users", landing))
+    reports.append(run_bronze(spark, lake, "users", landing))
+    if [r.mode for r in reports] != [FULL, INCREMENTAL, INCREMENTAL, None]:
+        raise AssertionError(f"unexpected loads {reports}")
+    return scanned(spark, lake.table("bronze", "users")).select("userId", "name", "updatedAt")
+
+
+@query
+def bronze_quarantine(spark, sf_dir):
+    """One customer per page; every seventh page was cut off and is put aside."""
+    customers = table(spark, sf_dir, "customer")
+    record = F.struct(F.col("c_custkey").alias("userTypeId"), F.col("c_name").alias("name"))
+    page = F.to_json(F.struct(F.array(record).alias("data"), F.struct(F.lit(True).alias("hasMore")).alias("meta")))
+    cut = F.when(F.col("c_custkey") % 7 == 0, F.substr(page, F.lit(1), F.length(page) - 3)).otherwise(page)
+    landing = shared_path(spark, "cut")
+    customers.select(cut).write.text(landing)
+    lake = Lakehouse(bronze="default", prefix=f"{fresh_name('load')}_", location=shared_path(spark, "lake"))
+    report = run_bronze(spark, lake, "user_types", landing, quarantine=True)
+    rejected = scanned(spark, lake.table("bronze", "user_types_rejected"))
+    rows = scanned(spark, lake.table("bronze", "user_types"))
+    return (
+        rows.select("userTypeId", F.lit("loaded").alias("found"))
+        .unionByName(
+            rejected.select(
+                F.regexp_extract("page", r'"userTypeId":(\d+)', 1).alias("userTypeId"), F.lit("rejected").alias("found")
+            )
+        )
+        .withColumn("n_rejected", F.lit(report.rejected).cast("long"))
+    )
+
+
+@query
+def page_gaps_(spark, sf_dir):
+    """Order numbers as pages: the runs of numbers that each status lacks."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("page"))
+    return page_gaps(orders, ["status"], block=1000)
+
+
 def superseded(spark: SparkSession, entity: str, source: DataFrame) -> DataFrame:
     """An undeclared entity after a load: its records are maps, here shown by column."""
     rows = loaded_bronze(spark, entity, [pages(source, source.columns)], [FULL])
@@ -807,13 +856,12 @@ def silver_incremental(spark, sf_dir):
     users = frames.bronze(spark, sf_dir, "users")
     second = F.col("name").endswith("Ação ")
     modes = []
-    for rows, mode in ((users.filter(~second), FULL), (users.filter(second), INCREMENTAL)):
-        bronze = lake.table("bronze", "users")
-        write_table(stamp_load(rows), bronze, mode, path=lake.path("bronze", "users"))
+    for rows in (users.filter(~second), users.filter(second)):
+        run_bronze(spark, lake, "users", _land(spark, pages(rows, users.columns), "users"))
         modes.append(run_silver_delta(spark, lake, "users", buckets=16).mode)
     if modes != [FULL, INCREMENTAL]:
         raise AssertionError(f"unexpected load modes {modes}")
-    made = without_stamp(spark.read.parquet(lake.path("silver", "users")))
+    made = materialize(without_stamp(spark.read.table(lake.table("silver", "users"))), "users")
     for layer, entity in (("bronze", "users"), ("silver", "users"), ("silver", "users_versions")):
         spark.sql(f"DROP TABLE {lake.table(layer, entity)}")
     return as_wall_clock(made.drop(BUCKET))
