@@ -18,10 +18,18 @@ from pyspark.sql.window import Window
 from starlode.sources import materialize
 
 FANOUT = 8
-#: Rows before and after a node within its run, joined.
+#: Nodes of a level that are broadcast with their paths, and stored in one file: a path is 10 kB at
+#: most (21 steps of seven digests), so these are 10 MB.
+SMALL = 1024
+#: A path: at each step up the rows before and after the node within its run, joined.
 _STEP = "array<struct<left:string,right:string>>"
 
 
+def stored(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``df`` written and read back; few rows go into one file."""
+    return materialize(df.repartition(1) if rows <= SMALL else df, name)
+
+
 def digest(*values: Column) -> Column:
     """Hex sha256 of the values, each ``-`` if null, else its UTF-8 length, ``:`` and itself."""
     texts = (v.cast("string") for v in values)
@@ -42,7 +50,7 @@ def numbered(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     sizes = dealt.groupBy(part).agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    starts = materialize(starts, f"{name}-starts")
+    starts = materialize(starts.repartition(1), f"{name}-starts")
     inside = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     placed = dealt.join(starts, F.shiftright("_row", 33) == F.col("_of"))
     return placed.withColumn("position", F.col("_start") + inside).drop("_row", "_of", "_start")
@@ -52,80 +60,82 @@ def _slots(fanout: int) -> list[str]:
     return [f"slot{s}" for s in range(fanout)]
 
 
+def joined(slots: Sequence[str]) -> Column:
+    """The digests of some slots, in order; empty slots add nothing."""
+    return F.concat_ws("", *(F.col(c)["digest"] for c in slots)) if slots else F.lit("")
+
+
+def runs_by_height(sizes: DataFrame, fanout: int) -> list[int]:
+    """How many runs all trees have together at each height, up to the last root.
+
+    ``sizes`` has n, the leaves of a tree: a tree of n nodes has n / fanout of them above, rounded up.
+    """
+    steps, most = [], 1
+    while most * fanout < 1 << 62:
+        below, most = most, most * fanout
+        nodes, runs = (F.floor((F.col("n") + (m - 1)) / F.lit(m).cast("decimal(20,0)")).cast("long") for m in (below, most))
+        steps.append(F.sum(F.when(nodes > 1, runs)).alias(f"h{len(steps)}"))
+    return [n for n in sizes.agg(*steps).first() if n]
+
+
 def pivoted(nodes: DataFrame, fanout: int) -> DataFrame:
-    """tree, parent, slot0 ... : the nodes of each run of ``fanout``, a column per slot.
+    """tree, parent, n, slot0 ... : the nodes of each run of ``fanout``, a column per slot.
 
-    ``nodes`` has tree, place and node, a struct whose field ``digest`` is hashed.
+    ``nodes`` has tree, place, node, a struct whose field ``digest`` is hashed, and n, the nodes of
+    its tree at this height; ``n`` of the result counts those one step up.
     """
     slot = F.pmod("place", F.lit(fanout))
     runs = nodes.groupBy("tree", F.floor(F.col("place") / fanout).cast("long").alias("parent"))
-    return runs.agg(*(F.any_value(F.when(slot == s, F.col("node")), F.lit(True)).alias(c) for s, c in enumerate(_slots(fanout))))
-
-
-def joined(slots: Sequence[str]) -> Column:
-    """The digests of some slots, in order; empty slots add nothing."""
-    return F.concat_ws("", *(F.col(c)["digest"] for c in slots)) if slots else F.lit("")
+    return runs.agg(
+        F.floor((F.first("n") + (fanout - 1)) / fanout).cast("long").alias("n"),
+        *(F.any_value(F.when(slot == s, F.col("node")), F.lit(True)).alias(c) for s, c in enumerate(_slots(fanout))),
+    )
 
 
-def grown(nodes: DataFrame, sizes: DataFrame, fanout: int, name: str) -> tuple[list[DataFrame], DataFrame]:
-    """Levels from the leaves up, and tree, height, digest of each root.
+def grown(nodes: DataFrame, runs: list[int], fanout: int, name: str) -> tuple[list[DataFrame], DataFrame]:
+    """Levels from the leaves up, and tree, height, digest of each root; a lone leaf has height 0.
 
-    ``sizes`` has tree and n, its number of nodes; trees of one node have height 0.
+    ``nodes`` is as for :func:`pivoted`, ``runs`` how many runs each level has.
     """
     levels: list[DataFrame] = []
-    most = sizes.agg(F.max("n")).first()[0] or 0
-    single = sizes.where("n = 1").select(F.col("tree").alias("_tree"))
-    roots = nodes.join(single, F.col("tree") == F.col("_tree")).select(
-        "tree", F.lit(0).alias("height"), F.col("node")["digest"].alias("digest")
-    )
-    nodes = nodes.join(single, F.col("tree") == F.col("_tree"), "left_anti")
-    while most > 1:
-        level = materialize(pivoted(nodes, fanout), f"{name}-level")
+    roots = nodes.where("n = 1").select("tree", F.lit(0).alias("height"), F.col("node")["digest"].alias("digest"))
+    for height, many in enumerate(runs, 1):
+        level = stored(pivoted(nodes.where("n > 1"), fanout), f"{name}-level", many)
         levels.append(level)
-        most = -(-most // fanout)
-        above = level.select(
-            "tree", F.col("parent").alias("place"), F.struct(F.sha2(joined(_slots(fanout)), 256).alias("digest")).alias("node")
-        )
-        # a tree whose level has a single run is done
-        runs = level.groupBy("tree").agg(F.count("*").alias("runs"))
-        runs = materialize(runs, f"{name}-runs").withColumnRenamed("tree", "_tree")
-        counted = above.join(runs, F.col("tree") == F.col("_tree")).drop("_tree")
-        done = counted.where("runs = 1").select(
-            "tree", F.lit(len(levels)).alias("height"), F.col("node")["digest"].alias("digest")
-        )
-        roots = roots.unionByName(done)
-        nodes = counted.where("runs > 1").drop("runs")
-    return levels, materialize(roots, f"{name}-roots")
-
-
-def handed_down(levels: list[DataFrame], tops: DataFrame, single: DataFrame, fanout: int, name: str) -> DataFrame:
+        top = F.sha2(joined(_slots(fanout)), 256).alias("digest")
+        roots = roots.unionByName(level.where("n = 1").select("tree", F.lit(height).alias("height"), top))
+        nodes = level.select("tree", F.col("parent").alias("place"), F.struct(top).alias("node"), "n")
+    return levels, roots
+
+
+def handed_down(
+    leaves: DataFrame, levels: list[DataFrame], runs: list[int], tops: DataFrame, fanout: int, name: str
+) -> DataFrame:
     """tree, place, node, path of every leaf: the siblings of each step up.
 
-    ``tops`` has tree, height and path of each root, ``single`` the leaves that are roots.
+    ``tops`` has tree, height and path of each root.
     """
-    ups = None
+    slots, ups = _slots(fanout), None
+
+    def child(s: int) -> Column:
+        step = F.struct(joined(slots[:s]).alias("left"), joined(slots[s + 1 :]).alias("right"))
+        path = F.concat(F.array(step).cast(_STEP), F.col("path"))
+        return F.struct((F.col("parent") * fanout + s).alias("place"), F.col(slots[s]).alias("node"), path.alias("path"))
+
     for height in range(len(levels), 0, -1):
         here = tops.where(F.col("height") == height).select("tree", F.lit(0).cast("long").alias("place"), "path")
-        ups = here if ups is None else ups.unionByName(here)
-        ups = materialize(ups, f"{name}-paths").withColumnsRenamed({"tree": "_tree", "place": "_place"})
+        ups = here if ups is None else ups.drop("node").unionByName(here)
+        # one row for each run of the level
+        many = runs[height - 1]
+        ups = F.broadcast(ups) if many <= SMALL else materialize(ups, f"{name}-paths")
+        ups = ups.withColumnsRenamed({"tree": "_tree", "place": "_place"})
         level = levels[height - 1].join(ups, (F.col("tree") == F.col("_tree")) & (F.col("parent") == F.col("_place")))
-        slots = _slots(fanout)
-
-        def child(s: int, slots: list[str] = slots) -> Column:
-            step = F.struct(joined(slots[:s]).alias("left"), joined(slots[s + 1 :]).alias("right"))
-            return F.struct(
-                (F.col("parent") * fanout + s).alias("place"),
-                F.col(slots[s]).alias("node"),
-                F.concat(F.array(step).cast(_STEP), F.col("path")).alias("path"),
-            )
-
         children = F.explode(F.filter(F.array(*map(child, range(fanout))), lambda c: c["node"].isNotNull()))
         ups = level.select("tree", children.alias("child")).select("tree", "child.*")
-        if height > 1:
-            ups = ups.drop("node")
-    lone = single.join(
+    lone = leaves.where("n = 1").join(
         tops.where("height = 0").select(F.col("tree").alias("_tree"), "path"), F.col("tree") == F.col("_tree")
-    ).select("tree", "place", "node", "path")
+    )
+    lone = lone.select("tree", "place", "node", "path")
     return lone if ups is None else ups.unionByName(lone)
 
 
@@ -159,24 +169,28 @@ def manifest(leaves: DataFrame, group: str, order: str, leaf: str, fanout: int =
     rows = materialize(rows, "leaves")  # with its number, so that a repeated task deals rows alike
     placed = numbered(rows, ["group", "order", "node.digest", "number"], "leaves-in-order")
     groups = placed.groupBy("group").agg(F.min("position").alias("first"), F.count("*").alias("n"))
-    trees = materialize(numbered(materialize(groups, "groups"), ["group"], "groups-in-order"), "trees")
+    trees = numbered(materialize(groups, "groups"), ["group"], "groups-in-order")
     trees = trees.select(F.col("group").alias("_group"), F.col("position").alias("tree"), "first", "n")
     nodes = placed.join(trees, F.col("group").eqNullSafe(F.col("_group"))).select(
-        "tree", (F.col("position") - F.col("first")).alias("place"), "node"
+        "tree", (F.col("position") - F.col("first")).alias("place"), "node", "n"
     )
-    sizes = trees.select("tree", "n")
-    levels, subroots = grown(nodes, sizes, fanout, "leaves")
+    runs = runs_by_height(trees, fanout)
+    levels, subroots = grown(nodes, runs, fanout, "leaves")
     # the subroots are the leaves of one tree
+    many = trees.count()
     upper = subroots.select(
-        F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.struct("digest", "tree", "height").alias("node")
+        F.lit(0).cast("long").alias("tree"),
+        F.col("tree").alias("place"),
+        F.struct("digest", "tree", "height").alias("node"),
+        F.lit(many).cast("long").alias("n"),
     )
-    total = upper.groupBy("tree").agg(F.count("*").alias("n"))
-    steps, root = grown(upper, total, fanout, "groups")
+    upper = stored(upper, "subroots", many)
+    upper_runs = runs_by_height(upper.select("n").limit(1), fanout)
+    steps, root = grown(upper, upper_runs, fanout, "groups")
     empty = root.select("tree", "height", F.array().cast(_STEP).alias("path"))
-    tops = handed_down(steps, empty, upper, fanout, "groups").select("node.*", "path")
-    tops = materialize(tops, "group-paths")
-    single = nodes.join(sizes.where("n = 1").select(F.col("tree").alias("_tree")), F.col("tree") == F.col("_tree"))
-    found = handed_down(levels, tops.select("tree", "height", "path"), single.drop("_tree"), fanout, "leaves")
+    tops = handed_down(upper, steps, upper_runs, empty, fanout, "groups").select("node.*", "path")
+    tops = stored(tops, "group-paths", many)
+    found = handed_down(nodes, levels, runs, tops.select("tree", "height", "path"), fanout, "leaves")
     names = tops.select(F.col("tree").alias("_tree"), F.col("digest").alias("subroot"))
     top = root.first()
     found = found.join(names, F.col("tree") == F.col("_tree"))
