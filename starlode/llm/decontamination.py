@@ -17,7 +17,8 @@ from starlode.llm.text import ALNUM_WORD, lower_ascii, words_of
 from starlode.sources import materialize
 
 WIDTH = 13
-#: Prefix words are sent to all executors up to this many; above, their join shuffles.
+#: Prefix words are sent to all executors up to this many (a window of 13 words each, some 30 MB);
+#: above, their join shuffles words and places. Results are the same.
 BROADCAST_ROWS = 200_000
 
 
@@ -44,11 +45,52 @@ def item_windows(items: DataFrame, width: int, id_col: str, text_col: str) -> Da
 
 def _word_stream(docs: DataFrame) -> DataFrame:
     """doc_id, digest, words, pos, word: every word, then an empty one that ends the document."""
-    return docs.select("doc_id", "digest", "words", F.posexplode(F.col("words")).alias("pos", "raw")).withColumn(
-        "word", lower_ascii(F.col("raw"))
+    # no array is empty; the outer form spares Spark a filter that cuts every text once more
+    each = F.posexplode_outer(F.col("words")).alias("pos", "raw")
+    return docs.select("doc_id", "digest", "words", each).withColumn("word", lower_ascii(F.col("raw")))
+
+
+def _occurs(words: Column, start: Column, n: Column, window: Column) -> Column:
+    """Whether the words from ``start`` on are those of the window."""
+    return lower_ascii(F.array_join(F.slice(words, start + 1, n), " ")) == window
+
+
+_HIT = ("doc_id", "digest", "start", "n", "window")
+
+
+def _hits_in_place(worded: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """Occurrences of windows, and the end mark of every document (n = 0), where prefixes are
+    few enough to be sent to all executors: a candidate is verified where its document is read."""
+    start, is_end = F.col("pos") - F.col("offset"), F.col("n") == 0
+    occurs = F.when(start >= 0, _occurs(F.col("words"), start, F.col("n"), F.col("window")))
+    return (
+        _word_stream(worded)
+        .join(F.broadcast(prefixes), F.col("word") == F.col("known"))
+        .where(is_end | ((start >= 0) & (start + F.col("n") <= F.size("words") - 1)))
+        .where(is_end | occurs)
+        .select("doc_id", "digest", start.alias("start"), "n", "window")
     )
 
 
+def _hits_by_join(worded: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The same for prefixes of any number: words and places are shuffled, not texts, and the
+    candidates found go back to the documents they are in."""
+    length = (F.size("words") - 1).alias("length")
+    stream = _word_stream(worded).select("doc_id", "digest", length, "pos", "word")
+    start = F.col("pos") - F.col("offset")
+    found = (
+        stream.join(prefixes.where("n > 0"), F.col("word") == F.col("known"))
+        .where((start >= 0) & (start + F.col("n") <= F.col("length")))
+        .groupBy(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+        .agg(F.collect_set(F.struct(start.alias("start"), "n", "window")).alias("candidates"))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+    verified = F.filter("candidates", lambda c: _occurs(F.col("words"), c["start"], c["n"], c["window"]))
+    hits = worded.join(found, same).select("doc_id", "digest", F.explode(verified).alias("hit"))
+    ends = worded.select("doc_id", "digest", length.alias("start"), F.lit(0).alias("n"), F.lit("").alias("window"))
+    return hits.select("doc_id", "digest", "hit.*").unionByName(ends).select(*_HIT)
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -99,16 +141,8 @@ def contamination(
         F.lit("").alias("known"), F.lit(0).alias("offset"), F.lit(0).alias("n"), F.lit("").alias("window")
     )
     prefixes = materialize(prefixes.unionByName(end_mark), "prefixes")
-    start = F.col("pos") - F.col("offset")
-    length = F.size("words") - 1
-    there = lower_ascii(F.array_join(F.slice(F.col("words"), start + 1, F.col("n")), " "))
-    hits = (
-        _word_stream(worded)
-        .join(_sized(prefixes, prefixes.count()), F.col("word") == F.col("known"))
-        .where((F.col("n") == 0) | ((start >= 0) & (start + F.col("n") <= length)))
-        .where((F.col("n") == 0) | (F.when(start >= 0, there) == F.col("window")))
-        .select("doc_id", "digest", start.alias("start"), "n", "window")
-    )
+    few = prefixes.count() <= BROADCAST_ROWS
+    hits = (_hits_in_place if few else _hits_by_join)(worded, prefixes)
     is_end = F.col("n") == 0
     spans = hits.groupBy("doc_id", "digest").agg(
         F.max(F.when(is_end, F.col("start"))).cast("long").alias("n_words"),

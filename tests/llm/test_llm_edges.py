@@ -119,6 +119,26 @@ def test_contamination_of_odd_rows(messy, items):
     assert sorted(of[None]) == [(0, 0, 0, False), (16, 16, 2, True)]
 
 
+def test_many_prefixes_are_joined(spark, messy, items, monkeypatch):
+    from starlode.llm import decontamination
+
+    both = messy.unionByName(messy)
+    rows = lambda: sorted(map(str, contamination(both, items).collect()))
+    few = rows()
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    assert rows() == few and len(few) == 11
+    assert contamination(messy.limit(0), items).isEmpty()
+
+
+def test_texts_are_cut_once_per_pass(spark, messy):
+    """No filter below the explosion of the words cuts every text a second time."""
+    from starlode.llm.decontamination import _word_stream, words_of
+
+    worded = messy.select("doc_id", F.lit(1).alias("digest"), F.concat(words_of(F.col("text")), F.array(F.lit(""))).alias("words"))
+    plan = _word_stream(worded).select("word")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_without_benchmark_nothing_is_contaminated(messy, items):
     found = contamination(messy, items.limit(0))
     assert found.where("n_hit > 0 or n_items > 0").isEmpty()
