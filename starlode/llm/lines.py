@@ -30,25 +30,26 @@ ROWS = 4
 BANDS = 12  # recall at similarity 0.8: 1 - (1 - 0.8 ** 4) ** 12 = 0.998
 BLOCK = 4096  # lines of one key that are compared in one go
 _FEW = 32  # lines of a key that leave pairs to other keys
-_PIECE = 1 << 17  # characters whose signatures are computed at a time
+_PIECE = 1 << 15  # characters whose signatures are computed at a time
+_HELD = 1 << 20  # characters of lines whose shingles are packed at a time
 _BLANK = " \t\n\x0b\f\r"
 
 
 def _factors() -> np.ndarray:
-    """An odd factor and a summand per hash function, from a fixed rule."""
-    n = ROWS * BANDS
-    return (mixed(np.arange(1, 2 * n + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32).reshape(2, n)
+    """An odd factor per hash function, from a fixed rule."""
+    return (mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def band_keys(lines: list[str], shingle: int) -> np.ndarray:
     """48-bit keys, one row of ``BANDS`` per line; a short line is its own only shingle."""
-    factor, summand = _factors()
-    factor = factor | np.uint32(1)
+    factors = _factors()
     out = np.empty((len(lines), BANDS), np.uint64)
     sizes = np.array([len(x) for x in lines], np.int64)
+    ends = np.cumsum(sizes)
     begin = 0
     while begin < len(lines):
-        end = begin + max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), _PIECE, side="right")))
+        before = ends[begin] - sizes[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, before + _PIECE, side="right")))
         n = sizes[begin:end]
         # blanks fill short lines up to one shingle
         text = "".join(x if len(x) >= shingle else x.ljust(shingle, "\n") for x in lines[begin:end])
@@ -61,8 +62,10 @@ def band_keys(lines: list[str], shingle: int) -> np.ndarray:
         cuts = np.minimum(cuts, len(grams))
         grams = np.append(grams, np.uint32(0))
         least = np.empty((end - begin, ROWS * BANDS), np.uint64)
-        for j in range(ROWS * BANDS):
-            least[:, j] = np.minimum.reduceat(grams * factor[j] + summand[j], cuts)[::2]
+        hashed = np.empty_like(grams)  # stays in the cache for all functions
+        for j, factor in enumerate(factors):
+            np.multiply(grams, factor, out=hashed)
+            least[:, j] = np.minimum.reduceat(hashed, cuts)[::2]
         for b in range(BANDS):
             key = np.full(end - begin, b + 1, np.uint64)
             for r in range(ROWS):
@@ -160,19 +163,68 @@ def shingles(line: str, n: int) -> set[str]:
     return {line[i : i + n] for i in range(max(len(line) - n, 0) + 1)}
 
 
-def similar(a: set[str], b: set[str], least: float) -> bool:
+def shared(a: set | np.ndarray, b: set | np.ndarray) -> int:
+    """How many shingles two lines have in common; both are sets, or both ascending numbers."""
+    if isinstance(a, set):
+        return len(a & b)
+    return int(np.count_nonzero(a.take(a.searchsorted(b), mode="clip") == b))
+
+
+def similar(a: set | np.ndarray, b: set | np.ndarray, least: float) -> bool:
     if min(len(a), len(b)) < least * max(len(a), len(b)):
         return False
-    both = len(a & b)
+    both = shared(a, b)
     return both >= least * (len(a) + len(b) - both)
 
 
+class Shingles:
+    """The distinct shingles of some lines, as numbers where that is exact, made when first asked for.
+
+    Characters are numbered by what stands in these lines; as long as a shingle's numbers fit 64
+    bits, they are the shingle. Lines of more kinds of characters keep shingles as text.
+    """
+
+    def __init__(self, lines: dict[bytes, str], n: int):
+        self.lines, self.n, self.sets = lines, n, {}
+        sizes = np.array([len(x) for x in lines.values()], np.int64)
+        text = "".join(x if len(x) >= n else x.ljust(n, "\0") for x in lines.values())
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        there = np.zeros(int(codes.max(initial=0)) + 1, bool)
+        there[codes] = True
+        bits = int(there.sum()).bit_length()
+        self.packed = None
+        if bits * n <= 64 and not any("\0" in x for x in lines.values()):
+            numbers = np.cumsum(there).astype(np.uint64)
+            number = numbers[codes] - np.uint64(1)
+            count = max(len(number) - n + 1, 0)
+            self.packed = np.zeros(count, np.uint64)
+            for i in range(n):
+                self.packed <<= np.uint64(bits)
+                self.packed |= number[i : i + count]
+            heads = np.cumsum(np.maximum(sizes, n)) - np.maximum(sizes, n)
+            ends = heads + np.maximum(sizes - n, 0) + 1
+            self.spans = dict(zip(lines, zip(heads.tolist(), ends.tolist(), strict=True), strict=True))
+
+    def of(self, name: bytes) -> set | np.ndarray:
+        found = self.sets.get(name)
+        if found is None:
+            if self.packed is None:
+                found = shingles(self.lines[name], self.n)
+            else:
+                head, end = self.spans[name]
+                found = np.sort(self.packed[head:end])
+                new = np.ones(len(found), bool)
+                np.not_equal(found[1:], found[:-1], out=new[1:])
+                found = found[new]
+            self.sets[name] = found
+        return found
+
+
 def _trees(
     key: int,
     names: list[bytes],
-    texts: list[str],
     keys: list[list[int]],
-    n: int,
+    of: Callable[[bytes], set | np.ndarray],
     least: float,
     apart: list[bool] | None = None,
 ) -> Iterator[tuple[bytes, bytes]]:
@@ -180,18 +232,11 @@ def _trees(
 
     Few lines leave a pair to the first key it has in common, which saves nine checks in ten.
     Many lines are mostly one group; there a line is settled at its first link, and leaving
-    pairs to other keys would keep all of them waiting. Sets are made when first compared.
+    pairs to other keys would keep all of them waiting. ``of`` gives the shingles of a line.
     ``apart`` tells two blocks of one key: then only lines of different blocks are compared.
     """
     few = len(names) <= _FEW
     owned = [frozenset(k) for k in keys] if few else []
-    sets: dict[int, set[str]] = {}
-
-    def of(i: int) -> set[str]:
-        if i not in sets:
-            sets[i] = shingles(texts[i], n)
-        return sets[i]
-
     # lines yet to be settled, by the side that compares with them
     left: dict[bool, list[int]] = {True: [], False: []}
     for i in range(len(names)):
@@ -205,7 +250,7 @@ def _trees(
             i, rest = frontier.pop(), []
             side = apart is not None and apart[i]
             for j in left[side]:
-                if (not few or min(owned[i] & owned[j]) == key) and similar(of(i), of(j), least):
+                if (not few or min(owned[i] & owned[j]) == key) and similar(of(names[i]), of(names[j]), least):
                     yield names[i], names[j]
                     frontier.append(j)
                 else:
@@ -234,16 +279,20 @@ def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
     wanted = ("key", "block", "other", "side", "line", "text", "keys")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        # groups that wait for their shingles, and the one whose lines are still coming in
+        waiting: list[list[tuple]] = []
+        group: list[tuple] = []
+        held = 0
 
         def done() -> pa.RecordBatch:
+            of = Shingles({row[4]: row[5] for rows in waiting for row in rows}, shingle).of
             pairs: list[tuple[bytes, bytes]] = []
-            if len(held) > 1:
-                key, block, other = held[0][:3]
-                *_, sides, names, texts, keys = zip(*held, strict=True)
+            for rows in waiting:
+                key, block, other = rows[0][:3]
+                *_, sides, names, _, keys = zip(*rows, strict=True)
                 apart = None if block == other else [x == block for x in sides]
-                pairs = list(_trees(key, list(names), list(texts), list(keys), shingle, similarity, apart))
-            held.clear()
+                pairs += _trees(key, list(names), list(keys), of, similarity, apart)
+            waiting.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"]
             )
@@ -251,12 +300,19 @@ def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
         for batch in batches:
             columns = (batch.column(c).to_pylist() for c in wanted)
             for row in zip(*columns, strict=True):
-                if held and held[0][:3] != row[:3]:
-                    out = done()
-                    if out.num_rows:
-                        yield out
-                held.append(row)
+                if group and group[0][:3] != row[:3]:
+                    if len(group) > 1:
+                        waiting.append(group)
+                        held += sum(len(x[5]) for x in group)
+                    group = []
+                    if held > _HELD:
+                        yield done()
+                        held = 0
+                group.append(row)
+        if len(group) > 1:
+            waiting.append(group)
         yield done()
+        del group
         give_back()
 
     return full.select(*wanted).mapInArrow(verify, "a binary, b binary")

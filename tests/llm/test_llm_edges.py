@@ -320,6 +320,20 @@ def test_lines_of_odd_rows(messy):
         line_dedup(messy.withColumn("n_lines", F.lit(1)))
 
 
+@pytest.mark.parametrize("letters", ["ab ", "abcdefghij é漢😀", "".join(map(chr, range(40, 400))), "a\0b"])
+@pytest.mark.parametrize("n", [2, 9])
+def test_packed_shingles_are_the_shingles(letters, n):
+    from starlode.llm.lines import Shingles, shared, shingles, similar
+
+    rng = np.random.default_rng(n)
+    lines = {bytes([i]): "".join(rng.choice(list(letters), rng.integers(1, 40))) for i in range(40)}
+    packed = Shingles(lines, n)
+    for a, b in itertools.product(lines, lines):
+        x, y = shingles(lines[a], n), shingles(lines[b], n)
+        assert shared(packed.of(a), packed.of(b)) == len(x & y)
+        assert similar(packed.of(a), packed.of(b), 0.5) == (2 * len(x & y) >= len(x | y))
+
+
 def test_wide_keys_are_compared_in_blocks(spark, monkeypatch):
     from starlode.llm import lines
 
