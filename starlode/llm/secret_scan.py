@@ -15,6 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starlode.sources import materialize
+
 
 class Rule(NamedTuple):
     """Matches of ``pattern`` count if ``group`` (0: all) has ``least`` characters or more."""
@@ -103,9 +105,10 @@ def trigram_query(pattern: str) -> Query:
 
 def trigram_index(docs: DataFrame, trigrams: list[str], keys: list[str], text_col: str) -> DataFrame:
     """``keys``, trigram: the postings of ``trigrams`` in the lower-cased texts."""
-    low = F.lower(F.col(text_col))
-    present = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams)))
-    return docs.select(*keys, F.explode(present).alias("trigram"))
+    # lower-cased once, below the many looks at it
+    lowered = docs.select(*keys, F.lower(F.col(text_col)).alias("_low"))
+    present = F.array_compact(F.array(*(F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in trigrams)))
+    return lowered.select(*keys, F.explode(present).alias("trigram"))
 
 
 def _satisfied(query: Query, held: Column) -> Column:
@@ -178,7 +181,8 @@ def scan(
     keys = ["doc_id", "digest"]
     trigrams = sorted({t for q in indexed.values() for part in q for s in part for t in s})
     known = candidates(trigram_index(rows, trigrams, keys, "text"), indexed, keys)
-    known = known.withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+    # few documents are candidates; written, their real size decides whether texts move to the join
+    known = materialize(known, "candidates").withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
     joined = rows.join(known, same, "left")
     text, none = F.col("text"), F.array().cast("array<struct<start: int, rank: int, end: int, kind: string>>")
