@@ -82,14 +82,18 @@ def mix(
     """doc_id, size, source_size, target, taken: one row per row of ``docs``.
 
     ``quality`` maps ``doc_id`` to a positive ``weight`` (absent: 1). Null sources form one
-    source, ordered last; null ids have one key; rows with equal keys are ordered by id and
-    size, and equal rows share what is left between them in either order, so reruns agree in
-    content. An empty table gives an empty mix; documents of size zero are taken zero times.
+    source, ordered last; a row with a null id draws by its place in the table, so reruns over the
+    same files agree; rows with equal keys are ordered by id and size, and equal rows share what is
+    left between them in either order, so reruns agree in content. An empty table gives an empty mix; documents of size zero are taken zero times.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         size.alias("size"),
+        # null ids draw by their row, or all of them would meet in one bin
+        F.coalesce(
+            F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.monotonically_increasing_id().cast("string"))
+        ).alias("drawn_by"),
     )
     rows = materialize(rows, "mix-sizes")
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
@@ -107,14 +111,14 @@ def mix(
         rows = rows.withColumn("_weight", F.coalesce("_weight", F.lit(1.0)))
     else:
         rows = rows.withColumn("_weight", F.lit(1.0))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / F.col("_weight")
+    key = -F.log(uniform(F.col("drawn_by"), seed)) / F.col("_weight")
     keyed = (
         rows.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
         .drop("_source")
         .withColumn("key", key)
         .withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * F.col("n_bins")).cast("long"))
     )
-    keyed = materialize(keyed.drop("_weight"), "mix-keys")
+    keyed = materialize(keyed.drop("_weight", "drawn_by"), "mix-keys")
     bins = keyed.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.select(
