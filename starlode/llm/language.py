@@ -5,7 +5,7 @@ so the conjunction of an n-gram's rows is the set of languages that (seem to) co
 text's n-grams are counted per language by those bits, the counts are corrected for each
 language's rate of false positives, and the largest wins.
 
-The filter is fitted on a bounded sample of labelled rows (``sample_docs``). A language holds
+The filter is fitted on a bounded sample of labelled rows (``sample_docs`` of each language). A language holds
 the n-grams that make up at least ``share`` of its n-grams of one length, hence at most
 1 / ``share`` of them: the model's size depends on the number of languages alone.
 """
@@ -26,7 +26,7 @@ from starlode.llm.units import gram_hash, mixed, prefix_hash, text_bytes
 
 SIZES = (3, 5)
 SHARE = 2e-5
-SAMPLE_DOCS = 10_000
+SAMPLE_DOCS = 5_000
 ROWS = 1 << 20
 HASHES = 3
 UNKNOWN = "und"
@@ -108,12 +108,17 @@ def fit(
     share: float = SHARE,
     rows: int = ROWS,
 ) -> Model:
-    """A model from about ``sample_docs`` of the rows with text and language, picked by id."""
+    """A model from rows with text and language: at most about ``sample_docs`` of each language.
+
+    A language with fewer rows gives all of them, however large the table is. Rows are picked by
+    id and text, null ids like any other.
+    """
     usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     usable = usable.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    total = usable.select("lang").count()
-    if total > sample_docs:
-        usable = usable.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_docs / total))
+    totals = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_rows"))
+    share_of_rows = (F.lit(float(sample_docs)) / F.col("_rows") * (1 << 30)).cast("long")
+    usable = usable.join(totals, F.col("lang") == F.col("_lang"))
+    usable = usable.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share_of_rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)

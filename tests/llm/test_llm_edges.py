@@ -511,3 +511,62 @@ def test_cross_products_of_bit_planes(bits):
         y = np.column_stack([rng.integers(0, 1 << b, n) for b in bits])
         whole = y.astype(object)
         assert (np.triu(cross_products(y, np.array(bits))) == np.triu(whole.T @ whole)).all()
+
+
+def test_null_ids_are_spread(spark):
+    from starlode.llm import mixing
+
+    keyed, whole = [], mixing.materialize
+
+    def watched(df, name):
+        out = whole(df, name)
+        if name == "mix-keys":
+            keyed.append(out)
+        return out
+
+    mixing.materialize = watched
+    try:
+        df = spark.createDataFrame([(None, "a", f"w{i} x") for i in range(300)], "doc_id long, source string, text string")
+        assert mix(df, n_words(F.col("text"))).count() == 300
+    finally:
+        mixing.materialize = whole
+    assert keyed[0].select("key").distinct().count() == 300 and keyed[0].select("bin").distinct().count() > 5
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(None, f"the quick brown fox number {i} jumps over lazy dogs", "en") for i in range(2000)]
+    rows += [(5, f"zwölf boxkämpfer jagen viktor quer über den großen sylter deich {i}", "de") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(df, sample_docs=20)
+    assert model.languages == ["de", "en"]
+    found = identify(df, model).groupBy("lang_pred").count().collect()
+    assert {tuple(r) for r in found} == {("en", 2000), ("de", 6)}
+
+
+def test_language_by_exact_sets(spark):
+    """The filter's answer against sets of n-grams, which have no false positives."""
+    import re
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    kinds = {"a": "abcdef", "b": "defghi", "c": "éñüdeg"}
+    words = {k: ["".join(rng.choice(list(v), rng.integers(2, 8))) for _ in range(60)] for k, v in kinds.items()}
+    rows = [(i, " ".join(rng.choice(words[k], 30)), k) for i, k in enumerate(list(kinds) * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def grams_of(text):
+        letters = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in text.encode())
+        found = [letters[i : i + n] for n in (3, 5) for i in range(len(letters) - n + 1)]
+        return [g for g in found if not re.search(rb"  ", g)]
+
+    known = {}
+    for k in kinds:
+        times = Counter(g for _, t, lang in rows if lang == k for g in grams_of(t))
+        sums = {n: sum(c for g, c in times.items() if len(g) == n) for n in (3, 5)}
+        known[k] = {g for g, c in times.items() if c >= 2e-5 * sums[len(g)]}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in identify(df, fit(df)).collect()}
+    for i, text, _ in rows:
+        own = grams_of(text)
+        share = {k: sum(g in s for g in own) / len(own) for k, s in known.items()}
+        best = max(sorted(share), key=share.get)
+        assert got[i][0] == best and abs(got[i][1] - share[best]) < 0.01
