@@ -27,7 +27,7 @@ from starlode.plans import (
     run_silver,
     run_silver_delta,
 )
-from starlode.plans.jobs import stored_silver
+from starlode.plans.jobs import run_gold_delta, stored
 from starlode.session import apply_sizing
 from starlode.streaming import run_bronze_new_files
 
@@ -72,6 +72,7 @@ def arguments() -> argparse.ArgumentParser:
     silver.add_argument("--delta", action="store_true", help="rewrite only what new rows touch")
     gold = layers.add_parser("gold", parents=[common, keys])
     gold.add_argument("name", choices=[*DIMENSIONS, *FACTS])
+    gold.add_argument("--delta", action="store_true", help="rewrite only what changes reach (facts)")
     gold.add_argument("--where", help="SQL condition on the Silver rows of a dimension")
     layers.add_parser("all", parents=[common, landing, keys])
     return parser
@@ -80,6 +81,8 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> list[LoadReport]:
     parser = arguments()
     args = parser.parse_args(argv)
+    if args.layer == "gold" and args.delta and (args.name not in FACTS or args.where):
+        parser.error("--delta is for facts, which take no --where")
     spark = spark or SparkSession.builder.appName("starlode").getOrCreate()
     lake = Lakehouse(args.bronze, args.silver, args.gold, args.prefix, args.location)
     lake.create_databases(spark)
@@ -116,9 +119,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             reports = [run_silver(spark, lake, args.name, args.keep)]
     elif args.layer == "gold":
         source = (DIMENSIONS | FACTS)[args.name].source
-        apply_sizing(spark, [stored_silver(spark, lake, source)])
+        apply_sizing(spark, [stored(spark, lake.table("silver", source))])
         where = F.expr(args.where) if args.where else None
-        reports = [run_gold(spark, lake, args.name, args.key_method, where=where)]
+        if args.delta:
+            reports = [run_gold_delta(spark, lake, args.name, args.key_method)]
+        else:
+            reports = [run_gold(spark, lake, args.name, args.key_method, where=where)]
     else:
         reports = run_all(
             spark, lake, args.landing, method=args.key_method, sized=True, load=load, **options

@@ -95,6 +95,29 @@ def current_state(spark: SparkSession, stores: Sequence[BucketStore]) -> BucketS
     return state
 
 
+def latest_generation(state: BucketState, store: BucketStore) -> str:
+    """Name of the newest folder of a store, which no other state has as its newest."""
+    return max(state.folders[store.table].values(), default="")
+
+
+def touched_since(
+    spark: SparkSession, stores: Sequence[BucketStore], number: int, generation: str
+) -> list[int] | None:
+    """Buckets that records after ``number`` have touched.
+
+    None if that cannot be told: a record is gone, or is not the one that had ``generation`` as
+    its newest folder.
+    """
+    numbers = _numbers(spark, stores[0])
+    wanted = [n for n in numbers if n >= number]
+    if not wanted or wanted != list(range(number, numbers[-1] + 1)):
+        return None
+    first, *later = (_read(spark, stores[0], n) for n in wanted)
+    if latest_generation(first, stores[0]) != generation:
+        return None
+    return sorted({b for state in later for b in state.touched})
+
+
 def lost_buckets(spark: SparkSession, stores: Sequence[BucketStore], state: BucketState) -> list[int]:
     """Buckets of which a folder that the record names is gone or empty."""
     lost: set[int] = set()

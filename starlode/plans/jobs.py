@@ -8,6 +8,7 @@ load to the next.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -20,7 +21,14 @@ from starlode.operators.conform import EntitySpec, conform
 from starlode.operators.dedup import latest_by_key, typed_version
 from starlode.operators.guards import key_faults, require_unique
 from starlode.operators import folders
-from starlode.operators.buckets import BucketStore, commit_buckets, current_state, lost_buckets
+from starlode.operators.buckets import (
+    BucketStore,
+    commit_buckets,
+    current_state,
+    latest_generation,
+    lost_buckets,
+    touched_since,
+)
 from starlode.operators.load import (
     FOLDER_FORMATS,
     FULL,
@@ -50,7 +58,7 @@ from starlode.operators.loads import (
 )
 from starlode.plans.entities import ENTITIES, SILVER
 from starlode.plans.lakehouse import Lakehouse, LoadReport
-from starlode.plans.star_schema import DIMENSIONS, FACTS, build_gold, gold_key
+from starlode.plans.star_schema import DIMENSIONS, FACTS, FactSpec, build_gold, gold_key
 from starlode.session import apply_sizing
 from starlode.sources.landing import (
     OTHER,
@@ -460,9 +468,9 @@ def _silver_delta(spark: SparkSession, lake: Lakehouse, entity: str, buckets: in
     return _reported(LoadReport(silver.table, mode, written.get["rows"], seen.get["rows"]))
 
 
-def stored_silver(spark: SparkSession, lake: Lakehouse, entity: str) -> DataFrame:
-    """A Silver table, however it was built; a bound on the buckets lets Spark see its real size."""
-    rows = open_table(spark, lake.table("silver", entity))
+def stored(spark: SparkSession, table: str) -> DataFrame:
+    """A table, however it was built; a bound on the buckets lets Spark see its real size."""
+    rows = open_table(spark, table)
     return rows.where(F.col(BUCKET) >= 0).drop(BUCKET) if BUCKET in rows.columns else rows
 
 
@@ -484,10 +492,10 @@ def run_gold(
     """
 
     def silver(entity: str) -> DataFrame:
-        return without_stamp(stored_silver(spark, lake, entity))
+        return without_stamp(stored(spark, lake.table("silver", entity)))
 
     def gold(table: str) -> DataFrame:
-        return without_stamp(open_table(spark, lake.table("gold", table)))
+        return without_stamp(stored(spark, lake.table("gold", table)))
 
     if check_unique and name in FACTS:
         for link in FACTS[name].links:
@@ -514,6 +522,113 @@ def run_gold(
     )
 
 
+def run_gold_delta(
+    spark: SparkSession, lake: Lakehouse, name: str, method: str = "crc32", check_unique: bool = True
+) -> LoadReport:
+    """A fact made anew only in the buckets that changes reach; equal to what ``run_gold`` makes.
+
+    Silver must be built by ``run_silver_delta``; the fact has its buckets. A bucket is reached if
+    Silver changed it since the last run, or if one of its rows refers to a key that a linked
+    table has gained, lost or renumbered since. For that the fact keeps two things: a table
+    ``<fact>_links`` of the keys each bucket refers to, and the keys of the linked tables as they
+    were. Untouched buckets keep their files. The first run takes all buckets, as does one that
+    finds Silver built anew or its last changes no longer on record. Commits are those of
+    ``run_silver_delta``.
+    """
+    for attempt in range(ATTEMPTS):
+        try:
+            return _gold_delta(spark, lake, name, method, check_unique)
+        except Overtaken:
+            log.info("gold %s: another run came first, attempt %d", name, attempt + 1)
+    raise Overtaken(lake.table("gold", name))
+
+
+def _gold_delta(
+    spark: SparkSession, lake: Lakehouse, name: str, method: str, check_unique: bool
+) -> LoadReport:
+    spec = FACTS[name]
+    entity = spec.source
+    below = [
+        BucketStore(lake.table("silver", n), lake.home(spark, "silver", n)) for n in (entity, f"{entity}_versions")
+    ]
+    silver = current_state(spark, below)
+    if silver is None:
+        raise ValueError(f"{below[0].table} has no buckets; build it by run_silver_delta")
+    stores = [BucketStore(lake.table("gold", n), lake.home(spark, "gold", n)) for n in (name, f"{name}_links")]
+    fact, links = stores
+
+    def gold(table: str) -> DataFrame:
+        return without_stamp(stored(spark, lake.table("gold", table)))
+
+    if check_unique:
+        for link in spec.links:
+            if not _marked_unique(spark, lake.table("gold", link.dimension)):
+                require_unique(gold(link.dimension), link.natural, link.dimension)
+    keys = _linked_keys(spec, gold)
+    state = current_state(spark, stores)
+    changed = None
+    if state is not None and state.buckets == silver.buckets:
+        known_silver, _, known_keys = state.source.partition("|")
+        changed = touched_since(spark, below, state.until, known_silver)
+    if changed is not None:
+        schema = keys.schema
+        old = spark.read.schema(schema).parquet(f"{fact.root}/{known_keys}")
+        moved = materialize(keys.exceptAll(old).unionByName(old.exceptAll(keys)), f"{name}-changed-keys")
+        referring = open_table(spark, links.table).join(moved.select("dimension", "natural").distinct(), ["dimension", "natural"])
+        reached = [r[BUCKET] for r in referring.select(BUCKET).distinct().collect()]  # <= buckets
+        changed = sorted({*changed, *reached, *lost_buckets(spark, stores, state)})
+        if not changed:
+            return _reported(LoadReport(fact.table, None))
+    touched = list(range(silver.buckets)) if changed is None else changed
+    rows = without_stamp(open_table(spark, below[0].table)).where(F.col(BUCKET).isin(touched))
+    made = build_gold(name, lambda _: rows, gold, method)
+
+    def bucket_of(key: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(silver.buckets)).cast("int")
+
+    made, written = counted(stamp_load(made).withColumn(BUCKET, bucket_of(spec.natural)), f"rows of {fact.table}")
+    refers = F.array(
+        *(F.struct(F.lit(x.dimension).alias("dimension"), F.col(x.foreign).cast("string").alias("natural")) for x in spec.links)
+    )
+    referred = rows.select(F.explode(refers).alias("link"), BUCKET).select("link.*", BUCKET)
+    referred = referred.where(F.col("natural").isNotNull()).distinct()
+    snapshot = f"_keys-{uuid.uuid4().hex}"
+    keys.write.parquet(f"{fact.root}/{snapshot}")
+    commit_buckets(
+        spark,
+        stores,
+        [made, referred],
+        state if changed is not None else None,
+        touched,
+        BUCKET,
+        silver.buckets,
+        f"{latest_generation(silver, below[0])}|{snapshot}",
+        silver.number,
+    )
+    for old_keys in folders.children(spark, fact.root):
+        if old_keys.startswith("_keys-") and state and old_keys == state.source.partition("|")[2]:
+            folders.remove(spark, f"{fact.root}/{old_keys}")
+    return _reported(
+        LoadReport(fact.table, FULL if changed is None else INCREMENTAL, written.get["rows"], rows.count())
+    )
+
+
+def _linked_keys(spec: FactSpec, gold: Callable[[str], DataFrame]) -> DataFrame:
+    """dimension, natural, surrogate of all that a fact may refer to."""
+    parts = [
+        gold(link.dimension).select(
+            F.lit(link.dimension).alias("dimension"),
+            F.col(link.natural).cast("string").alias("natural"),
+            F.col(link.surrogate).cast("long").alias("surrogate"),
+        )
+        for link in spec.links
+    ]
+    keys = parts[0]
+    for part in parts[1:]:
+        keys = keys.unionByName(part)
+    return materialize(keys.where(F.col("natural").isNotNull()), f"{spec.name}-keys")
+
+
 def _marked_unique(spark: SparkSession, table: str) -> bool:
     """Checked when it was written, and of the same folder and number of rows since."""
     mark = table_property(spark, table, UNIQUE)
@@ -558,7 +673,7 @@ def run_all(
     reports = [loaded[order.index(e)] for e in entities]
     size(spark.read.table(lake.table("bronze", e)) for e in entities)
     reports += in_parallel(lambda e: run_silver(spark, lake, e), entities, concurrent_loads)
-    size(stored_silver(spark, lake, e) for e in entities)
+    size(stored(spark, lake.table("silver", e)) for e in entities)
     reports += in_parallel(
         lambda dim: run_gold(spark, lake, dim, method), DIMENSIONS, concurrent_loads
     )

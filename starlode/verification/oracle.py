@@ -418,5 +418,13 @@ ORACLE: dict[str, str] = {
     "silver_incremental": silver_sql("users"),
     **DIMS,
     "fact_applied": APPLIED,
+    "fact_incremental": APPLIED,
+    "surrogate_key_map": f"""
+        WITH k AS (
+          SELECT DISTINCT cast(l_orderkey * 10 + l_linenumber AS varchar) AS line, l_linenumber <= 3 AS late FROM lineitem),
+        c AS (SELECT line, late, {crc("line")} AS base FROM k)
+        SELECT cast(line AS bigint) AS line_id,
+               base + 4294967296 * (row_number() OVER (PARTITION BY base ORDER BY late, line) - 1) AS surrogate
+        FROM c""",
     "fact_results": RESULTS,
 }

@@ -46,8 +46,19 @@ from starlode.operators import (
     without_stamp,
     write_table,
 )
+from starlode.operators.keymap import register_keys, with_registered_key
 from starlode.operators.load import FULL, INCREMENTAL, high_watermark
-from starlode.plans import DIMENSIONS, FACTS, SILVER, Lakehouse, build_gold, run_bronze
+from starlode.plans import (
+    DIMENSIONS,
+    FACTS,
+    SILVER,
+    Lakehouse,
+    build_gold,
+    run_bronze,
+    run_gold,
+    run_gold_delta,
+    run_silver,
+)
 from starlode.plans.jobs import BUCKET, in_parallel, run_silver_delta
 from starlode.plans.star_schema import linked_tables
 from starlode.sources import (
@@ -610,6 +621,23 @@ def surrogate_collisions(spark, sf_dir):
     return key_collisions(lines, "line_id")
 
 
+@query
+def surrogate_key_map(spark, sf_dir):
+    """Order lines registered in two batches; no two of them share a key."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"), "l_linenumber"
+    )
+    registry = fresh_name("keys")
+    root = shared_path(spark, "keys")
+    register_keys(spark, registry, root, lines.where("l_linenumber > 3"), "line_id")
+    register_keys(spark, registry, root, lines, "line_id")
+    keyed = with_registered_key(lines.select("line_id").distinct(), "line_id", scanned(spark, registry), "surrogate")
+    shared = keyed.groupBy("surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not shared.isEmpty():
+        raise AssertionError("a surrogate key is shared")
+    return keyed
+
+
 # --- Bronze tables ---------------------------------------------------------------------
 
 
@@ -867,6 +895,48 @@ def silver_incremental(spark, sf_dir):
     return as_wall_clock(made.drop(BUCKET))
 
 
+@query
+def fact_incremental(spark, sf_dir):
+    """The fact of applied checklists from two loads of evaluations and of what they link to."""
+    name = fresh_name("facts")
+    layers = ("bronze", "silver", "gold")
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS starlode_{layer}")
+    lake = Lakehouse(*(f"starlode_{x}" for x in layers), prefix=f"{name}_", location=shared_path(spark, "lake"))
+    source = {e: frames.bronze(spark, sf_dir, e) for e in ("evaluations", "checklists", "units", "users", "user_types")}
+    late = {  # what the second load brings
+        "evaluations": F.col("updatedAt") >= "2021",
+        "checklists": F.col("checklistId").cast("long") % 50 == 0,
+        "units": F.col("unitId").cast("long") % 2 == 0,
+    }
+    modes = []
+    for second in (False, True):
+        for entity, rows in source.items():
+            if second and entity not in late:
+                continue
+            if entity in late:
+                part = F.coalesce(late[entity], F.lit(False))
+                rows = rows.where(part if second else ~part)
+            landing = _land(spark, pages(rows, rows.columns), entity)
+            run_bronze(spark, lake, entity, landing, inclusive=True)
+            if entity == "evaluations":
+                run_silver_delta(spark, lake, entity, buckets=16)
+            else:
+                run_silver(spark, lake, entity)
+        for dim in ("dim_status", "dim_plataforma", "dim_checklists", "dim_unidades", "dim_usuario"):
+            run_gold(spark, lake, dim)
+        modes.append(run_gold_delta(spark, lake, "fato_checklists_aplicados").mode)
+    if modes != [FULL, INCREMENTAL]:
+        raise AssertionError(f"unexpected load modes {modes}")
+    made = spark.read.table(lake.table("gold", "fato_checklists_aplicados"))
+    made = materialize(without_stamp(made).drop(BUCKET), "facts")
+    for layer in layers:
+        for found in spark.catalog.listTables(f"starlode_{layer}"):
+            if found.name.startswith(name):
+                spark.sql(f"DROP TABLE starlode_{layer}.{found.name}")
+    return as_wall_clock(made)
+
+
 GOLD_KEYS = {
     "dim_status": "dim_status",
     "dim_plataforma": "dim_plataforma",

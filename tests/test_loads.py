@@ -14,7 +14,7 @@ from starlode.__main__ import main
 from starlode.operators import folders, without_stamp, write_table
 from starlode.operators.load import open_table, recover, table_location
 from starlode.operators.loads import Load, Overtaken, append_load, ledger, replace_loads
-from starlode.plans import Lakehouse, jobs, run_bronze, run_silver, run_silver_delta
+from starlode.plans import Lakehouse, jobs, run_bronze, run_gold, run_gold_delta, run_silver, run_silver_delta
 from starlode.sources import OTHER, all_fields, explode_records, page_gaps, page_of_envelope, page_of_file, read_envelopes
 from starlode.streaming import landing_stream, run_bronze_new_files
 from tests.landed import when, write_pages
@@ -367,6 +367,108 @@ def test_a_replaced_bronze_table_is_taken_whole(spark, made, tmp_path):
     assert delta(spark, made, 5).mode == "FULL" and names(spark, made, "silver") == [(2, "Z")]
 
 
+# --- facts by buckets ------------------------------------------------------------------
+
+
+FACT = "fato_checklists_aplicados"
+
+
+def evaluations(*rows):
+    return [{"evaluationId": i, "checklistId": c, "status": 6, "updatedAt": w} for i, c, w in rows]
+
+
+def facts(spark, made):
+    rows = open_table(spark, made.table("gold", FACT)).select("id_original_checklist_aplicado", "sk_checklist", "sk_status")
+    return sorted(map(tuple, rows.collect()))
+
+
+@pytest.fixture
+def star(spark, made, tmp_path):
+    """Evaluations 0 to 11 with checklists 0 to 3, of which 3 is not there yet."""
+
+    def build(number, **entities):
+        for entity, rows in entities.items():
+            write_pages(tmp_path / "landing" / entity, rows, first=100 * number)
+            run_bronze(spark, made, entity, str(tmp_path / "landing" / entity), file_per_envelope=True)
+            if entity == "evaluations":
+                run_silver_delta(spark, made, entity, 4)
+            else:
+                run_silver(spark, made, entity)
+        for dim in ("dim_status", "dim_plataforma", "dim_checklists", "dim_unidades", "dim_usuario"):
+            run_gold(spark, made, dim)
+        return run_gold_delta(spark, made, FACT)
+
+    checklists = [{"checklistId": i, "updatedAt": when(1)} for i in range(3)]
+    one = {"units": [{"unitId": 1, "updatedAt": when(1)}], "users": [{"userId": 1, "updatedAt": when(1)}]}
+    one["user_types"] = user_types((1, "t", when(1)))
+    report = build(1, checklists=checklists, **one, evaluations=evaluations(*((i, i % 4, when(1)) for i in range(12))))
+    assert (report.mode, report.rows) == ("FULL", 12)
+    return build
+
+
+def test_facts_follow_changes_by_bucket(spark, made, tmp_path, star):
+    files = lambda: set((tmp_path / "lake" / made.gold / FACT).glob("g-*/key_bucket=*/part-*"))
+
+    def same_as_full():
+        found = facts(spark, made)
+        full = Lakehouse(made.bronze, made.silver, f"{made.gold}_full", location=made.location)
+        full.create_databases(spark)
+        for dim in ("dim_status", "dim_plataforma", "dim_checklists", "dim_unidades", "dim_usuario", FACT):
+            run_gold(spark, full, dim)
+        assert found == facts(spark, full)
+        return found
+
+    assert run_gold_delta(spark, made, FACT).mode is None
+    before = files()
+    # one changed evaluation
+    report = star(2, evaluations=evaluations((5, 2, when(2))))
+    assert report.mode == "INCREMENTAL" and report.rows < 12
+    assert len(before & files()) == 3 and len(files()) == 4
+    changed = {i: c for i, c, _ in same_as_full()}
+    assert changed[5] == changed[2] and changed[3] is None
+    # a checklist that was missed appears: every bucket with a row that refers to it
+    report = star(3, checklists=[{"checklistId": 3, "updatedAt": when(2)}])
+    assert report.mode == "INCREMENTAL" and all(c is not None for _, c, _ in same_as_full())
+    # a lost bucket is made anew
+    shutil.rmtree(next(iter(files())).parent)
+    assert run_gold_delta(spark, made, FACT).mode == "INCREMENTAL" and len(facts(spark, made)) == 12
+    # Silver built anew is taken whole
+    run_silver(spark, made, "evaluations")
+    run_silver_delta(spark, made, "evaluations", 4)
+    assert run_gold_delta(spark, made, FACT).mode == "FULL" and len(same_as_full()) == 12
+
+
+def test_facts_need_buckets(spark, lake):
+    with pytest.raises(ValueError, match="run_silver_delta"):
+        run_gold_delta(spark, lake, FACT)
+    with pytest.raises(SystemExit):
+        main(["gold", "dim_status", "--delta"], spark)
+
+
+# --- registered keys -------------------------------------------------------------------
+
+
+def test_registered_keys_are_never_shared(spark, lake, tmp_path, monkeypatch):
+    from starlode.operators import keymap
+
+    # a poor hash, so that keys collide
+    monkeypatch.setattr(keymap, "surrogate_key", lambda key: F.pmod(F.length(key), F.lit(3)).cast("long"))
+    table, root = f"{lake.gold}.keys", str(tmp_path / "keys")
+    register = lambda *keys: keymap.register_keys(
+        spark, table, root, spark.createDataFrame([(k,) for k in keys], "k string"), "k"
+    )
+    assert (register("b", "a", None, "ccc", "a"), register("a"), register("d", "c", "a", "dddd")) == (3, 0, 3)
+    rows = spark.table(table).select("natural", keymap.registered_key()).collect()
+    span = 1 << 32
+    assert {tuple(r) for r in rows} == {
+        ("a", 1), ("b", 1 + span), ("ccc", 0), ("c", 1 + 2 * span), ("d", 1 + 3 * span), ("dddd", 1 + 4 * span),
+    }
+    df = spark.createDataFrame([("a",), (None,), ("unknown",)], "k string")
+    assert {tuple(r) for r in keymap.with_registered_key(df, "k", spark.table(table), "sk").collect()} == {
+        ("a", 1), (None, None), ("unknown", None),
+    }
+
+
 # --- pages -----------------------------------------------------------------------------
 
 
