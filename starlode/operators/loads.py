@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starlode.operators import folders
 from starlode.operators.load import (
@@ -30,7 +31,9 @@ from starlode.operators.load import (
 LOADS = "starlode.loads"
 #: Schema of the files a load has read.
 FILES = "path string, size long, modified timestamp"
-_FILES, _RECORD = "_files", "_load.json"
+#: Schema of the keys a load holds: a bitmap for every 32,768 numbers.
+KEYS = "bucket long, bits binary"
+_FILES, _KEYS, _RECORD = "_files", "_keys", "_load.json"
 
 
 class Overtaken(Exception):
@@ -50,13 +53,15 @@ def _number(name: str) -> int | None:
 class Ledger:
     """The committed loads of a table, and what the last of them noted.
 
-    ``watermarks`` by column and ``batches`` by stream are those of all loads so far.
+    ``watermarks`` by column and ``batches`` by stream are those of all loads so far; ``keyed``
+    tells that all of them noted their keys, and that these were whole numbers.
     """
 
     location: str
     numbers: tuple[int, ...] = ()
     watermarks: dict[str, str] = field(default_factory=dict)
     batches: dict[str, int] = field(default_factory=dict)
+    keyed: bool = True
 
     @property
     def generation(self) -> str:
@@ -79,6 +84,12 @@ class Ledger:
             return spark.createDataFrame([], FILES)
         return spark.read.schema(FILES).parquet(*(f"{self.folder(n)}/{_FILES}" for n in self.numbers))
 
+    def keys(self, spark: SparkSession) -> DataFrame | None:
+        """bucket, bits of the keys of all loads; None if not all of them are known."""
+        if not self.keyed or not self.numbers:
+            return None
+        return spark.read.schema(KEYS).parquet(*(f"{self.folder(n)}/{_KEYS}" for n in self.numbers))
+
     def rows(self, spark: SparkSession, table: str, ids: list[str]) -> DataFrame:
         """The rows of some loads; no other load is listed."""
         schema = spark.read.table(table).schema
@@ -97,7 +108,9 @@ def ledger(spark: SparkSession, table: str) -> Ledger | None:
     numbers = sorted(n for n in map(_number, folders.children(spark, location)) if n is not None)
     last = folders.read_record(spark, f"{location}/load-{numbers[-1]:08d}/{_RECORD}") if numbers else None
     last = last or {}
-    return Ledger(location, tuple(numbers), last.get("watermarks", {}), last.get("batches", {}))
+    return Ledger(
+        location, tuple(numbers), last.get("watermarks", {}), last.get("batches", {}), last.get("keyed", False)
+    )
 
 
 @dataclass
@@ -105,13 +118,38 @@ class Load:
     """Rows on their way into a table.
 
     ``files`` are those the rows came from; ``noted`` gives, once the rows are written, what the
-    record adds to that of the load before: ``watermarks`` and ``batches``.
+    record adds to that of the load before: ``watermarks`` and ``batches``. ``key`` names a column
+    whose values are noted, too.
     """
 
     rows: DataFrame
     files: DataFrame | None = None
     noted: Callable[[], dict[str, dict[str, Any]]] = dict
     bucket_by: tuple[int, str] | None = None
+    key: str | None = None
+
+
+def _note_keys(spark: SparkSession, load: Load, aside: str) -> bool:
+    """Write the bitmaps of a load's keys; False if there are none, or some are no whole numbers."""
+    if load.key is None:
+        return False
+    rows = spark.read.schema(load.rows.schema).format(file_format(spark)).load(aside)
+    value = F.col(load.key)
+    keys = rows.where(value.isNotNull()).select(value.try_cast("long").alias("key"))
+    keys, seen = counted(keys, f"keys of {aside}", odd=F.count_if(F.col("key").isNull()))
+    found = keys.where(F.col("key").isNotNull()).groupBy(F.bitmap_bucket_number("key").alias("bucket"))
+    found.agg(F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")).write.parquet(f"{aside}/{_KEYS}")
+    return not seen.get["odd"]
+
+
+def uncovered(parents: DataFrame, children: DataFrame) -> int:
+    """How many keys of ``parents`` are not among ``children``, both as bucket, bits."""
+    both = parents.withColumn("child", F.lit(False)).unionByName(children.withColumn("child", F.lit(True)))
+    per_bucket = both.groupBy("bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("all"),
+        F.bitmap_count(F.bitmap_or_agg(F.when(F.col("child"), F.col("bits")))).alias("covered"),
+    )
+    return per_bucket.agg(F.coalesce(F.sum(F.col("all") - F.col("covered")), F.lit(0)).alias("n")).first()["n"]
 
 
 def _stage(spark: SparkSession, load: Load, root: str, before: Ledger) -> tuple[str, int]:
@@ -133,6 +171,7 @@ def _stage(spark: SparkSession, load: Load, root: str, before: Ledger) -> tuple[
         "rows": n,
         "watermarks": before.watermarks | noted.get("watermarks", {}),
         "batches": before.batches | noted.get("batches", {}),
+        "keyed": _note_keys(spark, load, aside) and before.keyed,
     }
     folders.write_record(spark, f"{aside}/{_RECORD}", record)
     return aside, n

@@ -55,6 +55,7 @@ from starlode.operators.loads import (
     file_format,
     ledger,
     replace_loads,
+    uncovered,
 )
 from starlode.plans.entities import ENTITIES, SILVER
 from starlode.plans.lakehouse import Lakehouse, LoadReport
@@ -294,7 +295,7 @@ def load_envelopes(
         for column, high in noted()["watermarks"].items():
             set_table_properties(spark, table, {watermark_key(column): high})
     else:
-        load = Load(stamped, files, noted, bucket_by)
+        load = Load(stamped, files, noted, bucket_by, spec.parent or spec.key or None)
         if plan.incremental:
             written = append_load(spark, table, load, before)
         else:
@@ -349,7 +350,11 @@ def _childless(spark: SparkSession, lake: Lakehouse, spec: EntitySpec) -> int |
     parent = next(e for e in SILVER.values() if e.key == spec.parent)
     if not spark.catalog.tableExists(lake.table("bronze", parent.name)):
         return None
-    parents, children = (spark.read.table(lake.table("bronze", e.name)) for e in (parent, spec))
+    tables = [lake.table("bronze", e.name) for e in (parent, spec)]
+    noted = [found.keys(spark) if (found := ledger(spark, t)) else None for t in tables]
+    if all(keys is not None for keys in noted):
+        return uncovered(*noted)  # no row of either table is read
+    parents, children = (spark.read.table(t) for t in tables)
     return missing_parents(parents, children, spec.parent).count()
 
 

@@ -367,6 +367,32 @@ def test_a_replaced_bronze_table_is_taken_whole(spark, made, tmp_path):
     assert delta(spark, made, 5).mode == "FULL" and names(spark, made, "silver") == [(2, "Z")]
 
 
+# --- parents and children ----------------------------------------------------------------
+
+
+def test_missing_parents_by_bitmaps(spark, made, tmp_path, monkeypatch):
+    folder = tmp_path / "results"
+    folder.mkdir()
+
+    def results(*parents):
+        for p in parents:
+            page = {"evaluationId": p, "data": [{"resultId": f"{p}1"}, {"resultId": f"{p}2"}], "meta": {}}
+            (folder / f"{p}.json").write_text(json.dumps(page))
+        return run_bronze(spark, made, "evaluations_results", str(folder), inclusive=True).missing_parents
+
+    write_pages(tmp_path / "e", [{"evaluationId": i, "updatedAt": when(1)} for i in (1, 2, 70_000, 5_000_000_000, -3, 1)])
+    assert run_bronze(spark, made, "evaluations", str(tmp_path / "e"), file_per_envelope=True).missing_parents is None
+    monkeypatch.setattr(jobs, "missing_parents", None)  # the rows of neither table are compared
+    assert results(1, 99) == 4
+    assert results(70_000, -3) == 2
+    write_pages(tmp_path / "e", [{"evaluationId": 8, "updatedAt": when(2)}], first=50)
+    run_bronze(spark, made, "evaluations", str(tmp_path / "e"), file_per_envelope=True)
+    assert results(2, 8) == 1
+    # keys that are no whole numbers are compared as they are
+    monkeypatch.undo()
+    assert results("x") == 1
+
+
 # --- facts by buckets ------------------------------------------------------------------
 
 
