@@ -105,7 +105,8 @@ def contamination(
     ``item_ids`` is sorted as strings. Null and empty texts have no words and no hits; items
     without words have no windows, and a null item id counts as no item. Rows that repeat id
     and text give one row, rows with one id and several texts one row each, told apart by
-    ``digest`` (the hash of the text). Null ids are kept. Other columns are not read.
+    ``digest`` (the hash of the text). Null ids are kept. Very long texts are compared whole; an
+    empty table of documents gives no rows, one of items no hits. Other columns are not read.
     """
     spark = docs.sparkSession
     windows = materialize(item_windows(items, width, item_id_col, item_text_col), "windows")
@@ -188,7 +189,10 @@ def is_contaminated() -> Column:
 def without_contaminated(
     docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose text is not contaminated, repeated rows included."""
+    """The rows of ``docs`` whose text is not contaminated, repeated rows included.
+
+    Null and empty texts are clean; rows with null ids are judged by their text like others.
+    """
     bad = contamination(docs, items, width, id_col, text_col).where(is_contaminated())
     bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("digest").alias("_bad_digest"))
     same = F.col(id_col).eqNullSafe(F.col("_bad_id")) & (

@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     ``und`` with score 0 is the answer to null texts, texts without a letter and an empty
     model. Ties go to the language that comes first. The score is the share of the text's
-    n-grams that the language contains.
+    n-grams that the language contains, of very long texts as well; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.false_rate))
     text = F.coalesce(F.col(text_col), F.lit(""))

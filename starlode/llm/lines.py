@@ -334,7 +334,8 @@ def line_dedup(
     lines linked by a Jaccard similarity of ``similarity`` or more of their sets of ``shingle``
     characters (a shorter line is one shingle). Its line in the document with the smallest id
     stays, there the first; equal ids are told apart by the text's hash, null ids come last.
-    Rows equal in id and text are one document and keep the same lines. Null texts stay null.
+    Rows equal in id and text are one document and keep the same lines. Null texts stay null,
+    empty ones empty; very long lines are compared whole, and an empty table stays empty.
     All columns of ``docs`` are returned; the names of the counts must be free.
     """
     spark = docs.sparkSession

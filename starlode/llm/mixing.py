@@ -84,7 +84,8 @@ def mix(
     ``quality`` maps ``doc_id`` to a positive ``weight`` (absent: 1). Null sources form one
     source, ordered last; a row with a null id draws by its place in the table, so reruns over the
     same files agree; rows with equal keys are ordered by id and size, and equal rows share what is
-    left between them in either order, so reruns agree in content. An empty table gives an empty mix; documents of size zero are taken zero times.
+    left between them in either order, so reruns agree in content. An empty table gives an empty mix; documents of size zero are taken zero times; of a
+    very long text only the size counts.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),

@@ -75,7 +75,7 @@ def quality(
     A null or empty text has no words and fails. Repeated rows are judged one by one, extra
     columns are left alone, and ``out`` may not be a column already. The three-word windows
     of a text are sorted by hash, and neighbours with one hash are compared word by word, so
-    that counts are exact and a very long text costs n log n.
+    that counts are exact and a very long text costs n log n. An empty table stays empty.
     """
     if out in docs.columns:
         raise ValueError(f"{out} is a column already")

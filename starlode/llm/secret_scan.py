@@ -170,7 +170,8 @@ def scan(
 
     A span is (start, rank of its rule, end, kind) in code points, the end exclusive. Null and
     empty texts have no spans. Null ids and repeated rows are kept: rows are matched with the
-    index by id and text. Only the two named columns are read.
+    index by id and text. Very long texts are scanned whole; an empty table gives no rows. Only
+    the two named columns are read.
     """
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if q}

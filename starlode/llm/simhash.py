@@ -280,7 +280,8 @@ def near_documents(
     empty texts have fingerprint 0 and are linked like any other. Null ids stand after all
     others: a component of null ids alone has a null id. ``is_kept`` holds for the rows with
     the smallest id, and of those for the ones with the least ``digest`` (the text's hash), so
-    only rows equal in id and text can share it. Only the two named columns are read.
+    only rows equal in id and text can share it. Long texts are hashed whole; an empty table
+    gives no rows. Only the two named columns are read.
     """
     signed = materialize(with_fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
@@ -312,7 +313,12 @@ def hex_fingerprint(fingerprint: Column) -> Column:
 def one_per_group(
     docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group, all columns as they are."""
+    """``docs`` with one row of each near-duplicate group, all columns as they are.
+
+    It is the row with the smallest id (null ids come last), of those the one whose text has the
+    least hash; of rows equal in id and text any one stays. Null and empty texts are a group, and
+    so may long texts be; an empty table stays empty. Extra columns may have any names.
+    """
     kept = near_documents(docs, shingle, radius, id_col, text_col).where("is_kept")
     kept = kept.groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
     kept = materialize(kept.withColumnsRenamed({"doc_id": "_kept_id", "digest": "_kept_digest"}), "kept")

@@ -68,7 +68,8 @@ def substring_dedup(
     a smaller id; windows are judged on the input. ``kept`` joins the words left by blanks.
     Null texts have no words; texts shorter than a window keep all. Null ids come after all
     others and equal ids are one document, so neither loses words to its like; repeated rows
-    each give a row. Only the two named columns are read.
+    each give a row. Very long texts are cut into the same windows as others; an empty table
+    gives no rows. Only the two named columns are read.
     """
     shipment = ship(docs, window, gram, True, F.col(id_col), F.col(text_col))
     return repeated(shipment, sorted_windows, _kept_words, SCHEMA)

@@ -186,7 +186,8 @@ def suffix_dedup(
     smaller id; strings are judged on the input and may overlap. ``kept`` holds the bytes
     left, which need not be valid UTF-8. Null texts are empty, texts shorter than ``length``
     stay whole. Null ids come after all others and equal ids are one document, so neither loses
-    bytes to its like; repeated rows each give a row. Only the two named columns are read.
+    bytes to its like; repeated rows each give a row. Very long texts are treated like others,
+    whole; an empty table gives no rows. Only the two named columns are read.
     """
     shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2)
     return repeated(shipment, least_documents, _kept_bytes, SCHEMA)
@@ -236,6 +237,7 @@ def maximal_repeats(
 
     (bucket, repeat) names a repeat of ``length`` bytes, ``start`` is its first byte in the
     document. Repeats within one document are listed if another document shares part of them.
+    Null texts have no repeats, null ids stay null, and an empty table gives no rows.
     Periodic text has nested repeats: one of n bytes has about n of them, with n ** 2 places.
     """
     shipment = ship(docs, length, gram, False, F.col(id_col), F.col(text_col), buckets_per_chunk=2, places=True)

@@ -217,7 +217,8 @@ def archive(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
     One row per row of ``pages``. Null html is an empty payload; null ids are written without
     an id and never hold a payload for others; rows that repeat the largest id of a group are
-    all responses. An empty table writes nothing. Other columns are not read.
+    all responses. A very long page is one record like any other, compressed and read as a whole.
+    An empty table writes nothing. Other columns are not read.
     """
     spark = pages.sparkSession
     folder = shared_path(spark, "warc")

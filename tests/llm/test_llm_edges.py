@@ -383,6 +383,8 @@ def test_archives_of_odd_pages(spark):
         (6, "http://f", "small", 7),
         (7, "http://g", other, 8),
         (None, "http://h", "WARC/1.1\r\n\r\n" * 500, 9),
+        (8, "http://i", "<p>a very long page é</p>" * 100_000, 10),
+        (9, "http://j", "<p>a very long page é</p>" * 100_000, 11),
     ]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, payload int")
     got = sorted((r.page_id or 0, r.payload_bytes, r.record_type, r.refers_to) for r in archive(pages).collect())
@@ -398,6 +400,8 @@ def test_archives_of_odd_pages(spark):
         (5, 5, "response", None),
         (6, 5, "response", None),
         (7, len(other), "response", None),
+        (8, 2_600_000, "revisit", 9),
+        (9, 2_600_000, "response", None),
     ]
     assert archive(pages.limit(0)).count() == 0
 
