@@ -1,8 +1,10 @@
 """From raw documents to a mixed training corpus, one Spark job after another.
 
 Each stage takes the documents its predecessor kept. All but the last return the columns of
-``documents``, whatever else a table carries along; the last returns what the mix takes of each
-document. Empty tables pass through, and rows with null texts end at the quality rules.
+``documents``, whatever else a table carries along and however it is called; the last returns what
+the mix takes of each document. Empty tables pass through, and rows with null texts end at the
+quality rules. Repeated rows count as one document where lines are compared, and one of them stays
+in a near-duplicate group; between equal ids the text's hash decides, so reruns agree.
 """
 
 from __future__ import annotations
