@@ -2,7 +2,7 @@
 
 Equal windows of 50 bytes meet in a bucket (see :mod:`starlode.llm.superkmers`). There the
 suffixes of the strings are sorted by prefix doubling, common prefixes of neighbours give the
-enhanced suffix array, and a stack scan walks its tree of common-prefix intervals. An interval
+enhanced suffix array, and its tree of common-prefix intervals follows. An interval
 whose suffixes differ in the byte before them is a maximal repeat and is put out with all its
 occurrences; one that could be extended to the left as a whole is left out, as a longer repeat
 covers it. A repeat is maximal within the strings of its bucket; longer ones between documents
@@ -23,6 +23,7 @@ from starlode.llm.superkmers import NO_ID, Bucket, Chunk, counter, each, per_doc
 LENGTH = 50
 GRAM = 24
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+_STEPS = 200  # steps that all values go at once
 _STEP = 7  # bytes of a sort key; its last byte holds how many are real
 
 
@@ -31,8 +32,10 @@ def _keys(data: np.ndarray, ends: np.ndarray, at: np.ndarray) -> np.ndarray:
     padded = np.r_[data, np.zeros(_STEP, np.uint8)]
     real = np.minimum(ends - at, _STEP)
     key = np.zeros(len(at), np.uint64)
+    everywhere = len(at) == len(data)  # then ``at`` counts on from 0
     for i in range(_STEP):
-        byte = padded[np.minimum(at + i, len(data))].astype(np.uint64)
+        byte = padded[i : i + len(at)] if everywhere else padded[np.minimum(at + i, len(data))]
+        byte = byte.astype(np.uint64)
         byte[real <= i] = 0
         key = (key << np.uint64(8)) | byte
     return (key << np.uint64(8)) | real.astype(np.uint64)
@@ -94,30 +97,51 @@ def common_prefixes(
     return out
 
 
+def _nearest(values: np.ndarray, equal: bool) -> np.ndarray:
+    """For each value the place of the nearest before it that is less (or ``equal``), else -1.
+
+    All values look at once. One that looks at a greater value goes on to where that one looks, as
+    all between are greater still. Few steps are enough unless intervals are nested deep, as in
+    periodic text; what is open then is left to a scan with a stack, which is linear.
+    """
+    padded = np.r_[-1, values]
+    at = np.arange(len(values) + 1, dtype=np.int32) - 1
+    at[0] = 0
+    open_ = np.arange(1, len(padded), dtype=np.int32)
+    for _ in range(_STEPS):
+        seen, own = padded[at[open_]], padded[open_]
+        open_ = open_[seen > own if equal else seen >= own]
+        if not len(open_):
+            return at[1:] - 1
+        at[open_] = at[at[open_]]
+    found, stack, plain = [], [0], padded.tolist()
+    for i, own in enumerate(plain[1:], 1):
+        while plain[stack[-1]] > own or (not equal and plain[stack[-1]] == own):
+            stack.pop()
+        found.append(stack[-1] - 1)
+        stack.append(i)
+    return np.array(found, np.int32)
+
+
 def intervals(lcp: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Rows (length, first slot, last slot, left-diverse, outermost) of the interval tree.
 
+    A slot's interval reaches to the nearest smaller prefixes on both sides; the first slot of
+    equal ones stands for it.
     ``left`` is the byte before a suffix, or -1 at the start of a string, which differs from all.
     """
-    out: list[tuple[int, int, int, bool, bool]] = []
-    (inner,) = np.nonzero(lcp)
-    for run in np.split(inner, np.flatnonzero(np.diff(inner) > 1) + 1) if len(inner) else ():
-        a, b = int(run[0]) - 1, int(run[-1])
-        depths, lefts = lcp[a : b + 1].tolist() + [0], left[a : b + 1].tolist()
-        stack: list[list[int]] = []
-        for j in range(1, len(depths)):
-            start, mark, depth = j - 1, lefts[j - 1], depths[j]
-            while stack and stack[-1][0] > depth:
-                length, start, own = stack.pop()
-                mark = own if own == mark else -1
-                out.append((length, a + start, a + j - 1, mark == -1, not stack and not depth))
-            if depth:
-                if stack and stack[-1][0] == depth:
-                    if stack[-1][2] != mark:
-                        stack[-1][2] = -1
-                else:
-                    stack.append([depth, start, mark])
-    return np.array(out, np.int64).reshape(-1, 5)
+    if not lcp.any():
+        return np.zeros((0, 5), np.int64)
+    # prefixes of length 0 part the tree into runs, and nothing of them is in it
+    before = _nearest(lcp, True)
+    chosen = np.flatnonzero((lcp > 0) & (before >= 0) & (lcp[before] < lcp))
+    after = len(lcp) - 1 - _nearest(lcp[::-1], False)[::-1]
+    first, behind = before[chosen].astype(np.int64), after[chosen].astype(np.int64)
+    # a run of equal bytes has no change in it, and no start of a string
+    change = np.r_[0, np.cumsum((left[1:] != left[:-1]) | (left[1:] == -1))]
+    diverse = (change[behind - 1] > change[first]) | (left[first] == -1)
+    outermost = (lcp[first] == 0) & (np.r_[lcp, 0][behind] == 0)
+    return np.column_stack([lcp[chosen], first, behind - 1, diverse, outermost]).astype(np.int64)
 
 
 class Repeats:

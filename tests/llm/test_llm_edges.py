@@ -222,6 +222,20 @@ def test_suffix_array_against_sorting():
         assert found == want
 
 
+@pytest.mark.parametrize("steps", [1, 3, 200])
+def test_nearest_smaller_values(steps, monkeypatch):
+    from starlode.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "_STEPS", steps)
+    rng = np.random.default_rng(steps)
+    for n in (1, 2, 40, 300):
+        values = rng.integers(0, 6, n)
+        for v in (values, np.sort(values), np.sort(values)[::-1], np.r_[np.arange(1, n), 0]):
+            for equal in (True, False):
+                want = [max((k for k in range(i) if v[k] < x or (equal and v[k] == x)), default=-1) for i, x in enumerate(v)]
+                assert suffixes._nearest(v, equal).tolist() == want
+
+
 def test_quality_counts_windows_exactly(spark):
     text = "a b c d a b c x a b c\n\na b\na b\n #|"
     row = quality(spark.createDataFrame([(text,)], "text string")).first().quality
