@@ -295,7 +295,7 @@ def load_envelopes(
         for column, high in noted()["watermarks"].items():
             set_table_properties(spark, table, {watermark_key(column): high})
     else:
-        load = Load(stamped, files, noted, bucket_by, spec.parent or spec.key or None)
+        load = Load(stamped, files, noted, bucket_by, (spec.parent or spec.key) if spec.types else None)
         if plan.incremental:
             written = append_load(spark, table, load, before)
         else:
