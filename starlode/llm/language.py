@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from starlode.llm.simhash import pieces
 from starlode.llm.units import gram_hash, mixed, prefix_hash, text_bytes
+from starlode.sources import materialize
 
 SIZES = (3, 5)
 SHARE = 2e-5
@@ -115,7 +116,8 @@ def fit(
     """
     usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     usable = usable.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    totals = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_rows"))
+    # written, the counts are as small as they are, and no text is shuffled to meet them
+    totals = materialize(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_rows")), "languages")
     share_of_rows = (F.lit(float(sample_docs)) / F.col("_rows") * (1 << 30)).cast("long")
     usable = usable.join(totals, F.col("lang") == F.col("_lang"))
     usable = usable.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share_of_rows)
