@@ -216,7 +216,11 @@ def bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return spark.sql(f"SELECT {select} FROM {{df}}", df=df).select(*SILVER[entity].types)
 
 
-def pages(records: DataFrame, columns: Sequence[str], page_rows: int = 100) -> DataFrame:
+#: Records per page, as the interface gives them.
+PAGE_ROWS = 100
+
+
+def pages(records: DataFrame, columns: Sequence[str], page_rows: int = PAGE_ROWS) -> DataFrame:
     """Envelopes of at most ``page_rows`` records and an empty last one.
 
     Pages are cut from runs of rows inside a partition, so their size is bounded

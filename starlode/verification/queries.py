@@ -59,6 +59,7 @@ from starlode.plans import (
     run_gold_delta,
     run_silver,
 )
+from starlode.plans.entities import ENTITIES
 from starlode.plans.jobs import BUCKET, in_parallel, run_silver_delta
 from starlode.plans.star_schema import linked_tables
 from starlode.sources import (
@@ -641,9 +642,19 @@ def surrogate_key_map(spark, sf_dir):
 # --- Bronze tables ---------------------------------------------------------------------
 
 
+#: Records per landed file. Compressed files are read whole by one task each.
+FILE_RECORDS = 200_000
+
+
+def _write_pages(envelopes, path, page_rows=frames.PAGE_ROWS, mode="error"):
+    """Land envelopes of up to ``page_rows`` records as compressed text, in files of bounded size."""
+    writer = envelopes.select(text_of(envelopes.columns)).write.mode(mode)
+    writer.option("maxRecordsPerFile", FILE_RECORDS // page_rows).text(path, compression="gzip")
+
+
 def _land(spark, envelopes, name):
     path = shared_path(spark, name)
-    envelopes.select(text_of(envelopes.columns)).write.text(path)
+    _write_pages(envelopes, path, 1 if ENTITIES[name].parent else frames.PAGE_ROWS)
     return path
 
 
@@ -744,7 +755,7 @@ def bronze_manifest(spark, sf_dir):
     landing, reports = shared_path(spark, "users"), []
     for part in (~second, second & even, second & ~even):
         envelopes = pages(users.filter(part), users.columns)
-        envelopes.select(text_of(envelopes.columns)).write.mode("append").text(landing)
+        _write_pages(envelopes, landing, mode="append")
         reports.append(run_bronze(spark, lake, "users", landing))
     reports.append(run_bronze(spark, lake, "users", landing))
     if [r.mode for r in reports] != [FULL, INCREMENTAL, INCREMENTAL, None]:
