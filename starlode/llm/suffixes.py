@@ -6,7 +6,8 @@ enhanced suffix array, and its tree of common-prefix intervals follows. An inter
 whose suffixes differ in the byte before them is a maximal repeat and is put out with all its
 occurrences; one that could be extended to the left as a whole is left out, as a longer repeat
 covers it. A repeat is maximal within the strings of its bucket; longer ones between documents
-appear as repeats that overlap by 49 bytes. What to remove follows from the roots of the tree.
+appear as repeats that overlap by 49 bytes. What to remove follows from the roots of the tree,
+for which an array of the suffixes of 50 bytes or more, sorted by these bytes, is enough.
 """
 
 from __future__ import annotations
@@ -164,22 +165,52 @@ class Repeats:
         return length, sizes, self.order[np.repeat(first, sizes) + counter(sizes)]
 
 
+def sorted_windows(data: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes at ``starts``, of ``k`` bytes or more, in the order of their first ``k`` bytes.
+
+    Returns numbers into ``starts``, and where one does not share ``k`` bytes with the one before.
+    Every pass sorts what is still tied by its group and the next bytes, together in one number.
+    """
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    words = np.ndarray(len(data) + 1, ">u8", padded, strides=(1,))  # eight bytes from each place on
+    n = len(starts)
+    order, new, slots = np.arange(n), np.arange(n) == 0, np.arange(n)
+    group, n_groups, depth = np.zeros(n, np.uint64), 1, 0
+    while depth < k and len(slots):
+        step = min((64 - (n_groups - 1).bit_length()) // 8, k - depth)
+        own = order[slots]
+        key = words[starts[own] + depth].astype(np.uint64) >> np.uint64(64 - 8 * step)
+        if n_groups > 1:
+            key |= group << np.uint64(8 * step)
+        by = np.argsort(key)
+        order[slots], key = own[by], key[by]
+        heads = np.r_[True, key[1:] != key[:-1]]
+        new[slots] |= heads
+        tied = ~(heads & np.r_[heads[1:], True])
+        slots, heads = slots[tied], heads[tied]
+        n_groups = int(np.count_nonzero(heads))
+        group = (np.cumsum(heads) - 1).astype(np.uint64)
+        depth += step
+    return order, new
+
+
 def least_documents(b: Bucket, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The least document of every window.
 
     A window's occurrences are the members of the outermost interval of ``k`` bytes or more its
-    suffix lies in; inner intervals, longer repeats, have a part of them. A window in no
-    interval stands in one string only.
+    suffix lies in; inner intervals, longer repeats, have a part of them. So the suffix array needs
+    neither suffixes under ``k`` bytes nor any order beyond ``k``, and the outermost intervals are
+    its runs of ``k`` equal bytes. A window alone in its run stands in one string only.
     """
-    r, of_string = Repeats(b, k), b.first_doc()
+    of_string = b.first_doc()
     n = np.diff(b.offsets) - k + 1
     first = np.r_[0, np.cumsum(n)]
+    order, new = sorted_windows(b.data, np.repeat(b.offsets[:-1], n) + counter(n), k)
     least = np.repeat(of_string, n)
-    _, sizes, at = r.members(r.tree[:, 4] == 1)
-    if len(sizes):
-        owner = r.owner[at]
-        of_repeat = np.minimum.reduceat(of_string[owner], np.cumsum(sizes) - sizes)
-        least[first[owner] + at - b.offsets[owner]] = np.repeat(of_repeat, sizes)
+    heads, owned = np.flatnonzero(new), least[order]
+    if len(heads):
+        sizes = np.diff(np.r_[heads, len(order)])
+        least[order] = np.repeat(np.minimum.reduceat(owned, heads), sizes)
     return first, least
 
 
