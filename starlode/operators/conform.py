@@ -7,8 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starlode.operators.dedup import any_by_key, latest_by_key, typed_version
+from starlode.operators.dedup import any_by_key, latest_by_key, latest_text_by_key, typed_version
 
 KEEP = ("latest", "any", "all")
 
@@ -54,6 +55,14 @@ def cleaned(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.select(*[spec.rules.get(c, F.col)(c).alias(c) for c in df.columns])
 
 
+def newest_rows(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The newest Bronze row of every key, in the declared columns and still as text."""
+    rows = bronze.select(*spec.types)
+    version = typed_version(spec.version, spec.types[spec.version]) if spec.version else None
+    text = all(f.dataType == T.StringType() for f in rows.schema.fields)
+    return (latest_text_by_key if text else latest_by_key)(rows, spec.key, version)
+
+
 def conform(bronze: DataFrame, spec: EntitySpec, keep: str | None = None) -> DataFrame:
     """Bronze -> Silver without audit column: one shuffle, on the key.
 
@@ -65,8 +74,7 @@ def conform(bronze: DataFrame, spec: EntitySpec, keep: str | None = None) -> Dat
         raise ValueError(f"keep must be one of {KEEP}, not {keep!r}")
     rows = bronze.select(*spec.types)
     if keep == "latest":
-        version = typed_version(spec.version, spec.types[spec.version]) if spec.version else None
-        rows = latest_by_key(rows, spec.key, version)
+        rows = newest_rows(rows, spec)
     elif keep == "any":
         rows = any_by_key(rows, spec.key)
     return cleaned(typed(rows, spec), spec)

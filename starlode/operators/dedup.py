@@ -43,6 +43,42 @@ def _ordered(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
+def latest_text_by_key(df: DataFrame, key: str, version: Column | None = None) -> DataFrame:
+    """What :func:`latest_by_key` keeps of a frame of text columns, by narrower rows.
+
+    Below the exchange all columns but the key travel as one text that sorts as they do from left
+    to right, nulls last when descending. A row of two dozen short texts is a third as wide so, and
+    is sorted twice. Columns must be well-formed UTF-8.
+    """
+    payload = [c for c in df.columns if c != key]
+    if not payload:
+        return latest_by_key(df, key)
+    first = [] if version is None else [version.alias("_version")]
+    packed = F.concat(*[_packed(c) for c in payload]).alias("_packed")
+    newest = latest_by_key(df.select(key, *first, packed), key)
+    parts = newest.select(key, _unpacked(F.col("_packed")).alias("_parts"))
+    position = {c: i for i, c in enumerate(payload)}
+    return parts.select(*[c if c == key else F.col("_parts")[position[c]].alias(c) for c in df.columns])
+
+
+def _packed(column: str) -> Column:
+    """A mark unless null, the text, and an end that is smaller than any character in between."""
+    text = F.replace(F.col(column), F.lit("\x01"), F.lit("\x01\x02"))
+    text = F.replace(text, F.lit("\x00"), F.lit("\x01\x01"))
+    return F.concat(F.coalesce(F.concat(F.lit("\x01"), text), F.lit("")), F.lit("\x00"))
+
+
+def _unpacked(packed: Column) -> Column:
+    """The columns as an array; by one expression for all, which keeps the generated code short."""
+    parts = F.transform(F.split(packed, "\\x00"), lambda part: F.when(part != "", F.substr(part, F.lit(2))))
+    masked = F.contains(packed, F.lit("\x01\x01")) | F.contains(packed, F.lit("\x01\x02"))
+    return F.when(masked, F.transform(parts, _unmasked)).otherwise(parts)
+
+
+def _unmasked(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\x01\x01"), F.lit("\x00")), F.lit("\x01\x02"), F.lit("\x01"))
+
+
 def any_by_key(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """One row per key; which one is up to the physical plan."""
     return df.dropDuplicates([keys] if isinstance(keys, str) else list(keys))

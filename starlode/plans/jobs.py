@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlode.functions.clock import STAMP
-from starlode.operators.conform import EntitySpec, conform
-from starlode.operators.dedup import latest_by_key, typed_version
+from starlode.operators.conform import EntitySpec, conform, newest_rows
 from starlode.operators.guards import key_faults, require_unique
 from starlode.operators import folders
 from starlode.operators.buckets import (
@@ -460,8 +459,7 @@ def _silver_delta(spark: SparkSession, lake: Lakehouse, entity: str, buckets: in
         if lost:
             log.warning("%s: %d buckets are lost and made anew", silver.table, len(lost))
             rows = rows.unionByName(bronze.select(*spec.types, bucket).where(F.col(BUCKET).isin(lost)))
-    version = typed_version(spec.version, spec.types[spec.version]) if spec.version else None
-    newest = latest_by_key(rows.select(*spec.types), spec.key, version)
+    newest = newest_rows(rows, spec)
     newest = materialize(newest.select("*", bucket), f"{entity}-versions")
     made = stamp_load(conform(newest.select(*spec.types), spec, "all"))
     made = made.withColumn(BUCKET, bucket_of(F.col(spec.key)))
