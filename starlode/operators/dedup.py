@@ -47,7 +47,7 @@ def latest_text_by_key(df: DataFrame, key: str, version: Column | None = None) -
     """What :func:`latest_by_key` keeps of a frame of text columns, by narrower rows.
 
     Below the exchange all columns but the key travel as one text that sorts as they do from left
-    to right, nulls last when descending. A row of two dozen short texts is a third as wide so, and
+    to right, nulls last when descending. A row of two dozen short texts is less than half as wide so, and
     is sorted twice. Columns must be well-formed UTF-8.
     """
     payload = [c for c in df.columns if c != key]
