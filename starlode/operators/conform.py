@@ -41,13 +41,14 @@ class EntitySpec:
     keep: str = "latest"
 
 
-def typed(df: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The declared columns in their declared types."""
+def typed(df: DataFrame, spec: EntitySpec, row_key: str | None = None) -> DataFrame:
+    """The declared columns in their declared types, and ``row_key`` as it is."""
     return df.select(
         *[
             (F.col(c).try_cast(t) if c in spec.tolerant else F.col(c).cast(t)).alias(c)
             for c, t in spec.types.items()
-        ]
+        ],
+        *([row_key] if row_key else []),
     )
 
 
@@ -55,29 +56,39 @@ def cleaned(df: DataFrame, spec: EntitySpec) -> DataFrame:
     return df.select(*[spec.rules.get(c, F.col)(c).alias(c) for c in df.columns])
 
 
-def newest_rows(bronze: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The newest Bronze row of every key, in the declared columns and still as text."""
+def newest_rows(bronze: DataFrame, spec: EntitySpec, row_key: str | None = None) -> DataFrame:
+    """The newest Bronze row of every key, in the declared columns and still as text.
+
+    ``row_key`` is that of :func:`latest_text_by_key`.
+    """
     rows = bronze.select(*spec.types)
     version = typed_version(spec.version, spec.types[spec.version]) if spec.version else None
     text = all(f.dataType == T.StringType() for f in rows.schema.fields)
+    if row_key is not None:
+        return latest_text_by_key(rows, spec.key, version, row_key)
     return (latest_text_by_key if text else latest_by_key)(rows, spec.key, version)
 
 
-def conform(bronze: DataFrame, spec: EntitySpec, keep: str | None = None) -> DataFrame:
+def conform(
+    bronze: DataFrame, spec: EntitySpec, keep: str | None = None, row_key: str | None = None
+) -> DataFrame:
     """Bronze -> Silver without audit column: one shuffle, on the key.
 
     Duplicates go first, while everything is text, so only survivors are cast.
-    ``keep`` is ``latest``, ``any`` or ``all``; the default is the spec's.
+    ``keep`` is ``latest``, ``any`` or ``all``; the default is the spec's. ``row_key``, with
+    ``latest``, adds a column that tells the rows apart and that they are partitioned by.
     """
     keep = keep or spec.keep
     if keep not in KEEP:
         raise ValueError(f"keep must be one of {KEEP}, not {keep!r}")
+    if row_key is not None and keep != "latest":
+        raise ValueError(f"rows kept by {keep!r} have no key of their own")
     rows = bronze.select(*spec.types)
     if keep == "latest":
-        rows = newest_rows(rows, spec)
+        rows = newest_rows(rows, spec, row_key)
     elif keep == "any":
         rows = any_by_key(rows, spec.key)
-    return cleaned(typed(rows, spec), spec)
+    return cleaned(typed(rows, spec, row_key), spec)
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

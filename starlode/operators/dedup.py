@@ -43,14 +43,23 @@ def _ordered(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def latest_text_by_key(df: DataFrame, key: str, version: Column | None = None) -> DataFrame:
+def latest_text_by_key(
+    df: DataFrame, key: str, version: Column | None = None, row_key: str | None = None
+) -> DataFrame:
     """What :func:`latest_by_key` keeps of a frame of text columns, by narrower rows.
 
     Below the exchange all columns but the key travel as one text that sorts as they do from left
     to right, nulls last when descending. A row of two dozen short texts is less than half as wide so, and
     is sorted twice. Columns must be well-formed UTF-8.
+
+    ``row_key`` adds a column of this name that tells the rows apart and is never null: the packed
+    key. The rows are partitioned by it, so what joins them by it moves no row of theirs.
     """
     payload = [c for c in df.columns if c != key]
+    if row_key is not None:
+        keyed = df.withColumn(row_key, _packed(key)).drop(key)
+        newest = latest_text_by_key(keyed, row_key, version)
+        return newest.select(*[_unpacked(F.col(row_key))[0].alias(c) if c == key else c for c in df.columns], row_key)
     if not payload:
         return latest_by_key(df, key)
     first = [] if version is None else [version.alias("_version")]

@@ -97,12 +97,22 @@ def dimension(
 
 
 def link_dimensions(
-    fact: DataFrame, links: Sequence[DimensionLink], dims: Mapping[str, DataFrame]
+    fact: DataFrame,
+    links: Sequence[DimensionLink],
+    dims: Mapping[str, DataFrame],
+    row_key: str | None = None,
 ) -> DataFrame:
     """Left equi-joins that add one surrogate key per link, null without a match.
 
-    Only key and surrogate of a dimension enter the join.
+    Only key and surrogate of a dimension enter the join. ``row_key`` names a column of ``fact``
+    that is never null and has no value twice: then only it and the foreign keys go through the
+    links, and the surrogates come back by it. Where the fact is partitioned by it already, no
+    whole row is shuffled, however many links are too large to be broadcast.
     """
+    if row_key is not None:
+        narrow = fact.select(row_key, *dict.fromkeys(link.foreign for link in links))
+        found = link_dimensions(narrow, links, dims).select(row_key, *[link.surrogate for link in links])
+        return fact.join(found, row_key)
     for link in links:
         keys = dims[link.dimension].select(F.col(link.natural).alias("_natural"), link.surrogate)
         same = (

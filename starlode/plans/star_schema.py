@@ -26,6 +26,10 @@ from starlode.operators.star import (
 )
 
 
+#: Column of Silver rows that are not stored yet: it tells them apart, and they are partitioned by it.
+ROW_KEY = "_row_key"
+
+
 @dataclass(frozen=True)
 class FactSpec:
     """A fact: its key, its links and its published columns (Silver name -> new name)."""
@@ -301,10 +305,14 @@ def build_fact(
     gold: Callable[[str], DataFrame],
     method: str = "crc32",
 ) -> DataFrame:
-    """Fact ``name`` without audit column; ``gold`` gives the frames it links to."""
+    """Fact ``name`` without audit column; ``gold`` gives the frames it links to.
+
+    A Silver frame with the column ``ROW_KEY`` is linked by it.
+    """
     spec = FACTS[name]
     dims = {link.dimension: gold(link.dimension) for link in spec.links}
-    linked = link_dimensions(silver(spec.source), spec.links, dims)
+    rows = silver(spec.source)
+    linked = link_dimensions(rows, spec.links, dims, ROW_KEY if ROW_KEY in rows.columns else None)
     return linked.select(
         surrogate_key(spec.key, method).alias(spec.surrogate),
         F.col(spec.key).alias(spec.natural),

@@ -61,7 +61,7 @@ from starlode.plans import (
 )
 from starlode.plans.entities import ENTITIES
 from starlode.plans.jobs import BUCKET, in_parallel, run_silver_delta
-from starlode.plans.star_schema import linked_tables
+from starlode.plans.star_schema import ROW_KEY, linked_tables
 from starlode.sources import (
     OTHER,
     child_records,
@@ -841,8 +841,8 @@ def bronze_stream(spark, sf_dir):
 # --- Silver and Gold tables ------------------------------------------------------------
 
 
-def silver(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return conform(frames.bronze(spark, sf_dir, entity), SILVER[entity])
+def silver(spark: SparkSession, sf_dir: str, entity: str, row_key: str | None = None) -> DataFrame:
+    return conform(frames.bronze(spark, sf_dir, entity), SILVER[entity], row_key=row_key)
 
 
 def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -873,7 +873,11 @@ def gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     in_parallel(store, ["evaluations", *[dim for dim in dims if dim not in late]])
     in_parallel(store, late)
     in_parallel(store, facts)
-    return build_gold(name, stored_silver, stored.__getitem__)
+
+    def fact_rows(entity: str) -> DataFrame:
+        return stored[entity] if entity in stored else silver(spark, sf_dir, entity, ROW_KEY)
+
+    return build_gold(name, fact_rows, stored.__getitem__)
 
 
 def stored_nowhere(name: str) -> DataFrame:
