@@ -139,10 +139,12 @@ def commit_buckets(
     buckets: int,
     source: str,
     until: int,
+    dealt: bool = False,
 ) -> BucketState:
     """Write the ``touched`` buckets of each store, commit the record, and let the tables follow.
 
-    ``rows`` has one frame per store, with the bucket in ``column``. Raises
+    ``rows`` has one frame per store, with the bucket in ``column``. ``dealt`` says that buckets
+    are not spread over partitions: they are written without a shuffle. Raises
     :class:`Overtaken` if another change was committed since ``before``.
     """
     taken = _numbers(spark, stores[0])
@@ -151,8 +153,8 @@ def commit_buckets(
     known: dict[str, dict[int, str]] = {}
     for store, df in zip(stores, rows, strict=True):
         place = f"{store.root.rstrip('/')}/{generation}"
-        # a bucket is one file
-        df.repartition(column).write.format(file_format(spark)).partitionBy(column).save(place)
+        # a bucket is one file, or a few where a large one was dealt before and is read in splits
+        (df if dealt else df.repartition(column)).write.format(file_format(spark)).partitionBy(column).save(place)
         made = {n.partition("=")[2] for n in folders.children(spark, place) if n.startswith(f"{column}=")}
         old = before.folders[store.table] if before else {}
         known[store.table] = {b: g for b, g in old.items() if b not in set(touched)}

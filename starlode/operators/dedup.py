@@ -70,6 +70,17 @@ def latest_text_by_key(
     return parts.select(*[c if c == key else F.col("_parts")[position[c]].alias(c) for c in df.columns])
 
 
+def dealt_text(df: DataFrame, column: str) -> DataFrame:
+    """``df`` dealt by the values of ``column``; where all others are text, a row travels as one text."""
+    payload = [c for c in df.columns if c != column]
+    if any(df.schema[c].dataType != T.StringType() for c in payload):
+        return df.repartition(column)
+    packed = df.select(column, F.concat(*[_packed(c) for c in payload]).alias("_packed")).repartition(column)
+    parts = packed.select(column, _unpacked(F.col("_packed")).alias("_parts"))
+    position = {c: i for i, c in enumerate(payload)}
+    return parts.select(*[c if c == column else F.col("_parts")[position[c]].alias(c) for c in df.columns])
+
+
 def _packed(column: str) -> Column:
     """A mark unless null, the text, and an end that is smaller than any character in between."""
     text = F.replace(F.col(column), F.lit("\x01"), F.lit("\x01\x02"))

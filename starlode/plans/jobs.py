@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starlode.functions.clock import STAMP
 from starlode.operators.conform import EntitySpec, conform, newest_rows
+from starlode.operators.dedup import dealt_text
 from starlode.operators.guards import key_faults, require_unique
 from starlode.operators import folders
 from starlode.operators.buckets import (
@@ -460,12 +461,22 @@ def _silver_delta(spark: SparkSession, lake: Lakehouse, entity: str, buckets: in
             log.warning("%s: %d buckets are lost and made anew", silver.table, len(lost))
             rows = rows.unionByName(bronze.select(*spec.types, bucket).where(F.col(BUCKET).isin(lost)))
     newest = newest_rows(rows, spec)
-    newest = materialize(newest.select("*", bucket), f"{entity}-versions")
+    # dealt into buckets once, for both stores
+    newest = materialize(dealt_text(newest.select("*", bucket), BUCKET), f"{entity}-versions")
     made = stamp_load(conform(newest.select(*spec.types), spec, "all"))
     made = made.withColumn(BUCKET, bucket_of(F.col(spec.key)))
     made, written = counted(made, f"rows of {silver.table}")
     commit_buckets(
-        spark, stores, [made, newest], state, touched, BUCKET, buckets, loads.generation if loads else "", until
+        spark,
+        stores,
+        [made, newest],
+        state,
+        touched,
+        BUCKET,
+        buckets,
+        loads.generation if loads else "",
+        until,
+        dealt=True,
     )
     mode = FULL if state is None else INCREMENTAL
     return _reported(LoadReport(silver.table, mode, written.get["rows"], seen.get["rows"]))

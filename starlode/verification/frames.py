@@ -6,8 +6,9 @@ versions are put in by arithmetic on the keys; no row of a table is left out.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -224,14 +225,20 @@ def pages(records: DataFrame, columns: Sequence[str], page_rows: int = PAGE_ROWS
     """Envelopes of at most ``page_rows`` records and an empty last one.
 
     Pages are cut from runs of rows inside a partition, so their size is bounded
-    whatever the rows hold.
+    whatever the rows hold, and no row is shuffled.
     """
-    run = F.expr(f"monotonically_increasing_id() div {page_rows}")
-    packed = (
-        records.withColumn("_run", run)
-        .groupBy("_run")
-        .agg(F.collect_list(F.struct(*columns)).alias("data"))
-        .select("data", F.struct(F.lit(True).alias("hasMore")).alias("meta"))
+    rows = records.select(*columns)
+    data = T.StructField("data", T.ArrayType(rows.schema, False))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds = pa.array([*range(0, batch.num_rows, page_rows), batch.num_rows], pa.int32())
+            if batch.num_rows:
+                items = pa.StructArray.from_arrays(batch.columns, names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(bounds, items)], ["data"])
+
+    packed = rows.mapInArrow(cut, T.StructType([data])).select(
+        "data", F.struct(F.lit(True).alias("hasMore")).alias("meta")
     )
     closing = records.sparkSession.range(1).select(
         F.array().cast(packed.schema["data"].dataType).alias("data"),
