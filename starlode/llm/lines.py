@@ -31,6 +31,7 @@ BANDS = 12  # recall at similarity 0.8: 1 - (1 - 0.8 ** 4) ** 12 = 0.998
 BLOCK = 4096  # lines of one key that are compared in one go
 _FEW = 32  # lines of a key that leave pairs to other keys
 _PIECE = 1 << 15  # characters whose signatures are computed at a time
+_WIDTH = 32  # shingles of a line that are hashed side by side with those of others
 _HELD = 1 << 20  # characters of lines whose shingles are packed at a time
 _BLANK = " \t\n\x0b\f\r"
 
@@ -40,10 +41,32 @@ def _factors() -> np.ndarray:
     return (mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
+def _least(grams: np.ndarray, heads: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Least value of every hash function over each run of grams, one row per run.
+
+    Runs are cut into pieces of one width, the last one moved back to the end of its run: a gram
+    that counts twice changes no minimum. Pieces stand side by side, so that whole rows of them
+    are multiplied and compared at once.
+    """
+    pieces = -(-counts // _WIDTH)
+    first = np.cumsum(pieces) - pieces
+    run = np.repeat(np.arange(len(counts)), pieces)
+    step = (np.arange(len(run)) - first[run]) * _WIDTH
+    start = heads[run] + np.minimum(step, np.maximum(counts[run] - _WIDTH, 0))
+    last = heads[run] + counts[run] - 1
+    table = grams[np.minimum(start + np.arange(_WIDTH)[:, None], last)]
+    factors = _factors()
+    least = np.empty((len(factors), len(run)), np.uint32)
+    hashed = np.empty_like(table)  # stays in the cache for all functions
+    for j, factor in enumerate(factors):
+        np.multiply(table, factor, out=hashed)
+        np.minimum.reduce(hashed, axis=0, out=least[j])
+    return np.minimum.reduceat(least, first, axis=1).T
+
+
 def band_keys(lines: list[str], shingle: int) -> np.ndarray:
     """48-bit keys, one row of ``BANDS`` per line; a short line is its own only shingle."""
-    factors = _factors()
-    out = np.empty((len(lines), BANDS), np.uint64)
+    least = np.empty((len(lines), BANDS * ROWS), np.uint32)
     sizes = np.array([len(x) for x in lines], np.int64)
     ends = np.cumsum(sizes)
     begin = 0
@@ -56,23 +79,13 @@ def band_keys(lines: list[str], shingle: int) -> np.ndarray:
         n = np.maximum(n, shingle)
         values = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
         grams = (gram_hash(prefix_hash(values), shingle) >> np.uint64(32)).astype(np.uint32)
-        heads = np.cumsum(n) - n
-        # grams over the end of a line take part nowhere: each segment is followed by its overhang
-        cuts = np.ravel(np.column_stack([heads, heads + n - shingle + 1]))
-        cuts = np.minimum(cuts, len(grams))
-        grams = np.append(grams, np.uint32(0))
-        least = np.empty((end - begin, ROWS * BANDS), np.uint64)
-        hashed = np.empty_like(grams)  # stays in the cache for all functions
-        for j, factor in enumerate(factors):
-            np.multiply(grams, factor, out=hashed)
-            least[:, j] = np.minimum.reduceat(hashed, cuts)[::2]
-        for b in range(BANDS):
-            key = np.full(end - begin, b + 1, np.uint64)
-            for r in range(ROWS):
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least[:, ROWS * b + r])
-            out[begin:end, b] = key >> np.uint64(16)
+        least[begin:end] = _least(grams, np.cumsum(n) - n, n - shingle + 1)
         begin = end
-    return out
+    keys = np.empty((len(lines), BANDS), np.uint64)
+    keys[:] = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for r in range(ROWS):
+        keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, r::ROWS])
+    return keys >> np.uint64(16)
 
 
 class Lines:
