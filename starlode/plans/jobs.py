@@ -466,18 +466,8 @@ def _silver_delta(spark: SparkSession, lake: Lakehouse, entity: str, buckets: in
     made = stamp_load(conform(newest.select(*spec.types), spec, "all"))
     made = made.withColumn(BUCKET, bucket_of(F.col(spec.key)))
     made, written = counted(made, f"rows of {silver.table}")
-    commit_buckets(
-        spark,
-        stores,
-        [made, newest],
-        state,
-        touched,
-        BUCKET,
-        buckets,
-        loads.generation if loads else "",
-        until,
-        dealt=True,
-    )
+    built_on = loads.generation if loads else ""
+    commit_buckets(spark, stores, [made, newest], state, touched, BUCKET, buckets, built_on, until, True)
     mode = FULL if state is None else INCREMENTAL
     return _reported(LoadReport(silver.table, mode, written.get["rows"], seen.get["rows"]))
 
