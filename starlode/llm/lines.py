@@ -1,9 +1,10 @@
 """Fuzzy line dedup by MinHash: one line stays of every group of near-equal lines.
 
 Lines are compared by their sets of character shingles. Signatures are cut into bands; a
-census of band keys (see :mod:`starlode.llm.superkmers`) finds those that several lines have,
-and only lines with such a key are shipped, once per chunk and text. Lines that differ and share
-a key meet in the key's bucket, where the exact Jaccard similarity decides. Buckets report links of spanning trees, a distributed
+census of band keys (see :mod:`starlode.llm.superkmers`) finds those that several lines have
+and tells each chunk their places, so that lines are hashed once. Only lines with such a key are
+shipped, once per chunk and text. Lines that differ and share a key meet in the key's bucket, where
+the exact Jaccard similarity decides; texts go where a pair of lines is not left to another key. Buckets report links of spanning trees, a distributed
 union-find merges them, and each chunk learns which place of a group is the one to keep.
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlode.llm.components import components
-from starlode.llm.superkmers import NO_ID, PACKET, census_answer, groups, key_packets, only, unpack
+from starlode.llm.superkmers import NO_ID, PACKET, bucket_of, from_six, groups, only, pack, packets, to_six, unpack
 from starlode.llm.text import fresh
 from starlode.llm.units import give_back, gram_hash, mixed, prefix_hash, tidy
 from starlode.sources import materialize
@@ -117,57 +118,101 @@ class Lines:
                 own.append((line, name))
             self.rows.append(own)
 
-    def keys(self, shingle: int) -> tuple[list[bytes], np.ndarray]:
-        names = list(self.text)
+    def names(self) -> list[bytes]:
+        """The digests in an order of their own: rows of a chunk come in any order each time it is read."""
+        return sorted(self.text)
+
+    def keys(self, shingle: int) -> np.ndarray:
+        """One row per digest: the keys of its bands, and one of the digest itself."""
+        names = self.names()
         own = np.array([int.from_bytes(x[:6], "little") for x in names], np.uint64)
-        return names, np.column_stack([band_keys(list(self.text.values()), shingle), own])
+        return np.column_stack([band_keys([self.text[x] for x in names], shingle), own])
+
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    """Differences, their low bytes first: the high ones are mostly zero and pack well together."""
+    return np.diff(ascending, prepend=0).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.ravel()
+
+
+def _sums(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(steps.reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.int64)
 
 
 def _census(names: dict[str, str], shingle: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """Every key goes to its bucket with its place among the chunk's keys, line by line."""
+
     def ask(table: pa.Table) -> pa.Table:
         lines = Lines(table, names)
-        known, keys = lines.keys(shingle)
-        if not len(known):
-            return key_packets(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), buckets)
-        again = np.array([x in lines.several for x in known])
-        flat, line = keys.ravel(), np.repeat(np.arange(len(known)), BANDS + 1)
-        order = np.argsort(flat, kind="stable")
-        starts, ends = groups(flat[order])
-        several = (ends - starts > 1) | (np.add.reduceat(again[line[order]].astype(np.int64), starts) > 0)
-        return key_packets(only(table, names["chunk"]), flat[order][starts], ends - starts, several, buckets)
+        again = np.array([x in lines.several for x in lines.names()], bool)
+        keys = lines.keys(shingle).ravel()
+        place = 2 * np.arange(len(keys)) + np.repeat(again, BANDS + 1)
+        bucket = bucket_of(keys, buckets)
+        order = np.argsort(bucket, kind="stable")
+        six, place, bucket = to_six(keys[order]), place[order], bucket[order]
+        runs = zip(*groups(bucket), strict=True)
+        rows = [(int(bucket[s]), pack(six[s:e].T.ravel(), _steps(place[s:e]))) for s, e in runs]
+        return packets(only(table, names["chunk"]), rows)
 
     return ask
 
 
+def _answer(table: pa.Table) -> pa.Table:
+    """Those keys of each chunk that several lines have, or one line several times."""
+    chunks = table.column("chunk").to_pylist()
+    parts = [unpack(p) for p in table.column("payload").to_pylist()]
+    keys = np.concatenate([from_six(six) for six, _ in parts])
+    places = [_sums(steps) for _, steps in parts]
+    again = np.concatenate(places) & 1
+    order = np.argsort(keys, kind="stable")
+    starts, ends = groups(keys[order])
+    shared = np.empty(len(keys), bool)
+    shared[order] = np.repeat((ends - starts > 1) | (np.add.reduceat(again[order], starts) > 0), ends - starts)
+    rows, at = [], 0
+    for chunk, place in zip(chunks, places, strict=True):
+        own = shared[at : at + len(place)]
+        if own.any():
+            rows.append((chunk, pack(to_six(keys[at : at + len(place)][own]).T.ravel(), _steps(place[own] >> 1))))
+        at += len(place)
+    return packets(only(table, "bucket"), rows, "chunk")
+
+
 _SHIPPED = (
     "chunk long, line binary, text string, doc_id long, digest long, place int, keys array<long>"
 )
 
 
-def _ship(names: dict[str, str], shingle: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
+def _ship(names: dict[str, str]) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
     def ship(_key, table: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {k: [] for k in ("line", "text", "doc_id", "digest", "place", "keys")}
+        known: list[bytes] = []
+        texts: list[str] = []
+        first: list[tuple[int, int, int]] = []
+        keys, offsets = np.zeros(0, np.int64), np.zeros(1, np.int32)
         if table.num_rows and replies.num_rows:
-            shared = np.unique(np.concatenate([unpack(p)[0] for p in replies.column("payload").to_pylist()]))
+            parts = [unpack(p) for p in replies.column("payload").to_pylist()]
+            place = np.concatenate([_sums(steps) for _, steps in parts])
+            order = np.argsort(place)
+            line, band = np.divmod(place[order], BANDS + 1)
+            keys = np.concatenate([from_six(six) for six, _ in parts])[order].astype(np.int64) * 16 + band
+            starts, _ = groups(line)
+            banded = band < BANDS
+            offsets = np.r_[0, np.cumsum(np.add.reduceat(banded.astype(np.int32), starts))].astype(np.int32)
+            keys = keys[banded]
             lines = Lines(table, names)
-            known, keys = lines.keys(shingle)
-            at = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
-            member = shared[at] == keys
-            bands = np.arange(BANDS, dtype=np.int64)
-            for i in np.flatnonzero(member.any(axis=1)).tolist():
-                name = known[i]
-                doc, digest, line = lines.first[name]
-                found = member[i, :BANDS]
-                out["line"].append(name)
-                out["text"].append(lines.text[name])
-                out["doc_id"].append(doc)
-                out["digest"].append(digest)
-                out["place"].append(line)
-                out["keys"].append((keys[i, :BANDS].astype(np.int64) * 16 + bands)[found].tolist())
-        chunk = [only(table, names["chunk"])] * len(out["line"]) if table.num_rows else []
-        kinds = (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
-        columns = {"chunk": pa.array(chunk, pa.int64())}
-        return pa.table(columns | {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds, strict=True)})
+            every = lines.names()
+            known = [every[i] for i in line[starts].tolist()]
+            texts, first = [lines.text[x] for x in known], [lines.first[x] for x in known]
+        docs, digests, numbers = zip(*first, strict=True) if first else ((), (), ())
+        chunk = [only(table, names["chunk"])] * len(known) if known else []
+        columns = {
+            "chunk": pa.array(chunk, pa.int64()),
+            "line": pa.array(known, pa.binary()),
+            "text": pa.array(texts, pa.string()),
+            "doc_id": pa.array(docs, pa.int64()),
+            "digest": pa.array(digests, pa.int64()),
+            "place": pa.array(numbers, pa.int32()),
+            "keys": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys, pa.int64())),
+        }
+        return pa.table(columns)
 
     return ship
 
@@ -271,23 +316,73 @@ def _trees(
             left[side][:] = rest
 
 
+def _paired(key: np.ndarray, heads: np.ndarray, ends: np.ndarray, keys: pa.ListArray) -> np.ndarray:
+    """Which rows have, in their run, a row whose first key in common with them is the run's ``key``.
+
+    Runs of more than ``_FEW`` rows, which leave no pairs to other keys, have all their rows kept.
+    """
+    values, bounds = keys.flatten().to_numpy(), np.diff(keys.offsets.to_numpy())
+    table = np.full((len(key), 16), -1, np.int64)  # the band is the last four bits of a key
+    table[np.repeat(np.arange(len(key)), bounds), values & 15] = values
+    sizes = ends - heads
+    keep = np.repeat(sizes > _FEW, sizes)
+    size, head = np.repeat(sizes, sizes), np.repeat(heads, sizes)
+    at = np.arange(len(key))
+    for step in range(1, min(_FEW, int(sizes.max(initial=1)))):
+        a = at[(size <= _FEW) & (at - head + step < size)]
+        b = a + step
+        common = (table[a] == table[b]) & (table[a] >= 0)
+        own = np.where(common, table[a], np.iinfo(np.int64).max).min(axis=1) == key[a]
+        keep[a[own]] = keep[b[own]] = True
+    return keep
+
+
+def _with_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by meeting, that have a pair to compare there; so texts travel to no meeting in vain."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if rest is not None:
+            table = pa.concat_tables([rest, table])
+        meeting = [table.column(c).to_numpy() for c in ("key", "block", "other")]
+        new = np.ones(table.num_rows, bool)
+        new[1:] = np.any([x[1:] != x[:-1] for x in meeting], axis=0)
+        heads = np.flatnonzero(new)
+        # the last meeting may go on in the next batch
+        rest = table.slice(heads[-1]) if len(heads) else None
+        if len(heads) > 1:
+            yield from _kept(table.slice(0, heads[-1]), heads[:-1])
+    if rest is not None:
+        yield from _kept(rest, np.zeros(1, np.int64))
+
+
+def _kept(table: pa.Table, heads: np.ndarray) -> list[pa.RecordBatch]:
+    table = table.combine_chunks()
+    keys = table.column("keys").combine_chunks()
+    keep = _paired(table.column("key").to_numpy(), heads, np.r_[heads[1:], table.num_rows], keys)
+    return table.drop_columns("keys").filter(pa.array(keep)).combine_chunks().to_batches()
+
+
 def _links(lines: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """a, b: digests of similar lines. ``lines`` has one row per distinct line."""
-    narrow = materialize(lines.select(F.explode("keys").alias("key"), "line"), "band-keys")
+    narrow = materialize(lines.select(F.explode("keys").alias("key"), "line", "keys"), "band-keys")
     counted = narrow.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     counted = materialize(counted, "shared-keys").withColumnRenamed("key", "_key")
     dealt = (
         narrow.join(counted, F.col("key") == F.col("_key"))
-        .select("key", "line", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        .select("key", "line", "keys", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
         .withColumn("side", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
     )
     # a key with more lines than a block holds is dealt in blocks, and each block meets each
     places = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("other"), "side", "line"
+        "key", F.least("side", "other").alias("block"), F.greatest("side", "other").alias("other"), "side", "line", "keys"
     )
-    places = materialize(places, "meetings").withColumnRenamed("line", "_line")
+    met = ("key", "block", "other")
+    places = places.repartition(*met).sortWithinPartitions(*met)
+    kinds = "key long, block int, other int, side int, line binary"
+    places = materialize(places.mapInArrow(_with_pairs, kinds), "meetings").withColumnRenamed("line", "_line")
     full = places.join(lines.select("line", "text", "keys"), F.col("_line") == F.col("line")).drop("_line")
-    full = full.repartition("key", "block", "other").sortWithinPartitions("key", "block", "other")
+    full = full.repartition(*met).sortWithinPartitions(*met)
 
     wanted = ("key", "block", "other", "side", "line", "text", "keys")
 
@@ -367,8 +462,8 @@ def line_dedup(
     )
     by_chunk = spread.groupBy(names["chunk"])
     asked = by_chunk.applyInArrow(tidy(_census(names, shingle, chunks)), PACKET)
-    known = asked.groupBy("bucket").applyInArrow(tidy(census_answer(1 << 62)), PACKET)
-    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(tidy(_ship(names, shingle)), _SHIPPED)
+    known = asked.groupBy("bucket").applyInArrow(tidy(_answer), PACKET)
+    found = by_chunk.cogroup(known.groupBy("chunk")).applyInArrow(tidy(_ship(names)), _SHIPPED)
     found = materialize(found, "shared-lines")
     place = F.struct("doc_id", "digest", F.col("place").alias("line"))
     lines = found.groupBy("line").agg(

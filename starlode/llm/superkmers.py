@@ -145,7 +145,7 @@ def _member(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == keys
 
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """By the remainder: keys are minima of hashes and so cluster at the lower end."""
     return (keys % np.uint64(buckets)).astype(np.int64)
 
@@ -164,10 +164,10 @@ def only(table: pa.Table, column: str) -> int:
 
 def key_packets(chunk: int, key: np.ndarray, n: np.ndarray, several: np.ndarray, buckets: int) -> pa.Table:
     """Distinct keys of a chunk, how many things have each, and if these already meet in the chunk."""
-    bucket = _bucket(key, buckets)
+    bucket = bucket_of(key, buckets)
     order = np.argsort(bucket, kind="stable")
     key, n, several, bucket = key[order], n[order], several[order], bucket[order]
-    six = key.view(np.uint8).reshape(-1, 8)[:, :6]
+    six = to_six(key)
     info = np.minimum(2 * n + several, 0xFFFFFFFF).astype(np.uint32)
     runs = zip(*groups(bucket), strict=True)
     return packets(chunk, [(int(bucket[s]), pack(six[s:e].T.ravel(), info[s:e])) for s, e in runs])
@@ -192,7 +192,12 @@ def _census(plan: Plan) -> Callable[[pa.Table], pa.Table]:
     return ask
 
 
-def _from_six(six: np.ndarray) -> np.ndarray:
+def to_six(keys: np.ndarray) -> np.ndarray:
+    """The six low bytes of each key; transposed, equal ones stand together."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def from_six(six: np.ndarray) -> np.ndarray:
     wide = np.zeros((len(six) // 6, 8), np.uint8)
     wide[:, :6] = six.reshape(6, -1).T
     return wide.view(np.uint64).ravel()
@@ -202,7 +207,7 @@ def census_answer(hot_over: int) -> Callable[[pa.Table], pa.Table]:
     def answer(table: pa.Table) -> pa.Table:
         chunks = table.column("chunk").to_pylist()
         parts = [unpack(p) for p in table.column("payload").to_pylist()]
-        keys = np.concatenate([_from_six(p[0]) for p in parts])
+        keys = np.concatenate([from_six(p[0]) for p in parts])
         info = np.concatenate([p[1] for p in parts]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         starts, ends = groups(keys[order])
@@ -240,7 +245,7 @@ def _ship(plan: Plan) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
         raw = u.data.tobytes()
         strings = pa.array([raw[b:e] for b, e in zip(begin.tolist(), end.tolist(), strict=True)], pa.large_binary())
         code = strings.dictionary_encode().indices.to_numpy()
-        bucket = _bucket(c.key, plan.buckets)
+        bucket = bucket_of(c.key, plan.buckets)
         order = np.lexsort((code, bucket))
         place = c.start - u.offsets[c.owner]
         rows = []
