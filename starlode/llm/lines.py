@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlode.llm.components import components
-from starlode.llm.superkmers import NO_ID, PACKET, bucket_of, from_six, groups, only, pack, packets, to_six, unpack
+from starlode.llm.superkmers import NO_ID, PACKET, bucket_of, groups, only, pack, packets, to_six, unpack
 from starlode.llm.text import fresh
 from starlode.llm.units import give_back, gram_hash, mixed, prefix_hash, tidy
 from starlode.sources import materialize
@@ -129,13 +129,27 @@ class Lines:
         return np.column_stack([band_keys([self.text[x] for x in names], shingle), own])
 
 
-def _steps(ascending: np.ndarray) -> np.ndarray:
-    """Differences, their low bytes first: the high ones are mostly zero and pack well together."""
-    return np.diff(ascending, prepend=0).astype(np.uint32).view(np.uint8).reshape(-1, 4).T.ravel()
+def _payloads(keys: np.ndarray, places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """One payload per run of keys and their places, which ascend in a run.
+
+    Differences of places are sent, and bytes of one weight side by side: high ones are mostly zero.
+    """
+    steps = np.diff(places, prepend=0)
+    steps[starts] = places[starts]
+    both = np.column_stack([to_six(keys), steps.astype(np.uint32).view(np.uint8).reshape(-1, 4)])
+    return [pack(both[s:e].T.ravel()) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
-def _sums(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(steps.reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.int64)
+def _opened(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and places of all payloads, and how many each has."""
+    parts = [unpack(p)[0].reshape(10, -1).T for p in payloads]
+    sizes = np.array([len(p) for p in parts])
+    both = np.concatenate(parts)
+    wide = np.zeros((len(both), 8), np.uint8)
+    wide[:, :6] = both[:, :6]
+    total = np.r_[0, np.cumsum(np.ascontiguousarray(both[:, 6:]).view(np.uint32).ravel(), dtype=np.int64)]
+    before = total[np.cumsum(sizes) - sizes]
+    return wide.view(np.uint64).ravel(), total[1:] - np.repeat(before, sizes), sizes
 
 
 def _census(names: dict[str, str], shingle: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
@@ -148,32 +162,27 @@ def _census(names: dict[str, str], shingle: int, buckets: int) -> Callable[[pa.T
         place = 2 * np.arange(len(keys)) + np.repeat(again, BANDS + 1)
         bucket = bucket_of(keys, buckets)
         order = np.argsort(bucket, kind="stable")
-        six, place, bucket = to_six(keys[order]), place[order], bucket[order]
-        runs = zip(*groups(bucket), strict=True)
-        rows = [(int(bucket[s]), pack(six[s:e].T.ravel(), _steps(place[s:e]))) for s, e in runs]
-        return packets(only(table, names["chunk"]), rows)
+        bucket = bucket[order]
+        starts, ends = groups(bucket)
+        rows = zip(bucket[starts].tolist(), _payloads(keys[order], place[order], starts, ends), strict=True)
+        return packets(only(table, names["chunk"]), list(rows))
 
     return ask
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """Those keys of each chunk that several lines have, or one line several times."""
-    chunks = table.column("chunk").to_pylist()
-    parts = [unpack(p) for p in table.column("payload").to_pylist()]
-    keys = np.concatenate([from_six(six) for six, _ in parts])
-    places = [_sums(steps) for _, steps in parts]
-    again = np.concatenate(places) & 1
+    chunks = table.column("chunk").to_numpy()
+    keys, places, sizes = _opened(table.column("payload").to_pylist())
     order = np.argsort(keys, kind="stable")
     starts, ends = groups(keys[order])
     shared = np.empty(len(keys), bool)
-    shared[order] = np.repeat((ends - starts > 1) | (np.add.reduceat(again[order], starts) > 0), ends - starts)
-    rows, at = [], 0
-    for chunk, place in zip(chunks, places, strict=True):
-        own = shared[at : at + len(place)]
-        if own.any():
-            rows.append((chunk, pack(to_six(keys[at : at + len(place)][own]).T.ravel(), _steps(place[own] >> 1))))
-        at += len(place)
-    return packets(only(table, "bucket"), rows, "chunk")
+    again = np.add.reduceat(places[order] & 1, starts) > 0
+    shared[order] = np.repeat((ends - starts > 1) | again, ends - starts)
+    row = np.repeat(np.arange(len(chunks)), sizes)[shared]
+    starts, ends = groups(row)
+    payloads = _payloads(keys[shared], places[shared] >> 1, starts, ends)
+    return packets(only(table, "bucket"), list(zip(chunks[row[starts]].tolist(), payloads, strict=True)), "chunk")
 
 
 _SHIPPED = (
@@ -188,11 +197,10 @@ def _ship(names: dict[str, str]) -> Callable[[tuple, pa.Table, pa.Table], pa.Tab
         first: list[tuple[int, int, int]] = []
         keys, offsets = np.zeros(0, np.int64), np.zeros(1, np.int32)
         if table.num_rows and replies.num_rows:
-            parts = [unpack(p) for p in replies.column("payload").to_pylist()]
-            place = np.concatenate([_sums(steps) for _, steps in parts])
+            found, place, _ = _opened(replies.column("payload").to_pylist())
             order = np.argsort(place)
             line, band = np.divmod(place[order], BANDS + 1)
-            keys = np.concatenate([from_six(six) for six, _ in parts])[order].astype(np.int64) * 16 + band
+            keys = found[order].astype(np.int64) * 16 + band
             starts, _ = groups(line)
             banded = band < BANDS
             offsets = np.r_[0, np.cumsum(np.add.reduceat(banded.astype(np.int32), starts))].astype(np.int32)

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,21 +59,25 @@ class Plan:
         return Units.of_words(texts) if self.words else Units.of_bytes(texts)
 
 
+_KINDS = {np.dtype(t).num: np.dtype(t) for t in (np.uint8, np.uint32, np.int64, np.uint64, np.bool_)}
+
+
+@cache
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(*arrays: np.ndarray) -> bytes:
-    sink = pa.BufferOutputStream()
-    for a in arrays:
-        sink.write(np.array([len(a), a.dtype.num], np.int64).tobytes())
-        sink.write(np.ascontiguousarray(a).tobytes())
-    return zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())
+    parts = ((np.array([len(a), a.dtype.num], np.int64).tobytes(), a.tobytes()) for a in arrays)
+    return _zstd()[0].compress(b"".join(x for part in parts for x in part))
 
 
 def unpack(payload: bytes) -> list[np.ndarray]:
-    data, at, out = zstandard.ZstdDecompressor().decompress(payload), 0, []
-    kinds = {np.dtype(t).num: np.dtype(t) for t in (np.uint8, np.uint32, np.int64, np.uint64, np.bool_)}
+    data, at, out = _zstd()[1].decompress(payload), 0, []
     while at < len(data):
-        n, num = np.frombuffer(data, np.int64, 2, at)
-        out.append(np.frombuffer(data, kinds[int(num)], int(n), at + 16))
-        at += 16 + int(n) * kinds[int(num)].itemsize
+        n, num = np.frombuffer(data, np.int64, 2, at).tolist()
+        out.append(np.frombuffer(data, _KINDS[num], n, at + 16))
+        at += 16 + n * _KINDS[num].itemsize
     return out
 
 
@@ -197,7 +202,7 @@ def to_six(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.uint8).reshape(-1, 8)[:, :6]
 
 
-def from_six(six: np.ndarray) -> np.ndarray:
+def _from_six(six: np.ndarray) -> np.ndarray:
     wide = np.zeros((len(six) // 6, 8), np.uint8)
     wide[:, :6] = six.reshape(6, -1).T
     return wide.view(np.uint64).ravel()
@@ -207,7 +212,7 @@ def census_answer(hot_over: int) -> Callable[[pa.Table], pa.Table]:
     def answer(table: pa.Table) -> pa.Table:
         chunks = table.column("chunk").to_pylist()
         parts = [unpack(p) for p in table.column("payload").to_pylist()]
-        keys = np.concatenate([from_six(p[0]) for p in parts])
+        keys = np.concatenate([_from_six(p[0]) for p in parts])
         info = np.concatenate([p[1] for p in parts]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         starts, ends = groups(keys[order])

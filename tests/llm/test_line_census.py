@@ -6,7 +6,6 @@ import numpy as np
 import pyarrow as pa
 
 from starlode.llm import lines
-from starlode.llm.superkmers import unpack
 
 NAMES = {"id": "id", "digest": "digest", "text": "text", "chunk": "chunk"}
 
@@ -44,11 +43,14 @@ def test_shared_keys_are_told_by_place(monkeypatch):
     assert lines._ship(NAMES)(None, chunks[0].slice(0, 0), told[0]).num_rows == 0
 
 
-def test_census_of_large_steps():
-    ascending = np.array([1, 255, 256, 70_000, 70_001, 1 << 30])
-    assert lines._sums(lines._steps(ascending)).tolist() == ascending.tolist()
-    assert lines._sums(lines._steps(ascending[:0])).tolist() == []
-    assert unpack(lines.pack(lines._steps(ascending)))[0].tolist() == lines._steps(ascending).tolist()
+def test_keys_and_places_come_back_from_payloads():
+    places = np.array([0, 1, 255, 256, 70_000, 70_001, 1 << 30, 3, 1 << 31, 7])
+    keys = np.arange(len(places), dtype=np.uint64) * np.uint64(0x123456789AB)
+    starts = np.array([0, 7, 9])
+    payloads = lines._payloads(keys, places, starts, np.array([7, 9, 10]))
+    found, at, sizes = lines._opened(payloads)
+    assert (found.tolist(), at.tolist(), sizes.tolist()) == (keys.tolist(), places.tolist(), [7, 2, 1])
+    assert lines._payloads(keys[:0], places[:0], starts[:0], starts[:0]) == []
 
 
 def test_only_lines_with_a_pair_go_to_a_meeting(monkeypatch):
